@@ -1,0 +1,34 @@
+"""Reproducible pseudo-random draws from a row id.
+
+``rand(seed)`` depends on how rows fall into partitions, so a lost executor or
+another partition count would change the data.  These draws are a function of
+(id, salt) only, in plain integer arithmetic that stays inside whole-stage
+codegen.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+PRIME = 2147483647  # Mersenne prime; the square of a residue fits a long
+
+
+def draw(row_id: Column, salt: int, n: int) -> Column:
+    """An integer in [0, n) for each row id."""
+    x = row_id.cast("bigint")
+    low, high = x.bitwiseAND(PRIME), F.shiftright(x, 31)
+    a = (low * 48271 + (high % PRIME) * 69621 + salt * 16807) % PRIME
+    b = (a * a + salt) % PRIME
+    c = (b * 48271 + 12345) % PRIME
+    d = (c * c + salt) % PRIME
+    return d % n
+
+
+def pick(values, row_id: Column, salt: int) -> Column:
+    """One of the values; ``None`` entries give NULL."""
+    index = draw(row_id, salt, len(values))
+    expr = F.when(index == 0, values[0])
+    for i, v in enumerate(values[1:], 1):
+        expr = expr.when(index == i, v)
+    return expr
