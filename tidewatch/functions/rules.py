@@ -9,6 +9,7 @@ from tidewatch.params import REASON_OFFER, Params
 
 MONEY = "decimal(12,2)"
 SCORE = "decimal(10,6)"
+AUDIT_TRAIL = "array<struct<at:string,by:string,action:string,notes:string,tool:string>>"
 
 
 def dec(value) -> Column:

@@ -146,7 +146,7 @@ WHERE l.l_returnflag = 'R'
 # Mirror of a tier-prediction table: one row per scored customer.
 VIEW_SQL["premium_predictions"] = """
 SELECT c_custkey AS customer_id, CASE WHEN c_acctbal > 5000 THEN 'premium' ELSE 'standard' END AS final_tier,
-  CAST((CAST(c_acctbal AS DECIMAL(12,2)) + 1000) / 11000 AS DECIMAL(6,4)) AS premium_prob
+  CAST((CAST(c_acctbal AS DECIMAL(12,2)) + 1000) * 0.00009 AS DECIMAL(6,4)) AS premium_prob
 FROM customer WHERE c_custkey % 10 <> 9
 """
 
