@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.plans import retention, returns, service  # noqa: F401
+from tidewatch.plans import generated, retention, returns, service  # noqa: F401
 from tidewatch.plans.registry import QUERIES, SQL, full_sql, runner
 
 __all__ = ["QUERIES", "SQL", "full_sql", "runner"]

@@ -1,0 +1,124 @@
+"""Queries that build raw datasets from the ids of the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewatch.functions.draws import PRIME
+from tidewatch.plans.registry import query
+from tidewatch.sources import generators as G
+
+GEN = G.GenParams()
+_SNAP = "DATE '2026-07-31'"
+
+
+def _d(x: str, salt: int, n: int) -> str:
+    a = f"((({x} & {PRIME}) * 48271 + (({x} >> 31) % {PRIME}) * 69621 + {salt * 16807}) % {PRIME})"
+    b = f"(({a} * {a} + {salt}) % {PRIME})"
+    c = f"(({b} * 48271 + 12345) % {PRIME})"
+    return f"((({c} * {c} + {salt}) % {PRIME}) % {n})"
+
+
+def _pick(values, x: str, salt: int) -> str:
+    whens = " ".join(f"WHEN {n} THEN {'NULL' if v is None else repr(v)}" for n, v in enumerate(values))
+    return f"(CASE {_d(x, salt, len(values))} {whens} END)"
+
+
+def _cohort(x: str) -> str:
+    return f"({x} = 213 OR ({x} >= 300 AND ({x} - 300) % 37 = 0 AND {x} - 300 < 37 * 199))"
+
+
+def _pad(x: str, width: int) -> str:
+    return f"lpad(CAST({x} AS VARCHAR), CAST(greatest({width}, length(CAST({x} AS VARCHAR))) AS INT), '0')"
+
+
+def _sub(x: str) -> str:
+    return f"'SUB-' || {_pad(f'({x} + 1)', 7)}"
+
+
+def _pool(x: str, salt: int) -> str:
+    i = _d(x, salt, 6000)
+    return f"(CASE WHEN {_cohort(i)} THEN {i} + 1 ELSE {i} END)"
+
+
+def _back(x: str, salt: int, n: int = 539, lo: int = 0) -> str:
+    return f"({_SNAP} - CAST({lo} + {_d(x, salt, n)} AS INT))"
+
+
+_SUBS = "(SELECT c_custkey AS id FROM customer)"
+_ORD = "(SELECT o_orderkey AS id FROM orders)"
+_EVT = "(SELECT event_id AS id FROM events)"
+_LIN = "(SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem)"
+
+
+def _ids(lake, table: str, expr: str):
+    return lake[table].select(F.expr(expr).alias("id"))
+
+
+def _metro(k: int) -> str:
+    whens = " ".join(f"WHEN {n} THEN {repr(m[k])}" for n, m in enumerate(G.METROS))
+    return f"(CASE m {whens} END)"
+
+
+@query("gen_subscribers", f"""SELECT {_sub('id')} AS subscriber_id, 'Subscriber ' || {_pad('(id + 1)', 7)} AS sub_display_name, plan_type, tenure_months,
+  CAST(CAST(arpu AS DOUBLE) / 100 AS DOUBLE) AS monthly_arpu_usd, node AS service_node_id, {_metro(0)} AS home_metro, {_metro(1)} AS state,
+  ROUND(CAST({_metro(2)} AS DOUBLE) + CAST({_d('id', 7, 11)} - 5 AS DOUBLE) / 100, 2) AS sub_lat, ROUND(CAST({_metro(3)} AS DOUBLE) + CAST({_d('id', 8, 11)} - 5 AS DOUBLE) / 100, 2) AS sub_lng,
+  DATE '2026-08-01' - tenure_months * 30 AS activation_date, plan_type || ' plan, ' || CAST(tenure_months AS VARCHAR) || ' months, node ' || node || ': ' ||
+  CASE WHEN cohort THEN 'outage on the node and a billing dispute, ticket open' ELSE 'stable service, no open issue' END AS service_summary, true AS is_active
+  FROM (SELECT *, {_pick(G.PLANS, 'id', 3)} AS plan_type, CAST(CASE WHEN id = 213 THEN 60 ELSE 3 + {_d('id', 4, 90)} END AS INT) AS tenure_months, 4500 + {_d('id', 5, 8001)} AS arpu,
+    CASE WHEN id = 213 OR (cohort AND m = 0) THEN 'NODE-OHIO-14' ELSE 'NODE-' || {_metro(1)} || '-' || {_pad('(1 + ' + _d('id', 6, 40) + ')', 2)} END AS node
+    FROM (SELECT id, {_cohort('id')} AS cohort, CASE WHEN id = 213 THEN 0 WHEN {_cohort('id')} THEN {_d('id', 1, 2)} ELSE {_d('id', 2, 8)} END AS m FROM {_SUBS}))""")
+def _(lake):
+    return G.subscribers(_ids(lake, "customer", "c_custkey"), GEN)
+
+
+@query("gen_usage", f"""SELECT subscriber_id, usage_date, CAST(CAST(CAST((100 + a) * t AS DECIMAL(12,0)) * 0.001 AS DECIMAL(9,2)) AS DOUBLE) AS data_gb, CAST(floor(b * t // 10) AS INT) AS voice_min,
+  CAST(CAST(CAST(c * t AS DECIMAL(12,0)) * 0.001 AS DECIMAL(9,2)) AS DOUBLE) AS stream_hours
+  FROM (SELECT *, CASE WHEN dayofweek(usage_date) IN (0, 6) THEN 14 ELSE 10 END AS t FROM (SELECT {_sub(_pool('id', 21))} AS subscriber_id, {_back('id', 22)} AS usage_date,
+    {_d('id', 23, 801)} AS a, {_d('id', 24, 60)} AS b, {_d('id', 25, 501)} AS c FROM {_LIN}))""")
+def _(lake):
+    return G.usage(_ids(lake, "lineitem", "l_orderkey * 8 + l_linenumber"), GEN)
+
+
+@query("gen_billing", f"""SELECT 'BILL-C' || {_pad('(id + 1)', 8)} AS bill_id, {_sub('id')} AS subscriber_id, DATE '2026-07-01' AS bill_month, CAST(6000 + {_d('id', 31, 9001)} AS DOUBLE) / 100 AS amount_usd, true AS disputed,
+  'charged during outage window' AS dispute_reason FROM {_SUBS} WHERE {_cohort('id')}
+  UNION ALL SELECT 'BILL-' || {_pad('(id + 1)', 8)}, {_sub(_pool('id', 32))}, CAST(date_trunc('month', {_back('id', 33)}) AS DATE), CAST(4500 + {_d('id', 34, 10001)} AS DOUBLE) / 100,
+  {_d('id', 35, 100)} < 2, CASE WHEN {_d('id', 35, 100)} < 2 THEN 'billing question' END FROM {_ORD}""")
+def _(lake):
+    return G.billing(_ids(lake, "orders", "o_orderkey"), _ids(lake, "customer", "c_custkey"), GEN)
+
+
+@query("gen_tickets", f"""SELECT 'TKT-C' || {_pad('(id + 1)', 8)} AS ticket_id, {_sub('id')} AS subscriber_id, CASE WHEN {_d('id', 41, 100)} < 60 THEN 'outage' ELSE 'billing' END AS ticket_type, {_back('id', 42, 14, 2)} AS opened_date,
+  CAST(NULL AS DATE) AS closed_date, {_pick(G.CHANNELS, 'id', 43)} AS channel, CASE WHEN {_d('id', 41, 100)} < 60 THEN 'called about outage, still not resolved' ELSE 'disputes last bill, threatening to leave' END AS note_text
+  FROM {_SUBS} WHERE {_cohort('id')}
+  UNION ALL SELECT 'TKT-' || {_pad('(id + 1)', 8)}, {_sub(_pool('id', 44))}, {_pick(G.TICKET_KINDS, 'id', 45)}, {_back('id', 46, 539, 10)}, {_back('id', 46, 539, 10)} + CAST(1 + {_d('id', 47, 5)} AS INT),
+  {_pick(G.CHANNELS, 'id', 48)}, 'routine support call, resolved' FROM {_EVT}""")
+def _(lake):
+    return G.tickets(_ids(lake, "events", "event_id"), _ids(lake, "customer", "c_custkey"), GEN)
+
+
+@query("gen_network_events", f"""SELECT 'NEV-C00000001' AS event_id, 'NODE-OHIO-14' AS node_id, 'outage' AS event_type, DATE '2026-07-11' AS event_date, 480 AS duration_min, 1200 AS subscribers_affected
+  UNION ALL SELECT 'NEV-' || {_pad('(id + 1)', 8)}, 'NODE-' || {_pick(G.EVENT_STATES, 'id', 51)} || '-' || {_pad('(1 + ' + _d('id', 52, 40) + ')', 2)}, CASE WHEN {_d('id', 53, 100)} < 30 THEN 'outage' ELSE 'degradation' END,
+  {_back('id', 54)}, CAST(5 + {_d('id', 55, 120)} AS INT), CAST(10 + {_d('id', 56, 500)} AS INT) FROM {_EVT}""")
+def _(lake):
+    return G.network_events(_ids(lake, "events", "event_id"), GEN)
+
+
+@query("gen_risk", f"""SELECT {_sub('id')} AS subscriber_id, {_SNAP} - d AS snapshot_date,
+  CAST(CASE WHEN id = 213 THEN LEAST(920, 200 + ((13 - d) * 640 * 2 + 13) // 26) ELSE LEAST(950, 150 + ((13 - d) * (620 + {_d('cell', 61, 201)}) * 2 + 13) // 26) END AS DOUBLE) / 1000 AS churn_risk_score, 'service' AS churn_reason,
+  CAST((13000 + 2000 * (13 - d) + {_d('cell', 64, 1000)} * 13) // 13000 AS INT) AS open_ticket_count,
+  CASE WHEN {_d('cell', 65, 100)} < 85 THEN {_pick(G.CHURN_NOTES, 'cell', 66)} WHEN {_d('cell', 67, 100)} < 30 THEN {_pick(G.HEALTHY_NOTES, 'cell', 68)} END AS agent_note_text
+  FROM (SELECT id, CAST(d AS INT) AS d, id * 14 + d AS cell FROM {_SUBS} CROSS JOIN (SELECT unnest(generate_series(0, 13)) AS d) WHERE {_cohort('id')})
+  UNION ALL SELECT {_sub('id')}, {_SNAP}, CAST(30 + {_d('id', 77, 171)} AS DOUBLE) / 1000, {_pick(G.REASONS, 'id', 78)}, 0, {_pick(G.HEALTHY_NOTES, 'id', 80)} FROM {_SUBS} WHERE NOT {_cohort('id')}""")
+def _(lake):
+    return G.risk_snapshots(_ids(lake, "customer", "c_custkey"), GEN)
+
+
+@query("gen_retention", f"""SELECT 'RET-' || {_pad('(id + 1)', 8)} AS retention_id, {_sub(_d('id', 81, 8000))} AS subscriber_id, offer_type, churn_reason, CAST(arpu AS DOUBLE) AS monthly_arpu_usd, {_back('id', 85)} AS initiated_date,
+  CAST(CASE offer_type WHEN 'bill_credit' THEN 50 WHEN 'plan_upgrade_discount' THEN CAST(arpu * 2.4 AS DECIMAL(9,2)) ELSE 300 END AS DOUBLE) AS offer_cost_usd, {_d('id', 88, 1000)} < p AS retained,
+  CAST(CASE WHEN {_d('id', 88, 1000)} < p THEN CAST(arpu * 24 * CAST(p AS DECIMAL(4,0)) * 0.001 AS DECIMAL(12,2)) ELSE 0 END AS DOUBLE) AS retained_clv_usd
+  FROM (SELECT *, CASE WHEN (offer_type = 'bill_credit' AND churn_reason = 'service') OR (offer_type = 'plan_upgrade_discount' AND churn_reason = 'price') OR (offer_type = 'device_upgrade' AND churn_reason = 'device')
+      THEN 650 + {_d('id', 86, 101)} ELSE 250 + {_d('id', 87, 101)} END AS p
+    FROM (SELECT id, {_pick(G.OFFER_TYPES, 'id', 82)} AS offer_type, {_pick(G.REASONS, 'id', 83)} AS churn_reason, CAST(CAST(4500 + {_d('id', 84, 8001)} AS DECIMAL(9,0)) * 0.01 AS DECIMAL(9,2)) AS arpu FROM {_ORD}))""")
+def _(lake):
+    return G.retention_offers(_ids(lake, "orders", "o_orderkey"), GEN)

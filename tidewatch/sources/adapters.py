@@ -196,6 +196,10 @@ SELECT event_id, 'SUB-' || lpad(CAST(user_id + 1 AS STRING), 7, '0') AS subscrib
 FROM events WHERE event_type <> 'error'
 """
 
+# Ids are padded to a fixed width but never cut: past the width they just grow longer.
+_PAD = re.compile(r"lpad\((CAST\(\w+(?:\.\w+)?(?: [+%] \d+)* AS STRING\)), (\d+), '0'\)")
+VIEW_SQL = {name: _PAD.sub(r"lpad(\1, CAST(greatest(\2, length(\1)) AS INT), '0')", sql) for name, sql in VIEW_SQL.items()}
+
 _SOURCE = re.compile(r"\b(FROM|JOIN)\s+(\w+)", re.IGNORECASE)
 
 
