@@ -294,15 +294,16 @@ def spend_attribution(calls: DataFrame, actions: DataFrame) -> DataFrame:
     """Spread each agent's model cost over the subscribers the agent acted on.
 
     Both sides are aggregated before the join: one row per agent against one
-    row per (agent, subscriber).
+    row per (agent, subscriber).  Shares are whole hundred-millionths of a
+    dollar, so the sums do not depend on row order.
     """
-    spend = calls.groupBy("agent_id").agg(F.sum("cost_usd").alias("agent_cost"))
+    spend = calls.groupBy("agent_id").agg((F.sum("cost_usd") * 100_000_000).cast("bigint").alias("agent_cost"))
     pairs = actions.groupBy("agent_id", "subscriber_id").agg(F.count(F.lit(1)).alias("n"))
     totals = pairs.groupBy("agent_id").agg(F.sum("n").alias("agent_actions"))
-    share = F.col("agent_cost").cast("double") * F.col("n") / F.col("agent_actions")
+    share = F.expr("agent_cost * n div agent_actions")
     return (pairs.join(spend.join(totals, "agent_id"), "agent_id")
             .groupBy("subscriber_id").agg(F.sum("n").alias("actions"),
-                                          F.round(F.sum(share), 6).alias("attributed_cost_usd")))
+                                          (F.sum(share) / 100_000_000).alias("attributed_cost_usd")))
 
 
 def spend_cap(calls: DataFrame, cap: Column, p: Params) -> DataFrame:

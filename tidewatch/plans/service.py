@@ -235,9 +235,9 @@ def _(lake):
 
 # ---- model spend ----
 
-@query("spend_attribution", """SELECT p.subscriber_id, CAST(SUM(p.n) AS BIGINT) AS actions, ROUND(SUM(CAST(s.cost AS DOUBLE) * p.n / t.total), 6) AS attributed_cost_usd
+@query("spend_attribution", """SELECT p.subscriber_id, CAST(SUM(p.n) AS BIGINT) AS actions, CAST(SUM(s.cost * p.n // t.total) AS DOUBLE) / 100000000 AS attributed_cost_usd
   FROM (SELECT agent_id, subscriber_id, COUNT(*) AS n FROM retention_actions GROUP BY agent_id, subscriber_id) p JOIN (SELECT agent_id, COUNT(*) AS total FROM retention_actions GROUP BY agent_id) t ON t.agent_id = p.agent_id
-  JOIN (SELECT agent_id, SUM(cost_usd) AS cost FROM model_calls GROUP BY agent_id) s ON s.agent_id = p.agent_id GROUP BY p.subscriber_id""")
+  JOIN (SELECT agent_id, CAST(SUM(cost_usd) * 100000000 AS BIGINT) AS cost FROM model_calls GROUP BY agent_id) s ON s.agent_id = p.agent_id GROUP BY p.subscriber_id""")
 def _(lake):
     return A.spend_attribution(lake["model_calls"], lake["retention_actions"])
 

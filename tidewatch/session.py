@@ -26,19 +26,23 @@ def local_session(cpus: str | int | None = None, shuffle_partitions: int | None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it.
+    """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local runs and tests) a folder is made.
+    Only a local session that names none gets a temporary one.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="tidewatch-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of executors."""
+    """Reliable checkpoint: the result is computed once and survives the loss of executors."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
