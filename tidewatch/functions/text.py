@@ -35,11 +35,6 @@ def search_words(col: Column) -> Column:
     return F.filter(raw_words(col), lambda w: ~w.isin(*STOP_WORDS))
 
 
-def word_text(col: Column) -> Column:
-    """Normalised text with a blank around every word, for phrase matching."""
-    return F.concat(F.lit(" "), F.array_join(search_words(col), " "), F.lit(" "))
-
-
 def query_words(text: str) -> list[str]:
     return [w for w in re.findall(_WORD, text.lower()) if w not in STOP_WORDS]
 
@@ -57,19 +52,24 @@ def search_clauses(query: str) -> list[list[tuple[bool, list[str]]]]:
     return [g for g in groups if g]
 
 
-def matches_query(text: Column, query: str) -> Column:
-    """True where the normalised text satisfies the query; an empty query matches nothing."""
-    normal = word_text(text)
+def words_match(words: Column, query: str) -> Column:
+    """True where the words of a text satisfy the query; an empty query matches nothing."""
+    # A blank around every word makes a phrase a plain substring.
+    normal = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     result = F.lit(False)
     for group in search_clauses(query):
         hit = F.lit(True)
-        for wanted, words in group:
-            found = normal.contains(f" {' '.join(words)} ")
+        for wanted, part in group:
+            found = normal.contains(f" {' '.join(part)} ")
             hit = hit & (found if wanted else ~found)
         result = result | hit
     return result
 
 
+def matches_query(text: Column, query: str) -> Column:
+    return words_match(search_words(text), query)
+
+
 def wanted_words(query: str) -> list[str]:
     """The distinct words a hit is scored on."""
     return list(dict.fromkeys(

@@ -269,7 +269,7 @@ def entity_timeline(rows: DataFrame) -> DataFrame:
 
 # ---- memos ----
 
-def decision_memos(position: DataFrame, recs: DataFrame, on: str) -> DataFrame:
+def decision_memos(scored: DataFrame, on: str) -> DataFrame:
     """One rendered memo per at-risk subscriber."""
     na = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
     line = lambda label, value: F.concat(F.lit(f"- **{label}**: "), value)
@@ -284,8 +284,8 @@ def decision_memos(position: DataFrame, recs: DataFrame, on: str) -> DataFrame:
         line("Offer", na("recommended_offer")), line("Retained CLV", amount("predicted_retained_clv_usd")),
         line("Net value", amount("predicted_net_value_usd")),
         F.lit("## Decision\n- [ ] Approve\n- [ ] Escalate\n- [ ] Other offer"))
-    red = position.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
-    return red.join(recs, "subscriber_id", "left").select("subscriber_id", memo.alias("memo"))
+    book = scored.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
+    return book.select("subscriber_id", memo.alias("memo"))
 
 
 # ---- model spend ----

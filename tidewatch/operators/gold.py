@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import rules
+from tidewatch.functions.text import note_class
+from tidewatch.operators.silver import class_score
 from tidewatch.operators.windows import top_per_key
 from tidewatch.params import Params
 
@@ -26,16 +28,22 @@ def current_snapshot(snapshots: DataFrame, p: Params) -> DataFrame:
 
 
 def subscriber_position(current: DataFrame, subscribers: DataFrame, tickets: DataFrame,
-                        billing: DataFrame, flags: DataFrame, p: Params) -> DataFrame:
+                        billing: DataFrame, p: Params, flags: DataFrame | None = None) -> DataFrame:
     """One row per subscriber.
 
     All rollups are already grouped by subscriber, so their joins reuse that
-    partitioning; only the subscriber master is shuffled for them.
+    partitioning; only the subscriber master is shuffled for them.  The note
+    score is the keyword rule, evaluated in the row; a table of scores from a
+    costlier classifier is joined instead when one is given.
     """
     joined = (current.join(subscribers, "subscriber_id", "inner")
               .join(tickets, "subscriber_id", "left")
-              .join(billing, "subscriber_id", "left")
-              .join(flags.select("agent_note_text", "churn_signal_score"), "agent_note_text", "left"))
+              .join(billing, "subscriber_id", "left"))
+    if flags is None:
+        note = F.col("agent_note_text")
+        joined = joined.withColumn("churn_signal_score", F.when(note.isNotNull(), class_score(note_class(note), p)))
+    else:
+        joined = joined.join(flags.select("agent_note_text", "churn_signal_score"), "agent_note_text", "left")
     open_tickets = F.coalesce("open_ticket_count", F.lit(0))
     no = F.lit(False)
     return joined.select(
@@ -145,14 +153,28 @@ VIEW_COLS = ("subscriber_id", "plan_type", "tenure_months", "monthly_arpu_usd",
              "risk_band", "service_summary", "recommended_offer", "predicted_retained_clv_usd")
 
 
+def with_ranked_offer(position: DataFrame, p: Params) -> DataFrame:
+    """Position with the heuristic offer of its at-risk rows, computed in the row.
+
+    Same rows as joining the recommendation table, without a join.
+    """
+    plays = rules.offer_plays(F.col("clv_at_risk_usd"), F.col("monthly_arpu_usd"), F.col("churn_reason"), p)
+    at_risk = F.col("risk_band").isin("critical", "elevated", "watch")
+    best = F.when(at_risk, plays[0])
+    return position.withColumn("best__", best).select(
+        *position.columns, F.col("best__.offerType").alias("recommended_offer"),
+        F.col("best__.predictedRetainedClvUsd").alias("predicted_retained_clv_usd"),
+        F.col("best__.predictedNetValueUsd").alias("predicted_net_value_usd"))
+
+
 def with_offer(position: DataFrame, recs: DataFrame) -> DataFrame:
     return position.join(recs, "subscriber_id", "left")
 
 
-def atrisk_view(position: DataFrame, recs: DataFrame, limit: int = 50) -> DataFrame:
-    """Ranked view: critical and elevated subscribers by CLV at risk."""
-    red = position.filter(F.col("risk_band").isin("critical", "elevated"))
-    return (with_offer(red, recs).select(*VIEW_COLS)
+def atrisk_view(with_offers: DataFrame, limit: int = 50) -> DataFrame:
+    """Ranked view: critical and elevated subscribers with their offer, by CLV at risk."""
+    red = with_offers.filter(F.col("risk_band").isin("critical", "elevated"))
+    return (red.select(*VIEW_COLS)
             .orderBy(F.desc("clv_at_risk_usd"), "subscriber_id").limit(limit))
 
 

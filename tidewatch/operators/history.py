@@ -14,15 +14,23 @@ from tidewatch.params import Params
 CHAIN_STEPS = ("risk_trigger", "offer_recommended", "action_submitted", "action_approved")
 
 
+def followed(feed: DataFrame, p: Params) -> DataFrame:
+    """Every change once, with the time and position of the next change of its key.
+
+    A redelivered change sits right before its copy, so it is the row whose next
+    position equals its own; dropping it needs no shuffle beyond the window's.
+    """
+    led = neighbour(feed, ["entity_key"], "lsn", {"valid_to": "changed_at", "next_lsn": "lsn"}, p.hot_key_rows, forward=True)
+    return led.filter(F.col("next_lsn").isNull() | (F.col("next_lsn") != F.col("lsn")))
+
+
 def scd2(feed: DataFrame, p: Params) -> DataFrame:
     """Versions of every key with validity intervals, ordered by log position.
 
     A redelivered change (same key and position) counts once; a delete closes
     the version before it and opens none.
     """
-    once = feed.dropDuplicates(["entity_key", "lsn"])
-    led = neighbour(once, ["entity_key"], "lsn", {"valid_to": "changed_at", "next_lsn": "lsn"}, p.hot_key_rows, forward=True)
-    return (led.filter(F.col("change_type") != "delete")
+    return (followed(feed, p).filter(F.col("change_type") != "delete")
             .select("entity_key", "lsn", "state", F.col("changed_at").alias("valid_from"), "valid_to",
                     F.col("next_lsn").isNull().alias("is_current")))
 

@@ -86,16 +86,15 @@ def facility_summary(returns: DataFrame) -> DataFrame:
 def facility_lots(returns: DataFrame, facility: str, k: int = 10) -> DataFrame:
     """Top lots of one facility with their product names.
 
-    Names are made distinct before they are collected, and only for the top
-    lots: an array holds the products of one lot.
+    One pass: rows are reduced to one per lot and product, so an array only
+    holds the distinct products of one lot (a lot is made of one product).
     """
-    rows = returns.filter(F.col("facility") == facility)
-    top = (rows.groupBy("lot_id").agg(*_volume())
-           .orderBy(F.desc("return_count"), F.desc("total_refund_usd"), "lot_id").limit(k))
-    names = (rows.select("lot_id", "product_name").distinct().join(top.select("lot_id"), "lot_id", "left_semi")
-             .groupBy("lot_id").agg(F.count("product_name").alias("product_count"),
-                                    F.array_join(F.array_sort(F.collect_list("product_name")), ", ").alias("product_names")))
-    return top.join(names, "lot_id", "left")
+    per_product = returns.filter(F.col("facility") == facility).groupBy("lot_id", "product_name").agg(*_volume())
+    return (per_product.groupBy("lot_id").agg(
+        F.sum("return_count").alias("return_count"), F.sum("pending_count").alias("pending_count"),
+        F.sum("total_refund_usd").alias("total_refund_usd"), F.count("product_name").alias("product_count"),
+        F.array_join(F.array_sort(F.collect_list("product_name")), ", ").alias("product_names"))
+        .orderBy(F.desc("return_count"), F.desc("total_refund_usd"), "lot_id").limit(k))
 
 
 def lot_summary(returns: DataFrame, k: int = 20) -> DataFrame:

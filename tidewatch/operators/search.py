@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import text as X
 from tidewatch.operators.windows import top_per_key
+from tidewatch.session import cut_lineage
 
 K1, B = 1.2, 0.75
 
@@ -17,45 +18,48 @@ def _count(words: Column, term: str) -> Column:
     return F.size(F.filter(words, lambda w: w == term))
 
 
-def bm25_scores(docs: DataFrame, text_col: str, terms: list[str], keep: Column | None = None) -> DataFrame:
-    """Add the BM25 score of the query terms to every document that holds one.
+def bm25_scores(docs: DataFrame, text_col: str, query: str, carry: list[str], *, boolean: bool = True,
+                keep: Column | None = None) -> DataFrame:
+    """BM25 score of every document that holds a query word (and satisfies the query).
 
-    Term counts are taken inside each document, so nothing is exploded and no
-    text is shuffled: one pass reduces the corpus statistics to a single row, a
-    second pass scores.
+    One pass tokenises each text once and keeps a few counters per document;
+    the texts themselves are neither exploded nor shuffled.  The counters are
+    written out, because both the corpus statistics and the scores read them.
     """
-    words = X.search_words(F.col(text_col))
-    counted = docs.withColumn("w__", words).select(
-        *docs.columns, F.size("w__").alias("len__"),
-        *[_count(F.col("w__"), t).alias(f"tf__{i}") for i, t in enumerate(terms)])
+    terms = X.wanted_words(query)
+    wanted = F.lit(True) if keep is None else keep
+    # Binding the words to a lambda variable has them computed once per document.
+    facts = F.transform(F.array(X.search_words(F.col(text_col))), lambda w: F.struct(
+        F.size(w).alias("len"), *[_count(w, t).alias(f"tf{i}") for i, t in enumerate(terms)],
+        (X.words_match(w, query) if boolean else F.lit(True)).alias("match")))[0]
+    counted = cut_lineage(docs.select(*carry, wanted.alias("keep"), facts.alias("f")).select(*carry, "keep", "f.*"))
     stats = counted.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.sum("len__").alias("len"),
-        *[F.count_if(F.col(f"tf__{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).alias("s")).scalar()
-    scored = counted.withColumn("s__", stats)
-    avg = F.col("s__.len") / F.col("s__.n")
+        F.count(F.lit(1)).alias("n"), F.sum("len").alias("len"),
+        *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).alias("s")).scalar()
+    hit = reduce(lambda a, b: a | b, [F.col(f"tf{i}") > 0 for i in range(len(terms))], F.lit(False))
+    rows = counted.filter(hit & F.col("match") & F.col("keep")).withColumn("s", stats)
+    avg = F.col("s.len") / F.col("s.n")
     score = F.lit(0.0)
     for i in range(len(terms)):
-        tf, df = F.col(f"tf__{i}"), F.col(f"s__.df{i}")
-        idf = F.log(1 + (F.col("s__.n") - df + 0.5) / (df + 0.5))
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len__") / avg))
-    hit = reduce(lambda a, b: a | b, [F.col(f"tf__{i}") > 0 for i in range(len(terms))], F.lit(False))
-    rows = scored.filter(hit if keep is None else hit & keep)
-    return rows.select(*docs.columns, F.round(score, 6).alias("score"))
+        tf, df = F.col(f"tf{i}"), F.col(f"s.df{i}")
+        idf = F.log(1 + (F.col("s.n") - df + 0.5) / (df + 0.5))
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len") / avg))
+    return rows.select(*carry, F.round(score, 6).alias("score"))
 
 
 def bm25_topk(docs: DataFrame, id_col: str, text_col: str, query: str, k: int = 5) -> DataFrame:
-    return (bm25_scores(docs, text_col, X.wanted_words(query))
-            .orderBy(F.desc("score"), id_col).limit(k).select(id_col, "score"))
+    """Best k documents for the words of a query, any of which may be missing."""
+    return (bm25_scores(docs, text_col, query, [id_col], boolean=False)
+            .orderBy(F.desc("score"), id_col).limit(k))
 
 
-def note_search(notes: DataFrame, id_col: str, text_col: str, query: str, k: int = 5,
+def note_search(notes: DataFrame, id_col: str, text_col: str, query: str, carry: list[str] | None = None, k: int = 5,
                 keep: Column | None = None) -> DataFrame:
     """Rows that satisfy a web-style query, best BM25 score first."""
-    terms = X.wanted_words(query)
-    if not terms:
-        return notes.limit(0).select(*notes.columns, F.lit(0.0).alias("score"))
-    match = X.matches_query(F.col(text_col), query)
-    hits = bm25_scores(notes, text_col, terms, match if keep is None else match & keep)
+    cols = [id_col, *(carry or [])]
+    if not X.wanted_words(query):
+        return notes.limit(0).select(*cols, F.lit(0.0).alias("score"))
+    hits = bm25_scores(notes, text_col, query, cols, keep=keep)
     return hits.orderBy(F.desc("score"), id_col).limit(k)
 
 
@@ -77,9 +81,9 @@ def history_search(tickets: DataFrame, events: DataFrame, billing: DataFrame, wh
         .unionByName(events.select(
             F.lit("event").alias("source"), F.col("event_id").alias("doc_id"), F.col("node_id").alias("scope"),
             F.col("event_date").alias("at"), F.concat(F.lit("network "), F.col("event_type")).alias("doc"))))
-    hits = bm25_scores(docs, "doc", X.wanted_words(query), X.matches_query(F.col("doc"), query))
+    hits = bm25_scores(docs, "doc", query, ["source", "doc_id", "scope", "at"])
     order = [F.desc("score"), F.desc("at"), F.asc("doc_id")]
-    best = top_per_key(hits.drop("doc"), ["scope"], order, k).drop("rank")
+    best = top_per_key(hits, ["scope"], order, k).drop("rank")
     scopes = who.select("subscriber_id", F.explode(F.array("subscriber_id", "service_node_id")).alias("scope"))
     return top_per_key(scopes.join(best, "scope").drop("scope"), ["subscriber_id"], order, k)
 

@@ -11,6 +11,12 @@ from tidewatch.functions.text import note_class
 from tidewatch.params import Params
 
 
+def class_score(label: Column, p: Params) -> Column:
+    return (F.when(label == "churn_signal", F.lit(p.score_churn_signal))
+            .when(label == "at_risk", F.lit(p.score_at_risk))
+            .when(label == "healthy", F.lit(p.score_healthy)))
+
+
 def note_churn_flags(notes: DataFrame, p: Params,
                      classify: Callable[[Column], Column] = note_class) -> DataFrame:
     """Class and score of each distinct note.
@@ -19,12 +25,8 @@ def note_churn_flags(notes: DataFrame, p: Params,
     a model.  It runs once per distinct text, after the shuffle of ``distinct``.
     """
     distinct = notes.select("agent_note_text").filter(F.col("agent_note_text").isNotNull()).distinct()
-    label = classify(F.col("agent_note_text"))
-    return distinct.withColumn("note_class", label).withColumn(
-        "churn_signal_score",
-        F.when(F.col("note_class") == "churn_signal", F.lit(p.score_churn_signal))
-        .when(F.col("note_class") == "at_risk", F.lit(p.score_at_risk))
-        .when(F.col("note_class") == "healthy", F.lit(p.score_healthy)))
+    labelled = distinct.withColumn("note_class", classify(F.col("agent_note_text")))
+    return labelled.withColumn("churn_signal_score", class_score(F.col("note_class"), p))
 
 
 def silver_tickets(tickets: DataFrame) -> DataFrame:

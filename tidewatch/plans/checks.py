@@ -47,6 +47,7 @@ _REPORT = " UNION ALL ".join([
 @query("quality_report", f"SELECT rule, CAST(n_bad AS BIGINT) AS n_bad, n_bad = 0 AS passed FROM ({_REPORT})")
 def _(lake):
     e = Q.Expected()
+    lake.pin("position")
     return Q.quality_report([
         Q.position_rules(lake.position, None, e), Q.node_rule(lake.position), Q.note_rule(lake["risk_snapshots"]),
         Q.outcome_rule(lake.outcomes), Q.ramp_rule(lake["risk_snapshots"], lake.cohort, lake.p),

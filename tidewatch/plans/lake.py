@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import gold, metrics, silver
 from tidewatch.params import Params
+from tidewatch.session import cut_lineage
 from tidewatch.sources import adapters
 
 
@@ -55,7 +56,7 @@ class Lake:
     def position_at(self, p: Params) -> DataFrame:
         return gold.subscriber_position(
             gold.current_snapshot(self["risk_snapshots"], p), self["subscribers"],
-            self.tickets_rollup, silver.silver_billing(self["billing"], p), self.flags, p)
+            self.tickets_rollup, silver.silver_billing(self["billing"], p), p)
 
     @cached_property
     def position(self) -> DataFrame:
@@ -70,6 +71,16 @@ class Lake:
     def recs(self) -> DataFrame:
         return gold.recommendations(self.book, self.p)
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Position with the ranked offer of its at-risk rows."""
+        return gold.with_ranked_offer(self.position, self.p)
+
+    def pin(self, name: str) -> "Lake":
+        """Compute a table once for a query that reads it several times."""
+        self.__dict__[name] = cut_lineage(getattr(self, name))
+        return self
+
     @cached_property
     def open_atrisk(self) -> DataFrame:
         return gold.open_atrisk(self.position, self["network_events"], self["offers"], self.p)

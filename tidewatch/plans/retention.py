@@ -166,17 +166,20 @@ _VIEW = """s.subscriber_id, s.plan_type, s.tenure_months, CAST(s.monthly_arpu_us
 @query("atrisk_view", f"""SELECT {_VIEW} FROM position_v s LEFT JOIN recs_v r ON s.subscriber_id = r.subscriber_id
   WHERE s.risk_band IN ('critical', 'elevated') ORDER BY s.clv_at_risk_usd DESC, s.subscriber_id LIMIT 50""")
 def atrisk_view(lake):
-    return gold.atrisk_view(lake.position, lake.recs)
+    return gold.atrisk_view(lake.scored)
 
 
 @query("atrisk_with_offer", f"SELECT {_VIEW} FROM position_v s LEFT JOIN recs_v r ON s.subscriber_id = r.subscriber_id")
 def _(lake):
+    # The recommendations come as a table of their own here, so the position is computed once.
+    lake.pin("position")
     return gold.with_offer(lake.position, lake.recs).select(*gold.VIEW_COLS)
 
 
 @query("plan_discount_side", """SELECT b.subscriber_id, b.churn_reason, CAST(b.clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd, CAST(r.predicted_retained_clv_usd AS DOUBLE) AS predicted_retained_clv_usd
   FROM recs_v r JOIN book_v b ON r.subscriber_id = b.subscriber_id WHERE r.recommended_offer = 'plan_upgrade_discount'""")
 def _(lake):
+    lake.pin("book")
     return (lake.recs.filter(F.col("recommended_offer") == "plan_upgrade_discount")
             .join(lake.book, "subscriber_id")
             .select("subscriber_id", "churn_reason", "clv_at_risk_usd", "predicted_retained_clv_usd"))
@@ -371,7 +374,7 @@ def _(lake):
   CAST(r.predicted_retained_clv_usd AS DOUBLE) AS predicted_retained_clv_usd, CAST(r.predicted_net_value_usd AS DOUBLE) AS predicted_net_value_usd
   FROM position_v s LEFT JOIN recs_v r ON s.subscriber_id = r.subscriber_id WHERE s.subscriber_id = 'SUB-0000043'""")
 def _(lake):
-    return (gold.with_offer(lake.position, lake.recs).filter(F.col("subscriber_id") == "SUB-0000043")
+    return (lake.scored.filter(F.col("subscriber_id") == "SUB-0000043")
             .select("subscriber_id", "plan_type", "risk_band", "churn_risk_score", "clv_at_risk_usd", "service_summary",
                     "recommended_offer", "predicted_retained_clv_usd", "predicted_net_value_usd"))
 

@@ -101,7 +101,7 @@ _AT = "2024-01-30T00:00:00Z"
   FROM book_v b JOIN recs_v r ON b.subscriber_id = r.subscriber_id""")
 def _(lake):
     offers = gold.candidate_offer(lake["offers"])
-    asked = (lake.book.join(lake.recs.drop("churn_reason"), "subscriber_id")
+    asked = (lake.scored.filter(F.col("recommended_offer").isNotNull())
              .withColumn("t", rules.offer_for_reason(F.col("churn_reason")))
              .join(offers.withColumnRenamed("offer_type", "t"), "t", "left")
              .select("subscriber_id", F.col("recommended_offer").alias("offer_type"), F.col("candidate_offer_id").alias("offer_id"),
@@ -230,7 +230,7 @@ def _(lake):
   '- **Node**: ' || service_node_id, '- **Metro**: ' || home_metro, '## History', service_summary, '## Recommendation', '- **Offer**: ' || recommended_offer, '- **Retained CLV**: $' || CAST(predicted_retained_clv_usd AS VARCHAR),
   '- **Net value**: $' || CAST(predicted_net_value_usd AS VARCHAR), '## Decision', '- [ ] Approve', '- [ ] Escalate', '- [ ] Other offer') AS memo FROM book_v b JOIN recs_v r ON b.subscriber_id = r.subscriber_id""")
 def _(lake):
-    return A.decision_memos(lake.position, lake.recs, lake.p.as_of.isoformat())
+    return A.decision_memos(lake.scored, lake.p.as_of.isoformat())
 
 
 # ---- model spend ----
@@ -345,8 +345,7 @@ _NOTE_WHERE = """(contains(normal, ' thanea ') AND contains(normal, ' attion '))
 
 @query("note_search", _bm25_sql("retention_actions", "action_id", "notes", _NOTE_TERMS, _NOTE_WHERE, ", subscriber_id, action_type, outcome") + " LIMIT 5")
 def _(lake):
-    return S.note_search(lake["retention_actions"], "action_id", "notes", _NOTE_QUERY).select(
-        "action_id", "score", "subscriber_id", "action_type", "outcome")
+    return S.note_search(lake["retention_actions"], "action_id", "notes", _NOTE_QUERY, ["subscriber_id", "action_type", "outcome"])
 
 
 @query("bm25_topk", _bm25_sql("documents", "doc_id", "text", ["thanea", "attion", "eriner", "thanedble"]) + " LIMIT 5")
@@ -356,8 +355,8 @@ def _(lake):
 
 @query("similar_cases", _bm25_sql("retention_actions", "action_id", "notes", _NOTE_TERMS, f"outcome = 'retained' AND ({_NOTE_WHERE})", ", subscriber_id, offer_type") + " LIMIT 5")
 def _(lake):
-    return S.note_search(lake["retention_actions"], "action_id", "notes", _NOTE_QUERY, keep=F.col("outcome") == "retained").select(
-        "action_id", "score", "subscriber_id", "offer_type")
+    return S.note_search(lake["retention_actions"], "action_id", "notes", _NOTE_QUERY, ["subscriber_id", "offer_type"],
+                         keep=F.col("outcome") == "retained")
 
 
 _DOCS = """(SELECT 'ticket' AS source, ticket_id AS doc_id, subscriber_id AS scope, opened_date AS happened_on, ticket_type || ' ' || note_text AS doc FROM tickets
@@ -442,7 +441,7 @@ def _(lake):
   CASE WHEN CAST(substr(b.subscriber_id, 5) AS BIGINT) % 5 = 0 THEN NULL ELSE r.recommended_offer END AS recommended_offer FROM position_v b LEFT JOIN recs_v r ON r.subscriber_id = b.subscriber_id""")
 def _(lake):
     n = F.substring("subscriber_id", 5, 20).cast("bigint")
-    dirty = gold.with_offer(lake.position, lake.recs).select(
+    dirty = lake.scored.select(
         "subscriber_id", F.when(n % 4 == 0, "unknown").otherwise(F.col("risk_band")).alias("risk_band"),
         F.when(n % 5 == 0, "gift").otherwise(F.col("recommended_offer")).alias("recommended_offer"))
     return dirty.select("subscriber_id", mirror.coerce_band(F.col("risk_band")).alias("risk_band"),

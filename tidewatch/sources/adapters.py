@@ -69,7 +69,7 @@ UNION ALL
 SELECT 'SUB-' || lpad(CAST(c.c_custkey + 1 AS STRING), 7, '0'), DATE '2024-01-30', CAST(30 + c.c_custkey % 170 AS DOUBLE) / 1000,
   CASE c.c_custkey % 3 WHEN 0 THEN 'service' WHEN 1 THEN 'price' ELSE 'device' END, 0,
   CASE c.c_custkey % 2 WHEN 0 THEN 'satisfied, no issues' ELSE NULL END
-FROM customer c WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)
+FROM customer c WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT user_id FROM events) e WHERE e.user_id = c.c_custkey)
 """
 
 VIEW_SQL["billing"] = """

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.windows import neighbour
+from tidewatch.operators.history import followed
 from tidewatch.params import Params
 from tidewatch.streaming import batches
 
@@ -25,11 +25,6 @@ VERSION = FEED + ", valid_to timestamp_ntz"
 _COLS = ["entity_key", "lsn", "changed_at", "state", "change_type"]
 
 
-def _led(rows: DataFrame, p: Params) -> DataFrame:
-    return neighbour(rows, ["entity_key"], "lsn", {"valid_to": "changed_at", "next_lsn": "lsn"},
-                     p.hot_key_rows, forward=True)
-
-
 class HistoryWriter:
     def __init__(self, root: str, p: Params):
         self.root, self.p = root, p
@@ -38,11 +33,11 @@ class HistoryWriter:
         spark = batch.sparkSession
         before = [b for b in batches.finished(spark, f"{self.root}/versions") if b < batch_id]
         old = batches.get(spark, f"{self.root}/versions", VERSION, before[-1:], "/open=true").select(*_COLS)
-        new = batch.select(*_COLS).dropDuplicates(["entity_key", "lsn"])
+        new = batch.select(*_COLS)
         marked = new.join(old.select("entity_key", F.col("lsn").alias("open_lsn")), "entity_key", "left")
         batches.put(marked.filter(F.col("lsn") < F.col("open_lsn")).select(*_COLS), f"{self.root}/late", batch_id)
         fresh = marked.filter(F.col("open_lsn").isNull() | (F.col("lsn") > F.col("open_lsn"))).select(*_COLS)
-        led = _led(old.unionByName(fresh), self.p)
+        led = followed(old.unionByName(fresh), self.p)
         batches.put(led.select(*_COLS, "valid_to", F.col("next_lsn").isNull().alias("open")),
                     f"{self.root}/versions", batch_id, partition_by=("open",))
 
@@ -59,9 +54,8 @@ def read_history(spark: SparkSession, root: str, p: Params) -> DataFrame:
     stored = closed.unionByName(opened)
     late = batches.get(spark, f"{root}/late", FEED, done)
     touched = late.select("entity_key").distinct()
-    rows = (stored.join(touched, "entity_key", "left_semi").select(*_COLS).unionByName(late)
-            .dropDuplicates(["entity_key", "lsn"]))
-    redone = _led(rows, p).withColumn("is_current", F.col("next_lsn").isNull()).drop("next_lsn")
+    rows = stored.join(touched, "entity_key", "left_semi").select(*_COLS).unionByName(late)
+    redone = followed(rows, p).withColumn("is_current", F.col("next_lsn").isNull()).drop("next_lsn")
     whole = stored.join(touched, "entity_key", "left_anti").unionByName(redone)
     return whole.filter(F.col("change_type") != "delete").select(
         "entity_key", "lsn", "state", F.col("changed_at").alias("valid_from"), "valid_to", "is_current")
