@@ -203,3 +203,10 @@ def test_blank_filters_and_search_keep_all_rows(lake):
     r = lake["silver_returns"]
     n = r.count()
     assert R.filtered(r, status=None, country=None).count() == n and R.searched(r, "  ", ("city",)).count() == n
+
+
+def test_action_log_appends(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a")], "id int, v string")
+    for _ in range(2):
+        A.append_actions(str(tmp_path / "log"), rows)
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2

@@ -21,11 +21,6 @@ def money(col: Column) -> Column:
     return col.cast(MONEY)
 
 
-def usd(col: Column | str) -> Column:
-    """Money at the edge of the pipeline."""
-    return (F.col(col) if isinstance(col, str) else col).cast("double")
-
-
 def exact_avg(total: Column, count: Column) -> Column:
     """Mean from a decimal sum, so the result does not depend on row order."""
     return F.round(F.try_divide(total.cast("double"), count.cast("double")), 6)

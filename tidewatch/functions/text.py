@@ -54,16 +54,23 @@ def search_clauses(query: str) -> list[list[tuple[bool, list[str]]]]:
 
 def words_match(words: Column, query: str) -> Column:
     """True where the words of a text satisfy the query; an empty query matches nothing."""
-    # A blank around every word makes a phrase a plain substring.
+    groups = search_clauses(query)
+    if not groups:
+        return F.lit(False)
+
+    def satisfied(normal: Column) -> Column:
+        result = F.lit(False)
+        for group in groups:
+            hit = F.lit(True)
+            for wanted, part in group:
+                found = normal.contains(f" {' '.join(part)} ")
+                hit = hit & (found if wanted else ~found)
+            result = result | hit
+        return result
+
+    # A blank around every word makes a phrase a plain substring; bound once, tested often.
     normal = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-    result = F.lit(False)
-    for group in search_clauses(query):
-        hit = F.lit(True)
-        for wanted, part in group:
-            found = normal.contains(f" {' '.join(part)} ")
-            hit = hit & (found if wanted else ~found)
-        result = result | hit
-    return result
+    return F.exists(F.array(normal), satisfied)
 
 
 def matches_query(text: Column, query: str) -> Column:

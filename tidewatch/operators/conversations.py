@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import text as X
-from tidewatch.operators.windows import running_totals, top_per_key
+from tidewatch.operators.windows import running_totals
 from tidewatch.params import Params
 
 
@@ -42,16 +42,20 @@ def sanitize_history(messages: DataFrame) -> DataFrame:
 
 
 def conversation_titles(messages: DataFrame, width: int = 48) -> DataFrame:
-    """Title from the first user message, cut with an ellipsis only when it is longer."""
-    first = F.min_by("content", F.when(F.col("role") == "user", F.col("position")))
-    return messages.groupBy("conversation_id").agg(X.ellipsis(first, width).alias("title"))
+    """Title from the first user message, cut with an ellipsis only when it is longer.
+
+    The title is cut before the rows are grouped, so no message text is shuffled.
+    """
+    title = X.ellipsis(F.col("content"), width)
+    return messages.groupBy("conversation_id").agg(
+        F.min_by(title, F.when(F.col("role") == "user", F.col("position"))).alias("title"))
 
 
-def conversation_list(messages: DataFrame, k: int = 20) -> DataFrame:
-    """Latest k conversations of every user.  The id grows with time."""
+def conversation_list(messages: DataFrame) -> DataFrame:
+    """Conversations of every user, latest first.  The id grows with time."""
     per_conv = messages.groupBy("user_id", "conversation_id").agg(
         F.count(F.lit(1)).alias("n_messages"), F.max("position").alias("last_position"))
-    return top_per_key(per_conv, ["user_id"], [F.desc("conversation_id")], k)
+    return per_conv.orderBy("user_id", F.desc("conversation_id"))
 
 
 def ordered_messages(messages: DataFrame, conversation_id: int) -> DataFrame:
@@ -68,17 +72,21 @@ def next_step(messages: DataFrame, script: tuple[Step, ...]) -> DataFrame:
     """At most one suggested prompt per conversation.
 
     The first step that was not sent yet is offered when it has no triggers or
-    the last assistant message contains one of them.
+    the last assistant message contains one of them.  Texts are reduced to flags
+    before the rows are grouped.
     """
     said = F.lower(F.trim("content"))
+    unlocks = F.struct(*[
+        (X.contains_any(F.col("content"), [t.lower() for t in s.triggers]) if s.triggers else F.lit(True)).alias(f"u{i}")
+        for i, s in enumerate(script)])
     per_conv = messages.groupBy("conversation_id").agg(
-        F.coalesce(F.lower(F.max_by("content", F.when(F.col("role") == "assistant", F.col("position")))), F.lit("")).alias("last"),
+        F.max_by(unlocks, F.when(F.col("role") == "assistant", F.col("position"))).alias("last"),
         *[F.coalesce(F.bool_or((F.col("role") == "user") & (said == s.prompt.strip().lower())), F.lit(False)).alias(f"sent{i}")
           for i, s in enumerate(script)])
     step = F.lit(None).cast("string")
     for i, s in reversed(list(enumerate(script))):
-        open_ = X.contains_any(F.col("last"), [t.lower() for t in s.triggers]) if s.triggers else F.lit(True)
-        step = F.when(F.col(f"sent{i}"), step).when(open_, F.lit(s.prompt)).otherwise(F.lit(None).cast("string"))
+        is_open = F.col(f"last.u{i}") if s.triggers else F.lit(True)
+        step = F.when(F.col(f"sent{i}"), step).when(is_open, F.lit(s.prompt)).otherwise(F.lit(None).cast("string"))
     return per_conv.select("conversation_id", step.alias("next_prompt"))
 
 

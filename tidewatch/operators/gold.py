@@ -97,8 +97,16 @@ def asof_event(book: DataFrame, events: DataFrame, p: Params) -> DataFrame:
     return book.join(found, ["service_node_id", "snapshot_date", "churn_reason"], "left")
 
 
-def open_atrisk(position: DataFrame, events: DataFrame, offers: DataFrame, p: Params) -> DataFrame:
-    book = position.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
+def at_risk_book(position: DataFrame) -> DataFrame:
+    return position.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
+
+
+def open_atrisk(book: DataFrame, events: DataFrame, offers: DataFrame, p: Params) -> DataFrame:
+    """At-risk rows with linked event and candidate offer.
+
+    The book is read twice (dates to look up, rows to link), so pass a written
+    or pinned table.
+    """
     linked = asof_event(book, events, p)
     by_type = candidate_offer(offers)
     return (linked.withColumn("offer_type", rules.offer_for_reason(F.col("churn_reason")))

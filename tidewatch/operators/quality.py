@@ -113,8 +113,10 @@ def key_rule(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def reference_rule(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
-    lost = child.select(key).filter(F.col(key).isNotNull()).join(parent.select(key), key, "left_anti")
-    return _rows(lost.agg(F.count(F.lit(1)).alias(f"q13_ref_{name}")))
+    """Child rows without a parent; children are counted per key before the join."""
+    per_key = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    lost = per_key.join(parent.select(key), key, "left_anti")
+    return _rows(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(f"q13_ref_{name}")))
 
 
 def recommendation_rules(recs: DataFrame, position: DataFrame) -> DataFrame:

@@ -55,10 +55,6 @@ def silver_risk(snapshots: DataFrame, subscribers: DataFrame, flags: DataFrame)
             .join(flags.select("agent_note_text", "churn_signal_score"), "agent_note_text", "left"))
 
 
-def write_silver_risk(risk: DataFrame, path: str) -> None:
-    risk.write.mode("overwrite").partitionBy("snapshot_date").parquet(path)
-
-
 def silver_retention(history: DataFrame, subscribers: DataFrame) -> DataFrame:
     subs = subscribers.select("subscriber_id", "plan_type", "tenure_months", "home_metro")
     return history.join(subs, "subscriber_id", "left")

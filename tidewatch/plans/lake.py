@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import gold, metrics, silver
 from tidewatch.params import Params
 from tidewatch.session import cut_lineage
-from tidewatch.sources import adapters
+from tidewatch.sources import adapters, raw
 
 
 class Lake:
@@ -65,7 +65,7 @@ class Lake:
     @cached_property
     def book(self) -> DataFrame:
         """At-risk rows (critical, elevated, watch) without the linked event."""
-        return self.position.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
+        return gold.at_risk_book(self.position)
 
     @cached_property
     def recs(self) -> DataFrame:
@@ -83,7 +83,7 @@ class Lake:
 
     @cached_property
     def open_atrisk(self) -> DataFrame:
-        return gold.open_atrisk(self.position, self["network_events"], self["offers"], self.p)
+        return gold.open_atrisk(self.book, self["network_events"], self["offers"], self.p)
 
     @cached_property
     def cube(self) -> DataFrame:
@@ -93,3 +93,11 @@ class Lake:
     def cohort(self) -> DataFrame:
         """The current critical and elevated subscribers."""
         return self.position.filter(F.col("risk_band").isin("critical", "elevated")).select("subscriber_id")
+
+
+class RawLake(Lake):
+    """The same silver and gold tables over the eight raw datasets under a root."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        dataset = "retention_offers" if name == "retention_history" else name
+        return raw.read_raw(self.spark, self.sf_dir, dataset)

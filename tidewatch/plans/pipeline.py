@@ -34,7 +34,7 @@ def rebuild(lake: Lake, root: str) -> dict[str, int]:
     history = table("silver_retention", silver.silver_retention(lake["retention_history"], lake["subscribers"]))
     position = table("gold_subscriber_position", gold.subscriber_position(
         gold.current_snapshot(lake["risk_snapshots"], p), lake["subscribers"], tickets, billing, p, flags))
-    book = table("gold_open_atrisk", gold.open_atrisk(position, lake["network_events"], lake["offers"], p))
+    book = table("gold_open_atrisk", gold.open_atrisk(gold.at_risk_book(position), lake["network_events"], lake["offers"], p))
     table("gold_retention_outcomes", gold.retention_outcomes(history))
     table("gold_retention_recommendations", gold.recommendations(book, p))
     table("metric_cube", metrics.metric_cube(position))

@@ -88,7 +88,7 @@ def _(lake):
 @query("open_atrisk", """SELECT subscriber_id, plan_type, home_metro, sub_lat, sub_lng, risk_band, churn_risk_score, CAST(clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd, churn_reason,
   has_open_outage, has_open_billing, CAST(monthly_arpu_usd AS DOUBLE) AS monthly_arpu_usd, linked_event_id, linked_event_type, linked_event_date, candidate_offer_id FROM open_atrisk_v""")
 def _(lake):
-    return lake.open_atrisk.select(
+    return lake.pin("book").open_atrisk.select(
         "subscriber_id", "plan_type", "home_metro", "sub_lat", "sub_lng", "risk_band", "churn_risk_score",
         "clv_at_risk_usd", "churn_reason", "has_open_outage", "has_open_billing", "monthly_arpu_usd",
         "linked_event_id", "linked_event_type", "linked_event_date", "candidate_offer_id")
@@ -96,7 +96,7 @@ def _(lake):
 
 @query("asof_network_event", "SELECT subscriber_id, service_node_id, snapshot_date, churn_reason, linked_event_id, linked_event_type, linked_event_date FROM open_atrisk_v")
 def _(lake):
-    return gold.asof_event(lake.book, lake["network_events"], lake.p).select(
+    return gold.asof_event(lake.pin("book").book, lake["network_events"], lake.p).select(
         "subscriber_id", "service_node_id", "snapshot_date", "churn_reason",
         "linked_event_id", "linked_event_type", "linked_event_date")
 

@@ -69,23 +69,21 @@ def _(lake):
 
 
 def _requests(lake):
-    """Two approvers ask for every third action; some ids do not exist."""
+    """Two approvers ask for every action, and one for as many ids that do not exist."""
     acts = lake["retention_actions"]
-    some = acts.filter(F.col("action_id") % 3 == 0)
-    known = some.select("action_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("request_id"))
-    unknown = some.filter(F.col("action_id") % 9 == 0).select(
-        (-F.col("action_id") - 1).alias("action_id"), F.lit(1).alias("request_id"))
+    known = acts.select("action_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("request_id"))
+    unknown = acts.select((-F.col("action_id") - 1).alias("action_id"), F.lit(1).alias("request_id"))
     return known.unionByName(unknown).withColumn("approver", F.concat(F.lit("lead-"), F.col("request_id")))
 
 
-@query("approve_actions", """SELECT action_id, 'lead-1' AS approver, CAST(2 AS BIGINT) AS n_requests, CASE WHEN outcome = 'pending' THEN 'approved' ELSE 'not_pending' END AS result FROM retention_actions WHERE action_id % 3 = 0
-  UNION ALL SELECT -action_id - 1, 'lead-1', 1, 'not_found' FROM retention_actions WHERE action_id % 9 = 0""")
+@query("approve_actions", """SELECT action_id, 'lead-1' AS approver, CAST(2 AS BIGINT) AS n_requests, CASE WHEN outcome = 'pending' THEN 'approved' ELSE 'not_pending' END AS result FROM retention_actions
+  UNION ALL SELECT -action_id - 1, 'lead-1', 1, 'not_found' FROM retention_actions""")
 def _(lake):
     return A.approval_report(lake["retention_actions"], _requests(lake))
 
 
-@query("approved_log", """SELECT action_id, subscriber_id, CASE WHEN action_id % 3 = 0 AND outcome = 'pending' THEN 'approved' ELSE outcome END AS outcome,
-  CASE WHEN action_id % 3 = 0 AND outcome = 'pending' THEN 'lead-1' ELSE agent_id END AS agent_id, action_id % 3 = 0 AND outcome = 'pending' AS was_updated FROM retention_actions""")
+@query("approved_log", """SELECT action_id, subscriber_id, CASE WHEN outcome = 'pending' THEN 'approved' ELSE outcome END AS outcome,
+  CASE WHEN outcome = 'pending' THEN 'lead-1' ELSE agent_id END AS agent_id, outcome = 'pending' AS was_updated FROM retention_actions""")
 def _(lake):
     return A.approve_actions(lake["retention_actions"], _requests(lake)).select(
         "action_id", "subscriber_id", "outcome", "agent_id", "was_updated")
@@ -195,10 +193,10 @@ def _(lake):
 @query("decide_rows", """SELECT return_id, CASE WHEN ok THEN decision ELSE status END AS status, ok AS was_updated,
   CASE WHEN ok THEN '[{"at":"2024-01-30","by":"lead","action":"' || decision || '","tool":"decide"}]' ELSE '[]' END AS audit_trail
   FROM (SELECT *, status = 'pending' AND decision <> 'cancelled' AS ok FROM (SELECT return_id, status, CASE customer_id % 4 WHEN 0 THEN 'approved' WHEN 1 THEN 'rejected' WHEN 2 THEN 'escalated' ELSE 'cancelled' END AS decision
-    FROM silver_returns WHERE customer_id % 3 = 0))""")
+    FROM silver_returns))""")
 def _(lake):
     c = F.col("customer_id")
-    asked = lake["silver_returns"].filter(c % 3 == 0).select(
+    asked = lake["silver_returns"].select(
         "return_id", F.when(c % 4 == 0, "approved").when(c % 4 == 1, "rejected").when(c % 4 == 2, "escalated").otherwise("cancelled").alias("decision"),
         F.lit("lead").alias("by"), c.alias("request_id"))
     rows = A.decide_rows(lake["silver_returns"].select("return_id", "status"), asked, F.lit("2024-01-30"))
@@ -274,8 +272,13 @@ def _(lake):
     return C.conversation_titles(lake["messages"])
 
 
-@query("conversation_list", """SELECT user_id, conversation_id, n_messages, last_position, CAST(rn AS INT) AS rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY conversation_id DESC) AS rn FROM (
-  SELECT 'user-' || CAST(conversation_id % 7 AS VARCHAR) AS user_id, conversation_id, COUNT(*) AS n_messages, MAX(position) AS last_position FROM messages GROUP BY conversation_id)) WHERE rn <= 20""")
+@query("conversation_messages", "SELECT conversation_id, position, role, content FROM messages WHERE conversation_id = 3")
+def _(lake):
+    return C.ordered_messages(lake["messages"], 3)
+
+
+@query("conversation_list", """SELECT 'user-' || CAST(conversation_id % 7 AS VARCHAR) AS user_id, conversation_id, COUNT(*) AS n_messages, MAX(position) AS last_position
+  FROM messages GROUP BY conversation_id""")
 def _(lake):
     owned = lake["messages"].withColumn("user_id", F.concat(F.lit("user-"), (F.col("conversation_id") % 7).cast("string")))
     return C.conversation_list(owned)
@@ -429,11 +432,12 @@ def _(lake):
 
 # ---- mirrors ----
 
-@query("publish_mirror", """SELECT subscriber_id, risk_band, CAST(clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd FROM position_before_v WHERE CAST(substr(subscriber_id, 5) AS BIGINT) % 3 <> 0
-  UNION ALL SELECT subscriber_id, risk_band, CAST(clv_at_risk_usd AS DOUBLE) FROM position_v WHERE subscriber_id NOT IN (SELECT subscriber_id FROM position_before_v WHERE CAST(substr(subscriber_id, 5) AS BIGINT) % 3 <> 0)""")
+@query("publish_mirror", """SELECT subscriber_id, risk_band, CAST(clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd FROM position_before_v WHERE risk_band <> 'healthy'
+  UNION ALL SELECT subscriber_id, risk_band, CAST(clv_at_risk_usd AS DOUBLE) FROM position_v WHERE subscriber_id NOT IN (SELECT subscriber_id FROM position_before_v WHERE risk_band <> 'healthy')""")
 def _(lake):
     cols = ("subscriber_id", "risk_band", "clv_at_risk_usd")
-    before = lake.position_at(gold.at(lake.p, date(2024, 1, 29))).filter(F.substring("subscriber_id", 5, 20).cast("bigint") % 3 != 0)
+    # The mirror holds yesterday's at-risk book; everybody else is added.
+    before = gold.at_risk_book(lake.position_at(gold.at(lake.p, date(2024, 1, 29))))
     return mirror.merged(before.select(*cols), lake.position.select(*cols), "subscriber_id")
 
 

@@ -203,10 +203,6 @@ VIEW_SQL = {name: _PAD.sub(r"lpad(\1, CAST(greatest(\2, length(\1)) AS INT), '0'
 _SOURCE = re.compile(r"\b(FROM|JOIN)\s+(\w+)", re.IGNORECASE)
 
 
-def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
-
-
 def bind_view(spark: SparkSession, name: str, resolve) -> DataFrame:
     """Plan one adapter statement over the DataFrames that ``resolve(name)`` returns."""
     text = VIEW_SQL[name]
