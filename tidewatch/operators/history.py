@@ -52,13 +52,13 @@ def chain_columns() -> list:
     return [missing.alias("missing_steps"), verdict.alias("verdict")]
 
 
-def decision_chains(log: DataFrame) -> DataFrame:
-    """One verdict per subscriber and action.
+def decision_chains(log: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """One verdict per subscriber and action, for a table or a stream.
 
     The order of steps is decided by the first event of each kind, which is a
     plain aggregate; no chain is ever sorted or collected.
     """
-    first = log.groupBy("subscriber_id", "action_date").agg(
+    first = log.groupBy("subscriber_id", "action_date", *extra_keys).agg(
         F.count(F.lit(1)).alias("n_events"),
         *[F.min(F.when(F.col("event_type") == s, F.col("event_id"))).alias(s) for s in CHAIN_STEPS])
     return first.select("subscriber_id", "action_date", "n_events", *CHAIN_STEPS, *chain_columns())

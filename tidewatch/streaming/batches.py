@@ -38,9 +38,9 @@ def get(spark: SparkSession, root: str, schema: str, batches: list[int] | None =
     return spark.read.schema(schema).parquet(*dirs) if dirs else spark.createDataFrame([], schema)
 
 
-def run_available(stream: DataFrame, apply, checkpoint: str) -> None:
+def run_available(stream: DataFrame, apply, checkpoint: str, mode: str = "append") -> None:
     """Process everything that is there, batch by batch, and stop."""
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    q = (stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:

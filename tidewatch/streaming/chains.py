@@ -1,74 +1,45 @@
-"""Decision chains as a stateful stream, one small state per subscriber and action.
+"""Decision chains as a stateful stream.
 
-A chain's state is the first event id of each step and a counter, however many
-events it gets.  ``keep_days`` drops the state of chains that went quiet;
-without it no state is dropped and late events always count.
+The batch definition is an aggregate per subscriber and action, so the stream is
+the same aggregate kept in Spark's state store: a chain's state is the first
+event id of each step and a counter, however many events it gets, and events
+are combined map-side before they reach it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidewatch.operators.history import CHAIN_STEPS, chain_columns
+from tidewatch.operators.history import CHAIN_STEPS, decision_chains
 from tidewatch.streaming import batches
 
 LOG = "event_id bigint, subscriber_id string, action_date date, created_at timestamp_ntz, event_type string"
-STATE = "n_events bigint, " + ", ".join(f"{s} bigint" for s in CHAIN_STEPS)
-UPDATE = "subscriber_id string, action_date date, " + STATE
-
-
-def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    n, *first = state.get if state.exists else (0, *[None] * len(CHAIN_STEPS))
-    for pdf in frames:
-        n += len(pdf)
-        seen = pdf.groupby("event_type")["event_id"].min()
-        first = [int(seen[s]) if f is None and s in seen else (min(f, int(seen[s])) if s in seen else f)
-                 for s, f in zip(CHAIN_STEPS, first)]
-    state.update((n, *first))
-    row = pd.DataFrame([[*key, n, *first]], columns=["subscriber_id", "action_date", "n_events", *CHAIN_STEPS])
-    yield row.astype({s: "Int64" for s in CHAIN_STEPS})
-
-
-def _update_and_expire(keep_days: int):
-    def update(key, frames, state):
-        yield from _update(key, frames, state)
-        if state.exists:
-            day = pd.Timestamp(key[1]) + pd.Timedelta(days=keep_days)
-            state.setTimeoutTimestamp(max(int(day.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
-    return update
+CHAIN = ("subscriber_id string, action_date date, n_events bigint, " + ", ".join(f"{s} bigint" for s in CHAIN_STEPS)
+         + ", missing_steps string, verdict string")
 
 
 def chain_updates(log: DataFrame, keep_days: int | None = None) -> DataFrame:
-    """One row per chain that changed in a micro-batch."""
+    """One row per chain that changed in a micro-batch (update mode).
+
+    Without ``keep_days`` the state is never dropped and late events always
+    count.  With it, state is released that many days after a chain's day, and
+    events later than that are left out by the watermark.
+    """
     if keep_days is None:
-        return log.groupBy("subscriber_id", "action_date").applyInPandasWithState(
-            _update, UPDATE, STATE, "update", GroupStateTimeout.NoTimeout)
+        return decision_chains(log)
     timed = log.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark("created_at", f"{keep_days} days")
-    return timed.groupBy("subscriber_id", "action_date").applyInPandasWithState(
-        _update_and_expire(keep_days), UPDATE, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    return decision_chains(timed.withColumn("day", F.window("created_at", "1 day")), extra_keys=("day",))
 
 
 def stream_chains(log: DataFrame, root: str, checkpoint: str, keep_days: int | None = None) -> None:
-    updates = chain_updates(log, keep_days)
-    q = (updates.writeStream.outputMode("update")
-         .foreachBatch(lambda df, batch_id: batches.put(df, f"{root}/chains", batch_id))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    batches.run_available(chain_updates(log, keep_days), lambda df, batch_id: batches.put(df, f"{root}/chains", batch_id),
+                          checkpoint, mode="update")
 
 
 def read_chains(spark: SparkSession, root: str) -> DataFrame:
-    """The newest row of every chain with its verdict."""
-    rows = batches.get(spark, f"{root}/chains", UPDATE)
-    newest = rows.groupBy("subscriber_id", "action_date").agg(
-        F.max_by(F.struct("n_events", *CHAIN_STEPS), F.col("n_events")).alias("s")).select("subscriber_id", "action_date", "s.*")
-    return newest.select("*", *chain_columns())
+    """The newest row of every chain; its event counter only grows."""
+    rows = batches.get(spark, f"{root}/chains", CHAIN)
+    keys = ("subscriber_id", "action_date")
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), F.col("n_events")).alias("s"))
+            .select(*keys, "s.*"))
