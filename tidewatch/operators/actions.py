@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import rules, text
+from tidewatch.operators.returns import filtered, searched
 from tidewatch.operators.windows import running_totals
 from tidewatch.params import ACTION_OUTCOMES, ACTION_TYPES, OFFER_TYPES, Params
 
@@ -32,6 +33,24 @@ def live_state(position: DataFrame, actions: DataFrame) -> DataFrame:
         "offer_applied", F.coalesce(F.col("last_outcome").isin(*APPLIED), F.lit(False)))
 
 
+# Tabs and sort keys of the care queue.
+TABS = {"all": None, "critical": "critical", "elevated": "elevated", "watch": "watch", "applied": None}
+CARE_SORTS = {"clv": "clv_at_risk_usd", "risk": "churn_risk_score", "tenure": "tenure_months"}
+
+
+def care_queue(state: DataFrame, tab: str = "all", search: str | None = None, sort: str = "clv",
+               limit: int | None = None, **filters) -> DataFrame:
+    """The at-risk work list: tab, optional filters and search, one of three orders."""
+    rows = state.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
+    if tab == "applied":
+        rows = rows.filter("offer_applied")
+    elif TABS[tab]:
+        rows = rows.filter(F.col("risk_band") == TABS[tab])
+    rows = searched(filtered(rows, **filters), search, ("subscriber_id", "plan_type", "home_metro"))
+    rows = rows.orderBy(F.desc(CARE_SORTS[sort]), "subscriber_id")
+    return rows.limit(limit) if limit else rows
+
+
 def care_kpis(state: DataFrame) -> DataFrame:
     """Queue counters before and net of applied offers."""
     red = F.col("risk_band").isin(*RED)

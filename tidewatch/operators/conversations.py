@@ -28,6 +28,14 @@ def next_positions(messages: DataFrame) -> DataFrame:
         (F.count(F.lit(1)) - F.countDistinct("position")).alias("n_duplicates"))
 
 
+def append_messages(messages: DataFrame, incoming: DataFrame, p: Params) -> DataFrame:
+    """Incoming messages with their positions: after the last stored one, dense, in arrival order."""
+    after = messages.groupBy("conversation_id").agg((F.max("position") + 1).alias("start"))
+    run = running_totals(incoming.withColumn("one", F.lit(1).cast("bigint")), ["conversation_id"], "arrival", {"n": "one"}, p.hot_key_rows)
+    return (run.join(after, "conversation_id", "left")
+            .withColumn("position", F.coalesce("start", F.lit(0)) + F.col("n") - 1).drop("one", "n", "start"))
+
+
 def _clean(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("role").isin("user", "assistant")
                            & (F.length(F.trim(F.coalesce("content", F.lit("")))) > 0))

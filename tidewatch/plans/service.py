@@ -35,6 +35,22 @@ def _(lake):
         "subscriber_id", "risk_band", "clv_at_risk_usd", "last_action_id", "last_offer", "last_outcome", "offer_applied")
 
 
+_CARE = f"""SELECT subscriber_id, plan_type, home_metro, tenure_months, churn_risk_score, churn_reason, CAST(clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd, risk_band, offer_applied FROM ({_STATE}) q WHERE risk_band <> 'healthy'"""
+_CARE_COLS = ("subscriber_id", "plan_type", "home_metro", "tenure_months", "churn_risk_score", "churn_reason",
+              "clv_at_risk_usd", "risk_band", "offer_applied")
+
+for _name, _sql, _args in (
+        ("care_queue", "", {}),
+        ("care_queue_applied", "AND offer_applied", {"tab": "applied"}),
+        ("care_queue_filtered", "AND plan_type = 'mobile' AND churn_reason = 'service'", {"plan_type": "mobile", "churn_reason": "service", "risk_band": None}),
+        ("care_queue_search", "AND (lower(subscriber_id) LIKE '%an%' OR lower(plan_type) LIKE '%an%' OR lower(home_metro) LIKE '%an%')", {"search": "AN "}),
+        ("care_queue_by_clv", "AND risk_band = 'elevated' ORDER BY q.clv_at_risk_usd DESC, subscriber_id LIMIT 25", {"tab": "elevated", "limit": 25}),
+        ("care_queue_by_risk", "ORDER BY churn_risk_score DESC, subscriber_id LIMIT 25", {"sort": "risk", "limit": 25}),
+        ("care_queue_by_tenure", "ORDER BY tenure_months DESC, subscriber_id LIMIT 25", {"sort": "tenure", "limit": 25})):
+    query(_name, f"{_CARE} {_sql}")(
+        lambda lake, a=_args: A.care_queue(A.live_state(lake.position, lake["retention_actions"]), **a).select(*_CARE_COLS))
+
+
 @query("care_kpis", f"""SELECT CAST(SUM(clv_at_risk_usd) AS DOUBLE) AS clv_at_risk_usd, CAST(SUM(CASE WHEN offer_applied THEN 0 ELSE clv_at_risk_usd END) AS DOUBLE) AS clv_open_usd,
   CAST(SUM(open_ticket_count) AS BIGINT) AS open_tickets, COUNT(*) FILTER (WHERE risk_band IN ('critical', 'elevated')) AS atrisk_count,
   COUNT(*) FILTER (WHERE risk_band IN ('critical', 'elevated') AND NOT offer_applied) AS atrisk_open_count, COUNT(*) FILTER (WHERE offer_applied) AS applied_count FROM ({_STATE})""")
@@ -259,6 +275,16 @@ def _(lake):
     return C.next_positions(lake["messages"])
 
 
+@query("append_messages", """SELECT i.conversation_id, i.arrival, COALESCE(m.top, -1) + ROW_NUMBER() OVER (PARTITION BY i.conversation_id ORDER BY i.arrival) AS position
+  FROM (SELECT conversation_id, position * 3 AS arrival FROM messages WHERE role = 'assistant') i
+  LEFT JOIN (SELECT conversation_id, MAX(position) AS top FROM messages WHERE role <> 'assistant' GROUP BY conversation_id) m ON m.conversation_id = i.conversation_id""")
+def _(lake):
+    # The stored messages are those of users; the answers arrive later.
+    stored = lake["messages"].filter("role <> 'assistant'")
+    later = lake["messages"].filter("role = 'assistant'").select("conversation_id", (F.col("position") * 3).alias("arrival"))
+    return C.append_messages(stored, later, lake.p)
+
+
 @query("sanitize_history", """SELECT m.conversation_id, m.position, m.role, md5(m.content) AS content_md5 FROM messages m JOIN (SELECT conversation_id, arg_max(role, position) AS last_role FROM messages
   WHERE role IN ('user', 'assistant') AND length(trim(content)) > 0 GROUP BY conversation_id) e ON e.conversation_id = m.conversation_id
   WHERE e.last_role = 'user' AND m.role IN ('user', 'assistant') AND length(trim(m.content)) > 0""")
