@@ -23,16 +23,16 @@ def feed_dir(lake, tmp_path):
     return feed, root
 
 
-def _run(spark, root, out, p=P):
+def _run(spark, root, out, p=P, buckets=64):
     stream = batches.file_stream(spark, f"{root}/n=*", cdc.FEED, 1)
-    cdc.stream_history(stream, f"{out}/h", f"{out}/cp", p)
+    cdc.stream_history(stream, f"{out}/h", f"{out}/cp", p, buckets)
 
 
-@pytest.mark.parametrize("hot_rows", [4, 10**6])
-def test_history_equals_batch(spark, feed_dir, tmp_path, hot_rows):
+@pytest.mark.parametrize("hot_rows,buckets", [(4, 3), (10**6, 64)])
+def test_history_equals_batch(spark, feed_dir, tmp_path, hot_rows, buckets):
     feed, root = feed_dir
     p = Params(hot_key_rows=hot_rows)
-    _run(spark, root, str(tmp_path), p)
+    _run(spark, root, str(tmp_path), p, buckets)
     assert len(batches.finished(spark, f"{tmp_path}/h/versions")) == 4
     same_rows(cdc.read_history(spark, f"{tmp_path}/h", p), history.scd2(feed, P))
     same_rows(cdc.read_latest(spark, f"{tmp_path}/h"), history.latest_state(feed))
@@ -51,6 +51,19 @@ def test_replayed_batch_changes_nothing(spark, feed_dir, tmp_path):
     assert batches.finished(spark, f"{tmp_path}/h/versions") == done
 
 
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    writer = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=8)
+    rows = lambda *kl: spark.createDataFrame([(k, n, "s", "upsert") for k, n in kl], "entity_key bigint, lsn bigint, state string, change_type string").withColumn(
+        "changed_at", F.timestamp_seconds(F.col("lsn")).cast("timestamp_ntz"))
+    writer(rows(*[(k, k) for k in range(100)]), 0)
+    writer(rows((5, 1000)), 1)
+    assert len(batches.children(spark, f"{tmp_path}/h/versions/batch=0/open=true")) == 8
+    assert len(batches.children(spark, f"{tmp_path}/h/versions/batch=1/open=true")) == 1
+    assert cdc.read_latest(spark, f"{tmp_path}/h").count() == 100
+    h = cdc.read_history(spark, f"{tmp_path}/h", P)
+    assert h.count() == 101 and h.filter("is_current").count() == 100
+
+
 def test_unfinished_batch_is_not_read(spark, tmp_path):
     df = spark.range(3)
     batches.put(df, f"{tmp_path}/t", 0)

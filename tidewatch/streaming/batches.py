@@ -15,14 +15,18 @@ def put(df: DataFrame, root: str, batch_id: int, *, partition_by: tuple[str, ...
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/batch={batch_id}")
 
 
+def children(spark: SparkSession, root: str) -> list[str]:
+    """Names of the partition directories under a directory that may not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if "=" in s.getPath().getName()) if fs.exists(p) else []
+
+
 def finished(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the batches whose write was completed."""
     path = spark._jvm.org.apache.hadoop.fs.Path
-    p = path(root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    names = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("batch=")]
-    return sorted(int(n.getName()[6:]) for n in names if fs.exists(path(n, "_SUCCESS")))
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(int(n[6:]) for n in children(spark, root) if fs.exists(path(f"{root}/{n}/_SUCCESS")))
 
 
 def get(spark: SparkSession, root: str, schema: str, batches: list[int] | None = None, sub: str = "") -> DataFrame:
@@ -35,7 +39,9 @@ def get(spark: SparkSession, root: str, schema: str, batches: list[int] | None =
     dirs = [f"{root}/batch={b}{sub}" for b in ids]
     conf = spark._jsc.hadoopConfiguration()
     dirs = [d for d in dirs if path(d).getFileSystem(conf).exists(path(d))]
-    return spark.read.schema(schema).parquet(*dirs) if dirs else spark.createDataFrame([], schema)
+    empty = spark.createDataFrame([], schema)
+    # Directory names below the base read as partition columns; only declared columns are kept.
+    return spark.read.schema(schema).option("basePath", root).parquet(*dirs).select(*empty.columns) if dirs else empty
 
 
 def run_available(stream: DataFrame, apply, checkpoint: str, mode: str = "append") -> None:

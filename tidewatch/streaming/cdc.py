@@ -3,10 +3,11 @@
 Layout under ``root``:
 
 * ``versions/batch=N/open=false``: versions closed by batch N, never rewritten
-* ``versions/batch=N/open=true``: the open version of every key after batch N
+* ``versions/batch=N/open=true/bucket=B``: open versions of the keys of bucket B after batch N;
+  written only for buckets that batch N touched, so the newest directory of a bucket is valid
 * ``late/batch=N``: changes older than the open version of their key
 
-A batch reads the open versions of the batch before it and the new changes;
+A batch reads the open versions of the buckets it touches and the new changes;
 closed history is never read again.  Late changes are kept beside the history
 and woven in by the reader, for the keys concerned only.
 """
@@ -25,32 +26,49 @@ VERSION = FEED + ", valid_to timestamp_ntz"
 _COLS = ["entity_key", "lsn", "changed_at", "state", "change_type"]
 
 
+def _newest_open(spark: SparkSession, root: str, done: list[int]) -> dict[str, str]:
+    """Newest open directory of every bucket."""
+    newest = {}
+    for b in done:
+        base = f"{root}/versions/batch={b}/open=true"
+        newest.update({name: f"{base}/{name}" for name in batches.children(spark, base)})
+    return newest
+
+
+def _read(spark: SparkSession, dirs: list[str]) -> DataFrame:
+    return spark.read.schema(VERSION).parquet(*dirs) if dirs else spark.createDataFrame([], VERSION)
+
+
 class HistoryWriter:
-    def __init__(self, root: str, p: Params):
-        self.root, self.p = root, p
+    def __init__(self, root: str, p: Params, buckets: int = 64):
+        self.root, self.p, self.buckets = root, p, buckets
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64("entity_key"), F.lit(self.buckets))
+        # At most one small number per bucket comes back to the driver.
+        touched = [f"bucket={r.b}" for r in batch.select(bucket.alias("b")).distinct().collect()]
         before = [b for b in batches.finished(spark, f"{self.root}/versions") if b < batch_id]
-        old = batches.get(spark, f"{self.root}/versions", VERSION, before[-1:], "/open=true").select(*_COLS)
+        newest = _newest_open(spark, self.root, before)
+        old = _read(spark, [newest[t] for t in touched if t in newest]).select(*_COLS)
         new = batch.select(*_COLS)
         marked = new.join(old.select("entity_key", F.col("lsn").alias("open_lsn")), "entity_key", "left")
         batches.put(marked.filter(F.col("lsn") < F.col("open_lsn")).select(*_COLS), f"{self.root}/late", batch_id)
         fresh = marked.filter(F.col("open_lsn").isNull() | (F.col("lsn") > F.col("open_lsn"))).select(*_COLS)
         led = followed(old.unionByName(fresh), self.p)
-        batches.put(led.select(*_COLS, "valid_to", F.col("next_lsn").isNull().alias("open")),
-                    f"{self.root}/versions", batch_id, partition_by=("open",))
+        batches.put(led.select(*_COLS, "valid_to", F.col("next_lsn").isNull().alias("open"), bucket.alias("bucket")),
+                    f"{self.root}/versions", batch_id, partition_by=("open", "bucket"))
 
 
-def stream_history(feed: DataFrame, root: str, checkpoint: str, p: Params) -> None:
-    batches.run_available(feed, HistoryWriter(root, p), checkpoint)
+def stream_history(feed: DataFrame, root: str, checkpoint: str, p: Params, buckets: int = 64) -> None:
+    batches.run_available(feed, HistoryWriter(root, p, buckets), checkpoint)
 
 
 def read_history(spark: SparkSession, root: str, p: Params) -> DataFrame:
     """All versions with validity intervals; the same rows as the batch job gives."""
     done = batches.finished(spark, f"{root}/versions")
     closed = batches.get(spark, f"{root}/versions", VERSION, done, "/open=false").withColumn("is_current", F.lit(False))
-    opened = batches.get(spark, f"{root}/versions", VERSION, done[-1:], "/open=true").withColumn("is_current", F.lit(True))
+    opened = _read(spark, list(_newest_open(spark, root, done).values())).withColumn("is_current", F.lit(True))
     stored = closed.unionByName(opened)
     late = batches.get(spark, f"{root}/late", FEED, done)
     touched = late.select("entity_key").distinct()
@@ -62,7 +80,6 @@ def read_history(spark: SparkSession, root: str, p: Params) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    """Newest state per key: the open versions of the last batch."""
-    done = batches.finished(spark, f"{root}/versions")
-    opened = batches.get(spark, f"{root}/versions", VERSION, done[-1:], "/open=true")
+    """Newest state per key: the open versions."""
+    opened = _read(spark, list(_newest_open(spark, root, batches.finished(spark, f"{root}/versions")).values()))
     return opened.filter(F.col("change_type") != "delete").select("entity_key", "lsn", "state", "changed_at")
