@@ -73,12 +73,13 @@ def test_named_queries(spark, lake):
     from tidewatch.operators import returns as R
     for t in ("silver_returns", "silver_order_items", "lots", "products"):
         lake[t].createOrReplaceTempView(f"tw_{t}")
-    got = named_queries.run_named(spark, "worst_lots", prefix="tw_")
+    names = {"returns": "tw_silver_returns", "items": "tw_silver_order_items", "lots": "tw_lots", "products": "tw_products"}
+    got = named_queries.run_named(spark, "worst_lots", **names)
     want = R.worst_lots(lake["lots"], lake["products"], lake["silver_order_items"], lake["silver_returns"])
     assert [(r.lot_id, r.return_rate_pct, r.region) for r in got.collect()] == [(r.lot_id, r.return_rate_pct, r.region) for r in want.collect()]
-    assert named_queries.run_named(spark, "daily_refund_trend", prefix="tw_", as_of="2024-01-30").count() == \
+    assert named_queries.run_named(spark, "daily_refund_trend", as_of="2024-01-30", **names).count() == \
         R.daily_refund_trend(lake["silver_returns"], lake.p).count()
-    assert named_queries.run_named(spark, "returns_by_product", prefix="tw_").count() == 10
+    assert named_queries.run_named(spark, "returns_by_product", **names).count() == 10
     with pytest.raises(KeyError):
         named_queries.run_named(spark, "drop table x")
 
