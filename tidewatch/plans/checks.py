@@ -51,7 +51,7 @@ def _(lake):
     return Q.quality_report([
         Q.position_rules(lake.position, None, e), Q.node_rule(lake.position), Q.note_rule(lake["risk_snapshots"]),
         Q.outcome_rule(lake.outcomes), Q.ramp_rule(lake["risk_snapshots"], lake.cohort, lake.p),
-        Q.cube_rule(lake.position, lake.cube), *[Q.key_rule(lake[t], k, t) for t, k in _KEYS.items()],
+        Q.cube_rule(lake.position, lake.cube), *[Q.key_rule(lake["action_log" if t == "retention_actions" else t], k, t) for t, k in _KEYS.items()],
         *[Q.reference_rule(lake[t], lake["subscribers"], "subscriber_id", t) for t in _REFS],
         Q.recommendation_rules(lake.recs, lake.position)])
 
@@ -61,7 +61,7 @@ def _(lake):
     for t, k in {**_KEYS, "lineitem": "l_orderkey", "documents": "text"}.items()))
 def _(lake):
     keys = {**_KEYS, "lineitem": "l_orderkey", "documents": "text"}
-    return Q.duplicate_keys({t: (lake[t], k) for t, k in keys.items()})
+    return Q.duplicate_keys({t: (lake["action_log" if t == "retention_actions" else t], k) for t, k in keys.items()})
 
 
 @query("ml_features", """SELECT retention_id, offer_type, churn_reason, offer_type || '|' || churn_reason AS offer_reason, CAST(monthly_arpu_usd AS DOUBLE) AS monthly_arpu_usd,

@@ -22,7 +22,7 @@ from tidewatch.sources import mirror
 
 @query("latest_action", "SELECT subscriber_id, action_id, action_type, offer_type, outcome, agent_id, created_at FROM latest_action_v")
 def _(lake):
-    return A.latest_action(lake["retention_actions"])
+    return A.latest_action(lake["action_log"])
 
 
 _STATE = """SELECT p.*, a.action_id AS last_action_id, a.offer_type AS last_offer, a.outcome AS last_outcome, COALESCE(a.outcome IN ('approved', 'retained'), false) AS offer_applied
@@ -31,7 +31,7 @@ _STATE = """SELECT p.*, a.action_id AS last_action_id, a.offer_type AS last_offe
 
 @query("live_state", f"SELECT subscriber_id, risk_band, CAST(clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd, last_action_id, last_offer, last_outcome, offer_applied FROM ({_STATE})")
 def _(lake):
-    return A.live_state(lake.position, lake["retention_actions"]).select(
+    return A.live_state(lake.position, lake["action_log"]).select(
         "subscriber_id", "risk_band", "clv_at_risk_usd", "last_action_id", "last_offer", "last_outcome", "offer_applied")
 
 
@@ -48,14 +48,14 @@ for _name, _sql, _args in (
         ("care_queue_by_risk", "ORDER BY churn_risk_score DESC, subscriber_id LIMIT 25", {"sort": "risk", "limit": 25}),
         ("care_queue_by_tenure", "ORDER BY tenure_months DESC, subscriber_id LIMIT 25", {"sort": "tenure", "limit": 25})):
     query(_name, f"{_CARE} {_sql}")(
-        lambda lake, a=_args: A.care_queue(A.live_state(lake.position, lake["retention_actions"]), **a).select(*_CARE_COLS))
+        lambda lake, a=_args: A.care_queue(A.live_state(lake.position, lake["action_log"]), **a).select(*_CARE_COLS))
 
 
 @query("care_kpis", f"""SELECT CAST(SUM(clv_at_risk_usd) AS DOUBLE) AS clv_at_risk_usd, CAST(SUM(CASE WHEN offer_applied THEN 0 ELSE clv_at_risk_usd END) AS DOUBLE) AS clv_open_usd,
   CAST(SUM(open_ticket_count) AS BIGINT) AS open_tickets, COUNT(*) FILTER (WHERE risk_band IN ('critical', 'elevated')) AS atrisk_count,
   COUNT(*) FILTER (WHERE risk_band IN ('critical', 'elevated') AND NOT offer_applied) AS atrisk_open_count, COUNT(*) FILTER (WHERE offer_applied) AS applied_count FROM ({_STATE})""")
 def _(lake):
-    return A.care_kpis(A.live_state(lake.position, lake["retention_actions"]))
+    return A.care_kpis(A.live_state(lake.position, lake["action_log"]))
 
 
 @query("live_kpi", """SELECT d.day, d.n_actions, d.n_applied, COALESCE(s.newly_saved, 0) AS newly_saved, CAST(COALESCE(s.clv_drop_usd, 0) AS DOUBLE) AS clv_drop_usd FROM
@@ -63,30 +63,32 @@ def _(lake):
   LEFT JOIN (SELECT f.day, COUNT(*) AS newly_saved, SUM(p.clv_at_risk_usd) AS clv_drop_usd FROM (SELECT subscriber_id, CAST(MIN(created_at) AS DATE) AS day FROM retention_actions WHERE outcome IN ('approved', 'retained') GROUP BY subscriber_id) f
     JOIN position_v p ON p.subscriber_id = f.subscriber_id WHERE p.risk_band IN ('critical', 'elevated') GROUP BY f.day) s ON s.day = d.day""")
 def _(lake):
-    return A.live_kpi(lake.position, lake["retention_actions"])
+    return A.live_kpi(lake.position, lake["action_log"])
 
 
 @query("actions_on_atrisk", "SELECT a.action_id, a.subscriber_id, a.action_type, a.outcome FROM retention_actions a WHERE a.subscriber_id IN (SELECT subscriber_id FROM cohort_v)")
 def _(lake):
-    return (lake["retention_actions"].join(lake.cohort, "subscriber_id", "left_semi")
+    return (lake["action_log"].join(lake.cohort, "subscriber_id", "left_semi")
             .select("action_id", "subscriber_id", "action_type", "outcome"))
 
 
 @query("priority_score", """SELECT action_id, subscriber_id, outcome, created_at, CAST(CASE outcome WHEN 'escalated' THEN 95 WHEN 'pending' THEN 80 WHEN 'retained' THEN 10 WHEN 'approved' THEN 0 END AS DOUBLE) AS priority_score
   FROM retention_actions""")
 def _(lake):
-    return A.priority(lake["retention_actions"])
+    return A.priority(lake["action_log"])
 
 
 @query("recent_actions", """SELECT action_id, subscriber_id, action_type, offer_type, outcome, agent_id, CASE WHEN length(notes) > 60 THEN substr(notes, 1, 60) || '...' ELSE notes END AS notes_preview
   FROM retention_actions ORDER BY created_at DESC, action_id DESC LIMIT 20""")
 def _(lake):
-    return A.recent_actions(lake["retention_actions"])
+    # The newest rows are found without their notes; the semi join then reaches below the note join.
+    newest = lake["action_log"].orderBy(F.desc("created_at"), F.desc("action_id")).limit(20).select("action_id")
+    return A.recent_actions(lake["retention_actions"].join(newest, "action_id", "left_semi"))
 
 
 def _requests(lake):
     """Two approvers ask for every action, and one for as many ids that do not exist."""
-    acts = lake["retention_actions"]
+    acts = lake["action_log"]
     known = acts.select("action_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("request_id"))
     unknown = acts.select((-F.col("action_id") - 1).alias("action_id"), F.lit(1).alias("request_id"))
     return known.unionByName(unknown).withColumn("approver", F.concat(F.lit("lead-"), F.col("request_id")))
@@ -95,13 +97,13 @@ def _requests(lake):
 @query("approve_actions", """SELECT action_id, 'lead-1' AS approver, CAST(2 AS BIGINT) AS n_requests, CASE WHEN outcome = 'pending' THEN 'approved' ELSE 'not_pending' END AS result FROM retention_actions
   UNION ALL SELECT -action_id - 1, 'lead-1', 1, 'not_found' FROM retention_actions""")
 def _(lake):
-    return A.approval_report(lake["retention_actions"], _requests(lake))
+    return A.approval_report(lake["action_log"], _requests(lake))
 
 
 @query("approved_log", """SELECT action_id, subscriber_id, CASE WHEN outcome = 'pending' THEN 'approved' ELSE outcome END AS outcome,
   CASE WHEN outcome = 'pending' THEN 'lead-1' ELSE agent_id END AS agent_id, outcome = 'pending' AS was_updated FROM retention_actions""")
 def _(lake):
-    return A.approve_actions(lake["retention_actions"], _requests(lake)).select(
+    return A.approve_actions(lake["action_log"], _requests(lake)).select(
         "action_id", "subscriber_id", "outcome", "agent_id", "was_updated")
 
 
@@ -131,7 +133,7 @@ def _(lake):
   FROM retention_actions""")
 def _(lake):
     day = F.col("created_at").cast("date").cast("string")
-    rows = lake["retention_actions"].withColumn("audit_trail", F.array(
+    rows = lake["action_log"].withColumn("audit_trail", F.array(
         rules.audit_entry(day, F.col("agent_id"), F.lit("proposed"), F.col("action_type"), F.lit("app"))))
     done = rules.audit_entry(day, F.lit("lead"), F.lit("approved"), F.lit("offer accepted"), F.lit("app"))
     return A.append_audit(rows, done, F.col("outcome") == "approved").select(
@@ -147,7 +149,7 @@ _RAW_ACTIONS = """SELECT action_id, CASE WHEN action_id % 13 = 0 THEN 'follow_up
   UNION ALL SELECT action_id, 'offer_type', offer_type FROM ({_RAW_ACTIONS}) WHERE offer_type NOT IN ('bill_credit', 'plan_upgrade_discount', 'device_upgrade')""")
 def _(lake):
     a = F.col("action_id")
-    raw = lake["retention_actions"].select(
+    raw = lake["action_log"].select(
         "action_id", F.when(a % 13 == 0, "follow_up_call").otherwise(F.col("action_type")).alias("action_type"),
         F.when(a % 17 == 0, "loyalty_discount").otherwise(F.col("offer_type")).alias("offer_type"),
         F.when(a % 19 != 0, F.col("outcome")).alias("outcome"))
@@ -253,7 +255,7 @@ def _(lake):
   FROM (SELECT agent_id, subscriber_id, COUNT(*) AS n FROM retention_actions GROUP BY agent_id, subscriber_id) p JOIN (SELECT agent_id, COUNT(*) AS total FROM retention_actions GROUP BY agent_id) t ON t.agent_id = p.agent_id
   JOIN (SELECT agent_id, CAST(SUM(cost_usd) * 100000000 AS BIGINT) AS cost FROM model_calls GROUP BY agent_id) s ON s.agent_id = p.agent_id GROUP BY p.subscriber_id""")
 def _(lake):
-    return A.spend_attribution(lake["model_calls"], lake["retention_actions"])
+    return A.spend_attribution(lake["model_calls"], lake["action_log"])
 
 
 @query("spend_cap", """SELECT conversation_id, call_seq, tokens, CAST(cost_usd AS DOUBLE) AS cost_usd, CAST(run AS DOUBLE) AS running_cost_usd, run > 0.01 AS over_cap, run > 0.01 AND run - cost_usd <= 0.01 AS first_breach
