@@ -9,7 +9,7 @@ from tidewatch.operators import metrics
 from tidewatch.operators import quality as Q
 from tidewatch.params import Params
 from tidewatch.plans.lake import RawLake
-from tidewatch.plans.pipeline import rebuild
+from tidewatch.plans.tables import rebuild
 from tidewatch.sources import generators as G
 from tidewatch.sources import raw
 

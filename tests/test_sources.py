@@ -4,7 +4,7 @@ import pytest
 from conftest import same_rows
 from pyspark.sql import functions as F
 
-from tidewatch.plans.pipeline import rebuild
+from tidewatch.plans.tables import rebuild
 from tidewatch.sources import generators as G
 from tidewatch.sources import mirror, named_queries, raw
 

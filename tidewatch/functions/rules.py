@@ -68,7 +68,7 @@ def offer_plays(clv: Column, arpu: Column, reason: Column, p: Params) -> Column:
             (-net).alias("sort_net"), F.lit(i).alias("sort_order"),
             F.lit(name).alias("offerType"), price.alias("costUsd"),
             retained.alias("predictedRetainedClvUsd"), net.alias("predictedNetValueUsd")))
-    return F.array_sort(F.array(*options))
+    return F.sort_array(F.array(*options))
 
 
 def ranking_json(plays: Column) -> Column:

@@ -282,7 +282,7 @@ def activity_feed(rows: DataFrame, k: int = 20) -> DataFrame:
 def entity_timeline(rows: DataFrame) -> DataFrame:
     """Timeline of every row, newest first; ordered inside the row, without a shuffle."""
     mails, audits = _items()
-    ordered = F.reverse(F.array_sort(F.concat(mails, audits)))
+    ordered = F.reverse(F.sort_array(F.concat(mails, audits)))
     return rows.select("return_id", F.posexplode(ordered).alias("position", "i")).select("return_id", "position", "i.*")
 
 

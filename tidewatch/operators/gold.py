@@ -23,8 +23,10 @@ def current_snapshot(snapshots: DataFrame, p: Params) -> DataFrame:
     ``max_by`` combines map-side, so a hot subscriber ships one row per task.
     """
     latest = F.max_by(F.struct(*SNAPSHOT_COLS), F.col("snapshot_date")).alias("s")
-    return (snapshots.filter(F.col("snapshot_date") <= F.lit(p.as_of))
-            .groupBy("subscriber_id").agg(latest).select("subscriber_id", "s.*"))
+    known = snapshots.filter(F.col("snapshot_date") <= F.lit(p.as_of))
+    if p.snapshot_lookback_days is not None:
+        known = known.filter(F.col("snapshot_date") > F.date_sub(F.lit(p.as_of), p.snapshot_lookback_days))
+    return (known.groupBy("subscriber_id").agg(latest).select("subscriber_id", "s.*"))
 
 
 def subscriber_position(current: DataFrame, subscribers: DataFrame, tickets: DataFrame,

@@ -63,7 +63,7 @@ def recommend(model, book: DataFrame, p: Params) -> DataFrame:
     option = F.struct((-(kept - cost)).alias("sort_net"), F.col("sort_order"), F.col("offer_type").alias("offerType"),
                       cost.alias("costUsd"), kept.alias("predictedRetainedClvUsd"), (kept - cost).alias("predictedNetValueUsd"))
     # Three options per subscriber, by construction.
-    ranked = scored.groupBy("subscriber_id").agg(F.array_sort(F.collect_list(option)).alias("plays"))
+    ranked = scored.groupBy("subscriber_id").agg(F.sort_array(F.collect_list(option)).alias("plays"))
     best = F.col("plays")[0]
     return ranked.select(
         "subscriber_id", best["offerType"].alias("recommended_offer"),

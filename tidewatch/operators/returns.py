@@ -93,7 +93,7 @@ def facility_lots(returns: DataFrame, facility: str, k: int = 10) -> DataFrame:
     return (per_product.groupBy("lot_id").agg(
         F.sum("return_count").alias("return_count"), F.sum("pending_count").alias("pending_count"),
         F.sum("total_refund_usd").alias("total_refund_usd"), F.count("product_name").alias("product_count"),
-        F.array_join(F.array_sort(F.collect_list("product_name")), ", ").alias("product_names"))
+        F.array_join(F.sort_array(F.collect_list("product_name")), ", ").alias("product_names"))
         .orderBy(F.desc("return_count"), F.desc("total_refund_usd"), "lot_id").limit(k))
 
 
@@ -155,7 +155,7 @@ def lot_premium_breakdown(returns: DataFrame, top: int = 3) -> DataFrame:
         F.sum(F.when(t["premium"], refund).otherwise(zero)).alias("pr"),
         F.sum(F.when(~t["premium"], refund).otherwise(zero)).alias("sr"))
     # At most one entry per country and lot reaches the array.
-    countries = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("country")))), 1, top)
+    countries = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("country")))), 1, top)
     return by_country.groupBy("lot_id").agg(
         F.sum("n").alias("total"), F.sum("p").alias("premium_count"), F.sum("s").alias("standard_count"),
         F.sum("l").alias("premium_labeled_count"), F.sum("h").alias("premium_predicted_hidden_count"),

@@ -75,4 +75,4 @@ def usage_sparkline(daily: DataFrame, p: Params) -> DataFrame:
     recent = daily.filter((F.col("usage_date") > F.date_sub(F.lit(p.as_of), p.sparkline_days))
                           & (F.col("usage_date") <= F.lit(p.as_of)))
     return recent.groupBy("subscriber_id").agg(
-        F.array_sort(F.collect_list(F.struct("usage_date", "data_gb"))).alias("series"))
+        F.sort_array(F.collect_list(F.struct("usage_date", "data_gb"))).alias("series"))
