@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,6 @@ def local_session(cpus: str | int | None = None, shuffle_partitions: int | None
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
              .config("spark.driver.memory", "12g")
-             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
@@ -43,8 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result is computed once and survives the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write a table once to the shared folder and read it back.
+
+    It is then computed once however often it is read, survives the loss of
+    executors, and, being parquet, is read only in the columns a consumer needs.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
