@@ -28,7 +28,7 @@ class Lake:
         """A base table or adapter view."""
         if name not in self._views:
             if name in adapters.BASE_TABLES:
-                self._views[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._views[name] = adapters.read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
             else:
                 self._views[name] = adapters.bind_view(self.spark, name, self.__getitem__)
         return self._views[name]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -214,6 +215,16 @@ VIEW_SQL = {name: _PAD.sub(r"lpad(\1, CAST(greatest(\2, length(\1)) AS INT), '0'
 _SOURCE = re.compile(r"\b(FROM|JOIN)\s+(\w+)", re.IGNORECASE)
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A base table; its schema is taken from the file once per process, not once per query."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def bind_view(spark: SparkSession, name: str, resolve) -> DataFrame:
     """Plan one adapter statement over the DataFrames that ``resolve(name)`` returns."""
     text = VIEW_SQL[name]
