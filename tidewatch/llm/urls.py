@@ -25,32 +25,26 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _after_scheme(url: Column) -> Column:
-    """What follows the first ``://``; empty without one."""
-    at = F.locate("://", whole := common.whole(url))
-    return F.when(at > 0, F.substring(whole, at + 3, F.length(whole))).otherwise(F.lit(""))
+def parsed(df: DataFrame, url: str, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns with host, path and canonical of a URL, each step of them computed once.
 
-
-def host(url: Column) -> Column:
-    return F.translate(F.regexp_extract(_after_scheme(url), r"^[^/?#]*", 0), _UPPER, _LOWER)
-
-
-def path(url: Column) -> Column:
-    return F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
-
-
-def canonical(url: Column) -> Column:
-    """Host without www., m. and default port; path without closing slashes and .html; query without tracking parameters; no fragment.
-
-    Null for a null URL or one without ``://``.
+    Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case; path: from there up to ``?``, ``#`` or the end; both
+    empty for a null URL or one without ``://``, whose canonical form is null.  Canonical: host without www., m. and default port; path
+    without closing slashes and .html; query without tracking parameters, sorted; no fragment.
     """
-    site = F.regexp_replace(F.regexp_replace(host(url), r"^(?:www\.|m\.)+", ""), r":(?:80|443)$", "")
-    place = F.regexp_replace(path(url), r"(?:\.html)?/*$", "")
-    asked = F.regexp_extract(_after_scheme(url), r"^[^?#]*\?([^#]*)", 1)
-    kept = F.filter(F.split(asked, "&"), lambda p: (p != "") & ~p.rlike(r"^(?:utm_[a-z]*|ref)(?:=|$)"))
-    query = F.array_join(F.array_sort(kept), "&")
-    return F.when(F.locate("://", common.whole(url)) > 0,
-                  F.concat(site, place, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
+    whole, at = common.whole(F.col(url)), F.locate("://", common.whole(F.col(url)))
+    rest = df.select(*keep, (at > 0).alias("__known"), F.when(at > 0, F.substring(whole, at + 3, F.length(whole)))
+                     .otherwise(F.lit("")).alias("__rest"))
+    parts = rest.select(*keep, "__known", F.translate(F.regexp_extract("__rest", r"^[^/?#]*", 0), _UPPER, _LOWER).alias("host"),
+                        F.regexp_extract("__rest", r"^[^/?#]*([^?#]*)", 1).alias("path"),
+                        F.split(F.regexp_extract("__rest", r"^[^?#]*\?([^#]*)", 1), "&").alias("__asked"))
+    query = F.array_join(F.array_sort(F.filter(
+        "__asked", lambda p: (p != "") & ~p.rlike(r"^(?:utm_[a-z]*|ref)(?:=|$)"))), "&")
+    site = F.regexp_replace(F.regexp_replace("host", r"^(?:www\.|m\.)+", ""), r":(?:80|443)$", "")
+    forms = parts.select(*keep, "__known", "host", "path", site.alias("__site"),
+                         F.regexp_replace("path", r"(?:\.html)?/*$", "").alias("__place"), query.alias("__query"))
+    asked = F.when(F.col("__query") == "", "").otherwise(F.concat(F.lit("?"), "__query"))
+    return forms.select(*keep, "host", "path", F.when(F.col("__known"), F.concat("__site", "__place", asked)).alias("canonical"))
 
 
 def rule(host_col: Column, path_col: Column, rules) -> Column:
@@ -90,11 +84,10 @@ def blocked(pages: DataFrame, listed_urls: DataFrame, rules=RULES, block_list: s
     empty list blocks nothing; an empty table gives no rows; further columns are ignored.  A hot URL is one key of the exact join, whose other
     side has it once, so adaptive execution splits it.
     """
-    listed = cut_lineage(listed_urls.select(canonical(F.col(block_list)).alias("key")).filter("key is not null").distinct())
+    listed = cut_lineage(parsed(listed_urls, block_list, []).select(F.col("canonical").alias("key")).filter("key is not null").distinct())
     table, blocks = bloom(listed, listed.count())
     table = cut_lineage(table)
-    judged = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"),
-                          canonical(F.col("url")).alias("canonical"))
+    judged = parsed(pages, "url", ["page_id"])
     judged = judged.withColumn("hit", rule(F.col("host"), F.col("path"), rules))
     probe = judged.withColumn("block", F.when(F.col("hit").isNull(), _block(F.col("canonical"), blocks)))
     probe = probe.join(F.broadcast(table), "block", "left")
