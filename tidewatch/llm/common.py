@@ -45,26 +45,36 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in mine]
 
 
-def numbered(df: DataFrame, order: list[str], name: str, weight: str | None = None) -> tuple[DataFrame, int]:
-    """Rows with the number of rows (or the sum of ``weight``) before them in ``order``, and the total.
+def ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """The rows in range-sorted order, written once with their range (``__part``) and place (``__at``): a recomputed task cannot shift them.
 
-    The range-sorted rows are written once, so a recomputed task cannot shift the
-    numbers.  Row counts need no further shuffle; sums shuffle the rows once more by range, so
-    give them narrow rows.  Rows that tie in ``order`` are numbered in any order.  The broadcast side has a
-    row per range, of which there are as many as shuffle partitions.
+    Rows that tie in ``order`` come in any order.
     """
     at = F.monotonically_increasing_id()  # range in the upper bits, place in the range in the lower 33
-    ranged = cut_lineage(df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-                         .withColumn("__at", at).withColumn("__part", F.shiftright("__at", 33)))
-    value = F.coalesce(F.col(weight), F.lit(0)) if weight else F.lit(1)
-    parts = cut_lineage(ranged.groupBy("__part").agg(F.sum(value.cast("bigint")).alias("__sum")))
+    return cut_lineage(df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+                       .withColumn("__at", at).withColumn("__part", F.shiftright("__at", 33)))
+
+
+def earlier_parts(rows: DataFrame, value: Column) -> tuple[DataFrame, int]:
+    """(__part, __before): the sum of ``value`` in earlier ranges, and the total.  A row per range, of which there are as many as
+    shuffle partitions; so one task may sum them up, and the table may be broadcast."""
+    parts = cut_lineage(rows.groupBy("__part").agg(F.sum(value.cast("bigint")).alias("__sum")))
     total = parts.agg(F.sum("__sum")).first()[0] or 0
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
-    rows = ranged.join(F.broadcast(parts), "__part")
-    if weight is None:
-        local = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    else:
-        local = F.coalesce(F.sum(value.cast("bigint")).over(
-            Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn(name, F.col("__before") + local).drop("__at", "__part", "__before"), total
+    return parts.select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before")), total
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:
+    """Rows with the number of rows before them in ``order``, and the number of all rows; one shuffle."""
+    rows = ranged(df, order)
+    parts, total = earlier_parts(rows, F.lit(1))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(parts), "__part").withColumn(name, F.col("__before") + place).drop("__at", "__part", "__before"), total
+
+
+def summed_before(rows: DataFrame, value: str, name: str) -> tuple[DataFrame, int]:
+    """``ranged`` rows with the sum of ``value`` over all rows before them, and the total; shuffles the rows by range."""
+    parts, total = earlier_parts(rows, F.col(value))
+    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("__local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return local.join(F.broadcast(parts), "__part").withColumn(name, F.col("__before") + F.col("__local")).drop("__before", "__local"), total

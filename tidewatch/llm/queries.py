@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import mixing, sharding, urls
+from tidewatch.llm import mixing, rules, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op5_rules": rules.query,
     "op7_sharding": sharding.query,
     "op10_urls": urls.query,
 }
 
 SQL = {
     "op1_mixing": mixing.SQL,
+    "op5_rules": rules.SQL,
     "op10_urls": urls.SQL,
 }
