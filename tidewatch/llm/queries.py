@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import mixing, rules, sharding, urls
+from tidewatch.llm import mixing, rules, secrets, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op4_secrets": secrets.query,
     "op5_rules": rules.query,
     "op7_sharding": sharding.query,
     "op10_urls": urls.query,
@@ -13,6 +14,7 @@ QUERIES = {
 
 SQL = {
     "op1_mixing": mixing.SQL,
+    "op4_secrets": secrets.SQL,
     "op5_rules": rules.SQL,
     "op10_urls": urls.SQL,
 }
