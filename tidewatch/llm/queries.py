@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import mixing, rules, secrets, sharding, urls
+from tidewatch.llm import chat, mixing, rules, secrets, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op3_chat": chat.query,
     "op4_secrets": secrets.query,
     "op5_rules": rules.query,
     "op7_sharding": sharding.query,
@@ -14,6 +15,7 @@ QUERIES = {
 
 SQL = {
     "op1_mixing": mixing.SQL,
+    "op3_chat": chat.SQL,
     "op4_secrets": secrets.SQL,
     "op5_rules": rules.SQL,
     "op10_urls": urls.SQL,
