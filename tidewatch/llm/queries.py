@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, mixing, rules, secrets, sharding, urls
+from tidewatch.llm import chat, minhash, mixing, rules, secrets, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op3_chat": chat.query,
     "op4_secrets": secrets.query,
     "op5_rules": rules.query,
+    "op6_minhash": minhash.query,
     "op7_sharding": sharding.query,
     "op10_urls": urls.query,
 }
