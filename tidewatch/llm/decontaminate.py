@@ -2,10 +2,11 @@
 
 1. Texts become 32-bit word hashes once, written to the shared folder; the later passes read these.
 2. Document frequencies of FEATURES hashed terms over all passages of BLOCK words give the idf weights.
-3. Randomised SVD of the TF-IDF passage matrix A: with a random test matrix W every task adds up its share of Z = A'(A W); from Z and W alone follow the
+3. Randomised SVD of the TF-IDF passage matrix A: with a sparse random test matrix W every task adds up its share of Z = A'(A W); from Z and W alone follow the
    leading right singular vectors and values (A'A ~ Z (W'Z)^-1 Z').  All passages count; only FEATURES x RANK numbers leave the executors.
 4. Benchmark items, a block of them at a time, are projected to the latent space and compared by cosine with windows of all texts, whose vectors are differences
-   of running sums.  The window is the smallest of SCALES that holds the item.
+   of running sums.  The window is the smallest of SCALES that holds the item; a word counts once in each STRIDE words, so that
+   repeated words beside a leak do not drown it.
 5. Near windows are checked word by word: bag overlap, then the longest common subsequence with the item, and for paraphrases also
    whether the item's last sentence, taken for its answer, is there.
 """
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,14 @@ from tidewatch.llm import common
 from tidewatch.session import cut_lineage
 
 FEATURES = 8192
-RANK, OVERSAMPLE = 48, 8
+RANK, OVERSAMPLE = 104, 8
+#: Places of a feature's signs in the sparse random test matrix.
+SIGNS = 4
 BLOCK = 32
-SCALES = (16, 32, 64)
+SCALES = (16, 24, 32, 48, 64)
 STRIDE = 8
 #: Cosine in the latent space from which a window is read.
-NEAR = 0.5
+NEAR = 0.4
 #: Share of an item's words that must follow each other in the window: alone, and with the answer.
 VERBATIM, PARAPHRASE = 0.8, 0.6
 #: Share of the answer's words that a paraphrase must hold.
@@ -41,7 +45,9 @@ SHORT = 8
 #: Items searched in one pass over the corpus; bounds what a task holds besides its texts.
 ITEMS_PER_PASS = 2000
 #: Words that are worked on at a time.
-CHUNK_WORDS = 200_000
+CHUNK_WORDS = 100_000
+#: A longer text is searched in pieces that overlap by so many words.
+OVERLAP = 2 * SCALES[-1]
 
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -53,7 +59,7 @@ class _Words(dict):
         import xxhash
         if len(self) > 400_000:
             self.clear()
-        plain = _EDGE.sub("", raw.lower())
+        plain = raw.lower() if raw.isalnum() else _EDGE.sub("", raw.lower())
         self[raw] = found = xxhash.xxh32_intdigest(plain.encode("utf-8", "surrogatepass")) | 1 if plain else 0
         return found
 
@@ -148,11 +154,14 @@ def latent_map(words: DataFrame) -> np.ndarray:
     """FEATURES x RANK: what a word adds to a passage's whitened latent vector."""
     idf = idf_weights(words)
     width = RANK + OVERSAMPLE
-    test = np.random.default_rng(12345).standard_normal((FEATURES, width)).astype(np.float32)
-    sent = words.sparkSession.sparkContext.broadcast((idf.astype(np.float32), test))
+    dice = np.random.default_rng(12345)
+    place, sign = dice.integers(0, width, (FEATURES, SIGNS)), dice.choice([-1.0, 1.0], (FEATURES, SIGNS))
+    test = np.zeros((FEATURES, width))
+    np.add.at(test, (np.repeat(np.arange(FEATURES), SIGNS), place.ravel()), sign.ravel())
+    sent = words.sparkSession.sparkContext.broadcast((idf, place, sign))
 
     def run(batches):
-        idf, test = sent.value
+        idf, place, sign = sent.value
         total = np.zeros((width, FEATURES))
         for texts in _chunks(batches):
             passage, feature, count = _passages(texts)
@@ -162,19 +171,35 @@ def latent_map(words: DataFrame) -> np.ndarray:
             weight = count * idf[feature]
             norm = np.sqrt(np.add.reduceat(weight * weight, start))
             row = np.cumsum(np.diff(passage, prepend=-1) > 0) - 1
-            weight = (weight / norm[row]).astype(np.float32)
-            image = np.add.reduceat(test[feature] * weight[:, None], start, axis=0)  # A W
+            weight /= norm[row]
+            cells = (place[feature] * len(start) + row[:, None]).ravel()
+            image = np.bincount(cells, (sign[feature] * weight[:, None]).ravel(), width * len(start)).reshape(width, -1)  # (A W)'
             for d in range(width):
-                total[d] += np.bincount(feature, weights=weight * image[row, d], minlength=FEATURES)
+                total[d] += np.bincount(feature, weight * image[d][row], FEATURES)
         yield _pieces(total, width)
     z = _added(_few_tasks(words).mapInArrow(run, "piece int, source int, data binary"), width * FEATURES).reshape(width, FEATURES).T
-    core = test.T.astype(np.float64) @ z
+    core = test.T @ z
     value, vector = np.linalg.eigh((core + core.T) / 2)
     good = value > max(value.max(), 1e-12) * 1e-9
     half = z @ (vector[:, good] / np.sqrt(value[good]))  # half @ half.T ~ A'A
     u, s, _ = np.linalg.svd(half, full_matrices=False)
     u, s = u[:, :RANK], s[:RANK]
-    return (idf[:, None] * u / np.maximum(s, 1e-9)).astype(np.float32)
+    return np.vstack([idf[:, None] * u / np.maximum(s, 1e-9), np.zeros((1, len(s)))]).astype(np.float32)
+
+
+def strides(words: np.ndarray, words_to_latent: np.ndarray) -> np.ndarray:
+    """The latent sum of every STRIDE words, each word once; the map's last row is for what does not count."""
+    n = -(-len(words) // STRIDE)
+    rows = np.full(n * STRIDE, FEATURES, dtype=np.int64)
+    rows[:len(words)] = words % FEATURES
+    rows = rows.reshape(n, STRIDE)
+    distinct = rows.copy()
+    for a in range(1, STRIDE):
+        distinct[(rows[:, :a] == rows[:, a:a + 1]).any(axis=1), a] = FEATURES
+    out = words_to_latent[distinct[:, 0]]
+    for a in range(1, STRIDE):
+        out += words_to_latent[distinct[:, a]]
+    return out
 
 
 class Items:
@@ -182,7 +207,9 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str | None]], words_to_latent: np.ndarray):
         cache = _Words()
-        self.ids, self.words, self.answers, by_scale = [], [], [], {s: [] for s in SCALES}
+        self.ids, self.words, self.answers, self.kinds = [], [], [], []
+        self.counts: list[dict[int, int]] = []
+        by_scale: dict[int, list] = {s: [] for s in SCALES}
         for item_id, text in rows:
             w = word_ids(text, cache)
             if not len(w):
@@ -191,12 +218,14 @@ class Items:
             self.ids.append(item_id)
             self.words.append(w)
             self.answers.append(self._answer(text, w, cache))
+            self.kinds.append(np.unique(w, return_counts=True))
+            self.counts.append(dict(zip(*(x.tolist() for x in self.kinds[-1]))))
             for offset in range(0, len(w), SCALES[-1]):
                 piece = w[offset: offset + SCALES[-1]]
                 if offset and len(piece) < SCALES[0] // 2:
                     break
                 scale = next(s for s in SCALES if len(piece) <= s)
-                by_scale[scale].append((i, offset, words_to_latent[piece % FEATURES].sum(axis=0)))
+                by_scale[scale].append((i, offset, strides(piece, words_to_latent).sum(axis=0)))
         self.queries = {}
         for scale, found in by_scale.items():
             if found:
@@ -225,57 +254,77 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - free.bit_count()
 
 
-def _bag(item: np.ndarray, window: np.ndarray) -> int:
+def _bag(kinds: tuple[np.ndarray, np.ndarray], window: np.ndarray) -> int:
     """Words of the item that the window holds, each as often as both have it."""
-    kinds, counts = np.unique(item, return_counts=True)
-    at = np.minimum(np.searchsorted(kinds, window), len(kinds) - 1)
-    return int(np.minimum(np.bincount(at[kinds[at] == window], minlength=len(kinds)), counts).sum())
+    names, counts = kinds
+    at = np.minimum(np.searchsorted(names, window), len(names) - 1)
+    return int(np.minimum(np.bincount(at[names[at] == window], minlength=len(names)), counts).sum())
 
 
-def _judge(item: np.ndarray, answer: np.ndarray, span: np.ndarray) -> tuple[int, bool]:
+def judge(item: np.ndarray, answer: np.ndarray, span: np.ndarray, kinds=None) -> tuple[int, bool]:
     """(common words in order, leaked)."""
     n = len(item)
     if n < SHORT:
-        copies = len(span) >= n and (np.lib.stride_tricks.sliding_window_view(span, n) == item).all(axis=1).any()
-        return (n, True) if copies else (0, False)
-    if _bag(item, span) < PARAPHRASE * n:
+        copied = len(span) >= n and (np.lib.stride_tricks.sliding_window_view(span, n) == item).all(axis=1).any()
+        return (n, True) if copied else (0, False)
+    if _bag(kinds or np.unique(item, return_counts=True), span) < PARAPHRASE * n:
         return 0, False
     same = common_subsequence(item, span)
-    answered = _bag(answer, span) >= ANSWER * len(answer)
-    return same, same >= VERBATIM * n or (same >= PARAPHRASE * n and answered)
-
-
-def found_in(words: np.ndarray, items: Items, words_to_latent: np.ndarray) -> dict[int, int]:
-    """Leaked items of one text: place in ``items`` to the length of the common subsequence."""
-    best: dict[int, int] = {}
-    n = len(words)
-    if not n:
-        return best
-    starts = np.arange(0, n, STRIDE)
-    sums = np.zeros((len(starts) + 1, words_to_latent.shape[1]), dtype=np.float64)
-    for low in range(0, len(starts), CHUNK_WORDS // STRIDE):
-        part = starts[low: low + CHUNK_WORDS // STRIDE]
-        slab = words_to_latent[words[part[0]: part[-1] + STRIDE] % FEATURES]
-        sums[low + 1: low + 1 + len(part)] = np.add.reduceat(slab, part - part[0], axis=0)
+    if same >= VERBATIM * n:
+        return same, True
+    return same, same >= PARAPHRASE * n and _bag(np.unique(answer, return_counts=True), span) >= ANSWER * len(answer)
+
+
+def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray) -> dict[tuple[int, int], int]:
+    """(place in ``texts``, place in ``items``) of the leaks, with the length of the common subsequence."""
+    owners, froms, vectors = [], [], []
+    for t, words in enumerate(texts):
+        for low in range(0, max(len(words) - OVERLAP, 1), CHUNK_WORDS):
+            owners.append(t)
+            froms.append(low)
+            vectors.append(words[low: low + CHUNK_WORDS + OVERLAP])
+    sizes = np.array([-(-len(v) // STRIDE) for v in vectors], dtype=np.int64)
+    if not sizes.sum():
+        return {}
+    first = np.cumsum(sizes) - sizes
+    sums = np.zeros((sizes.sum() + 1, words_to_latent.shape[1]), dtype=np.float32)
+    for v, at, n in zip(vectors, first, sizes):
+        if n:
+            sums[at + 1: at + 1 + n] = strides(v, words_to_latent)
     np.cumsum(sums, axis=0, out=sums)
-    for scale, (owner, offset, vectors) in items.queries.items():
+    piece = np.repeat(np.arange(len(sizes)), sizes)
+    stop = np.repeat(first + sizes, sizes)
+    every = np.arange(len(piece))
+    best: dict[tuple[int, int], int] = {}
+    listed: dict[int, list[int]] = {}
+    for scale, (owner, offset, queries) in items.queries.items():
         step = scale // STRIDE
-        ends = np.minimum(np.arange(len(starts)) + step, len(starts))
-        last = max(1, len(starts) - step + 1)  # windows after that lie inside an earlier one
-        for low in range(0, last, 4096):
-            high = min(low + 4096, last)
-            v = (sums[ends[low:high]] - sums[low:high]).astype(np.float32)
-            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-            for at, q in zip(*np.nonzero(v @ vectors >= NEAR)):
-                i, first = owner[q], (low + at) * STRIDE - offset[q]
-                item = items.words[i]
-                if best.get(i, 0) == len(item):
+        # a window that the text's end cuts short lies in an earlier one, but for the first
+        starts = every[(every + step <= stop) | (every == first[piece])]
+        for low in range(0, len(starts), 4096):
+            at = starts[low: low + 4096]
+            v = sums[np.minimum(at + step, stop[at])]
+            v -= sums[at]
+            length = np.sqrt(np.einsum("ij,ij->i", v, v))
+            rows, hits = np.nonzero(v @ queries >= NEAR * np.maximum(length, 1e-9)[:, None])
+            for s, q in zip(at[rows].tolist(), hits.tolist()):
+                p, i = piece[s], int(owner[q])
+                key = (owners[p], i)
+                item, words = items.words[i], texts[owners[p]]
+                if best.get(key, 0) == len(item):
                     continue
+                begin = froms[p] + (s - int(first[p])) * STRIDE - int(offset[q])
                 slack = max(STRIDE, len(item) // 4)
-                span = words[max(0, first - slack): first + max(scale, len(item)) + slack]
-                same, leaked = _judge(item, items.answers[i], span)
+                low_end, high_end = max(0, begin - slack), begin + max(scale, len(item)) + slack
+                if owners[p] not in listed:
+                    listed[owners[p]] = words.tolist()
+                wanted = items.counts[i]
+                if sum(map(wanted.__getitem__, wanted.keys() & set(listed[owners[p]][low_end:high_end]))) < PARAPHRASE * len(item):
+                    continue
+                span = words[low_end:high_end]
+                same, leaked = judge(item, items.answers[i], span, items.kinds[i])
                 if leaked:
-                    best[i] = max(best.get(i, 0), same)
+                    best[key] = max(best.get(key, 0), same)
     return best
 
 
@@ -299,10 +348,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items, latent = sent.value
             for batch in batches:
+                sizes = pa.compute.binary_length(batch.column(2)).to_numpy(zero_copy_only=False) // 4
+                cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // CHUNK_WORDS)) + 1).tolist(), len(sizes)]
                 hits = []
-                for doc_id, key, value in zip(*batch.columns):
-                    for i, same in found_in(np.frombuffer(value.as_py(), dtype=np.uint32), items, latent).items():
-                        hits.append((doc_id.as_py(), key.as_py(), items.ids[i], same, len(items.words[i])))
+                for low, high in itertools.pairwise(cuts):
+                    texts = [np.frombuffer(v.as_py(), dtype=np.uint32) for v in batch.column(2)[low:high]]
+                    for (t, i), same in found_in(texts, items, latent).items():
+                        hits.append((batch.column(0)[low + t].as_py(), batch.column(1)[low + t].as_py(), items.ids[i], same, len(items.words[i])))
                 kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([h[c] for h in hits], k) for c, k in enumerate(kinds)],
                                                  names=["doc_id", "text_key", "item_id", "same_words", "item_words"])
