@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, decontaminate, minhash, mixing, rules, secrets, sharding, urls
+from tidewatch.llm import chat, decontaminate, minhash, mixing, rules, secrets, sharding, tokens, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_rules": rules.query,
     "op6_minhash": minhash.query,
     "op7_sharding": sharding.query,
+    "op8_tokens": tokens.query,
     "op9_decontaminate": decontaminate.query,
     "op10_urls": urls.query,
 }
