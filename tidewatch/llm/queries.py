@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, decontaminate, minhash, mixing, rules, secrets, sharding, tokens, urls
+from tidewatch.llm import chat, decontaminate, licenses, minhash, mixing, rules, secrets, sharding, tokens, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_licenses": licenses.query,
     "op3_chat": chat.query,
     "op4_secrets": secrets.query,
     "op5_rules": rules.query,
