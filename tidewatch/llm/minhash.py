@@ -21,8 +21,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewatch.llm import common
 from tidewatch.llm.components import components
@@ -139,16 +140,21 @@ def _word_hashes(text: str | None, cache: _WordHashes) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, parts), dtype=np.uint64, count=len(parts))
 
 
-_SKETCH = "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, registers binary"
+_SKETCH = "doc_id bigint, text_key string, n_shingles bigint, f1 bigint, f2 bigint, registers binary"
+
+
+def text_key(text: Column) -> Column:
+    """Names a text, so that repeated ids can be told apart."""
+    return F.md5(common.whole(text))
 
 
 def sketched(docs: DataFrame, like: Likeness) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, registers) of every row of (doc_id, text); null registers without words."""
+    """(doc_id, text_key, n_shingles, f1, f2, registers) of every row of (doc_id, text); null registers without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHashes()
         for batch in batches:
             out = []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 s = shingle_hashes(_word_hashes(text.as_py(), cache), like.words)
                 if len(s):
                     out.append((len(s), int(np.bitwise_xor.reduce(mixed(s ^ _M2)).astype(np.int64)), int(np.add.reduce(mixed(s)).astype(np.int64)),
@@ -157,8 +163,10 @@ def sketched(docs: DataFrame, like: Likeness) -> DataFrame:
                     out.append((0, 0, 0, None))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             cols = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *cols], names=["doc_id", "n_shingles", "f1", "f2", "registers"])
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols],
+                                             names=["doc_id", "text_key", "n_shingles", "f1", "f2", "registers"])
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("text_key"),
+                       F.col("text").cast("string").alias("text")).mapInArrow(run, _SKETCH)
 
 
 def classes_of(sketches: DataFrame) -> DataFrame:
@@ -291,15 +299,9 @@ def confirmed_links(sets: DataFrame, like: Likeness) -> DataFrame:
     return dealt.groupBy("cluster", "i", "j").applyInPandas(check, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text; further columns are ignored).
-
-    ``component_id`` is the smallest doc_id reachable over links, ``kept`` is true for that document.  Words are runs of anything but ASCII
-    white space, lower-cased in A-Z; a text with fewer words than a shingle is one shingle; null texts and texts without words have
-    no shingle, link with nothing and are kept.  Rows with a null doc_id take part, are not kept unless all ids of their group are null, and
-    give no name while another does; repeated rows are judged alike, so a repeated smallest id is kept on each of its rows.  An
-    empty table gives no rows.  Shingles are compared by 64-bit hashes, sets of equal size and 128-bit fingerprint count as equal.
-    """
+def grouped(docs: DataFrame, like: Likeness) -> DataFrame:
+    """(doc_id, text_key, n_shingles, group, component_id) of every row: ``group`` numbers a group of linked rows and is null without words,
+    ``component_id`` is its smallest doc_id."""
     sketches = cut_lineage(sketched(docs, like))
     classes = classes_of(sketches)
     close = close_pairs(band_pairs(classes, like), classes, like, CLUSTER_BAR)
@@ -312,15 +314,43 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     first = ranked.groupBy("cluster").agg(F.min("place").alias("first"))
     ranked = ranked.join(first, "cluster").select("cluster", "class", "n", (F.col("place") - F.col("first")).alias("rank"))
     sets = cut_lineage(ranked.join(shingle_sets(docs, members.drop("cluster"), like), "class"))
-    groups = components(confirmed_links(sets, like))
-    named = groups.join(classes.select(F.col("class").alias("node"), "least_id", "n_shingles", "f1", "f2"), "node")
-    names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    linked = named.join(names, "component").select("n_shingles", "f1", "f2", F.lit(True).alias("linked"), "component_id")
-    alone = classes.select("n_shingles", "f1", "f2", "least_id").join(linked, ["n_shingles", "f1", "f2"], "left").select(
-        "n_shingles", "f1", "f2", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least_id")).alias("component_id"))
-    worded = sketches.filter("n_shingles > 0").join(alone, ["n_shingles", "f1", "f2"]).select("doc_id", "n_shingles", "component_id")
-    blank = sketches.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return worded.unionByName(blank).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = components(confirmed_links(sets, like))
+    key = ["n_shingles", "f1", "f2"]
+    every = classes.select(*key, "class", "least_id").join(linked, F.col("class") == F.col("node"), "left")
+    every = every.select(*key, "least_id", F.coalesce("component", "class").alias("group"))
+    names = every.groupBy("group").agg(F.min("least_id").alias("component_id"))
+    named = every.join(names, "group").select(*key, "group", "component_id")
+    worded = sketches.filter("n_shingles > 0").join(named, key).select("doc_id", "text_key", "n_shingles", "group", "component_id")
+    return worded.unionByName(sketches.filter("n_shingles = 0").select(
+        "doc_id", "text_key", "n_shingles", F.lit(None).cast("bigint").alias("group"), F.col("doc_id").alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text; further columns are ignored).
+
+    ``component_id`` is the smallest doc_id reachable over links, ``kept`` is true for that document.  Words are runs of anything but ASCII
+    white space, lower-cased in A-Z; a text with fewer words than a shingle is one shingle; null texts and texts without words have
+    no shingle, link with nothing and are kept.  Rows with a null doc_id take part, are not kept unless all ids of their group are null, and
+    give no name while another does; repeated rows are judged alike, so a repeated smallest id is kept on each of its rows.  An
+    empty table gives no rows.  Shingles are compared by 64-bit hashes, sets of equal size and 128-bit fingerprint count as equal.
+    """
+    found = grouped(docs, like).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of every group the row with the smallest doc_id (null last), then text key; a repeated row once.
+    Rows without words all stay."""
+    groups = cut_lineage(grouped(docs, like))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    best = groups.filter("group is not null").groupBy("group").agg(F.min(order).alias("b")).select("b.doc_id", "b.text_key")
+    blank = groups.filter("group is null").select("doc_id", "text_key").distinct().withColumn("__all", F.lit(True))
+    stay = best.withColumn("__all", F.lit(False)).unionByName(blank).select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("text_key").alias("__key"), "__all")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), text_key(F.col("text")).alias("__key"))
+    nth = F.row_number().over(Window.partitionBy("__key", "__id").orderBy("__all"))
+    return rows.join(stay, ["__key", "__id"]).withColumn("__nth", nth).filter("__all or __nth = 1").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
