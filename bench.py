@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidewatch.plans import catalog  # noqa: E402
 from tidewatch.session import local_session  # noqa: E402
-from tidewatch.sources import generators as G  # noqa: E402
 
 HEADLINE = (
     "atrisk_view", "subscriber_position", "retention_recommendations", "open_atrisk", "metric_cube", "metric_from_cube",
@@ -47,13 +46,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus)
     queries = {name: timed(lambda n=name: drain(catalog.runner(n)(spark, sf_dir)), runs) for name in HEADLINE}
-    rows = {}
-    for n in (3_500_000, 35_000_000):
-        secs = timed(lambda n=n: drain(G.usage(spark.range(n), G.GenParams())), 1)
-        rows[f"usage_builder_{n}"] = {"sec": secs, "rows_per_sec": round(n / secs)}
     print(json.dumps({
         "metric": "headline queries, total seconds", "value": round(sum(queries.values()), 3), "unit": "sec",
-        "queries": queries, "builders": rows, "sf": os.path.basename(sf_dir.rstrip("/")),
+        "queries": queries, "sf": os.path.basename(sf_dir.rstrip("/")),
         "config": {"cpus": cpus, "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
                    "driver_memory": spark.sparkContext.getConf().get("spark.driver.memory"), "spark": spark.version}}))
 

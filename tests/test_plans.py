@@ -6,12 +6,9 @@ import pytest
 
 from tidewatch.plans import catalog
 from tidewatch.plans.lake import Lake
-from tidewatch.params import Params
 
 # These run jobs while they are planned; their plans start from written rows.
-EAGER = {n for n in catalog.QUERIES if n.endswith("_stream")} | {"ml_recommendations", "ml_summary", "quality_report"}
-# The note of an action is looked up through the document count, a single row.
-READS_NOTES = {"note_search", "similar_cases", "recent_actions"}
+EAGER = {n for n in catalog.QUERIES if n.endswith("_stream")} | {"ml_recommendations", "ml_summary", "ml_quality", "quality_report"}
 
 
 def _plan(df) -> str:
@@ -23,7 +20,7 @@ def test_no_cross_product_and_no_python(name, spark, sf_dir):
     plan = _plan(catalog.runner(name)(spark, sf_dir))
     assert "CartesianProduct" not in plan
     assert not re.search("EvalPython|InPandas|InArrow|PythonUDF", plan)
-    assert name in READS_NOTES or "NestedLoopJoin" not in plan
+    assert "NestedLoopJoin" not in plan
 
 
 @pytest.mark.parametrize("name,table,columns", [
@@ -46,9 +43,38 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "EqualTo(l_returnflag,R)" in _plan(catalog.runner("status_summary")(spark, sf_dir))
 
 
-def test_snapshot_lookback_limits_the_history(spark, sf_dir):
-    from tidewatch.operators.gold import current_snapshot
-    whole, recent = Lake(spark, sf_dir), Lake(spark, sf_dir, Params(snapshot_lookback_days=1))
-    a = current_snapshot(whole["risk_snapshots"], whole.p)
-    b = current_snapshot(recent["risk_snapshots"], recent.p)
-    assert b.count() < a.count() and b.filter("snapshot_date <> DATE '2024-01-30'").isEmpty()
+def test_newest_actions_are_cut_before_their_notes_are_read(spark, sf_dir):
+    plan = _plan(catalog.runner("recent_actions")(spark, sf_dir))
+    assert plan.index("Join") < plan.index("TakeOrdered", plan.index("Join")) and "documents.parquet" in plan
+
+
+def test_unlimited_queues_come_in_their_order(spark, sf_dir):
+    rows = catalog.runner("queue_sort_value")(spark, sf_dir).collect()
+    assert rows == sorted(rows, key=lambda r: (-r.refund_amount_usd, r.return_id)) and len(rows) > 100
+    care = catalog.runner("care_queue_by_tenure")(spark, sf_dir).collect()
+    assert [r.subscriber_id for r in care] == [r.subscriber_id for r in sorted(care, key=lambda r: (-r.tenure_months, r.subscriber_id))]
+
+
+def test_timeline_reaches_every_facility(spark, sf_dir):
+    lake = Lake(spark, sf_dir)
+    seen = catalog.runner("entity_timeline")(spark, sf_dir).select("return_id").distinct()
+    pending = lake["silver_returns"].filter("status = 'pending'")
+    assert pending.join(seen, "return_id").select("facility").distinct().count() == pending.select("facility").distinct().count()
+
+
+def test_a_note_on_most_rows_is_dealt_out(spark):
+    """With broadcasts off, snapshots are not exchanged on the note alone."""
+    from tidewatch.operators.silver import with_note_score
+    from tidewatch.params import Params
+    rows = spark.range(2000).selectExpr("concat('s', id) AS subscriber_id", "DATE '2024-01-30' AS snapshot_date",
+                                        "CASE WHEN id % 10 > 0 THEN 'same' WHEN id % 20 = 0 THEN 'rare' END AS agent_note_text")
+    flags = spark.createDataFrame([("same", 0.6), ("rare", 0.1)], "agent_note_text string, churn_signal_score double")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = with_note_score(rows, Params(), flags)
+        assert not re.search(r"hashpartitioning\(agent_note_text#\d+, \d+\)", _plan(scored))
+        counts = {r.churn_signal_score: r["count"] for r in scored.groupBy("churn_signal_score").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert counts == {0.6: 1800, 0.1: 100, None: 100}

@@ -1,4 +1,4 @@
-"""Search and draws against brute force in plain Python."""
+"""Search against brute force in plain Python."""
 
 import math
 import re
@@ -8,7 +8,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewatch.functions import text as X
-from tidewatch.functions.draws import PRIME, draw
 from tidewatch.operators import search as S
 
 WORDS = ("outage", "credit", "bill", "the", "refund")
@@ -64,23 +63,3 @@ def test_bm25_against_brute_force(spark, docs, terms):
         if any(t in bag for t in terms):
             want[i] = round(score, 6)
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 2e-6 for i in want)
-
-
-@quick
-@given(st.lists(st.integers(0, 2**62), min_size=1, max_size=50), st.integers(1, 99), st.integers(1, 10_000))
-def test_draw_is_plain_arithmetic(spark, ids, salt, n):
-    def brute(x):
-        a = ((x & PRIME) * 48271 + ((x >> 31) % PRIME) * 69621 + salt * 16807) % PRIME
-        b = (a * a + salt) % PRIME
-        c = (b * 48271 + 12345) % PRIME
-        return (c * c + salt) % PRIME % n
-    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    got = [(r.id, r.d) for r in df.select("id", draw(F.col("id"), salt, n).alias("d")).collect()]
-    assert sorted(got) == sorted((i, brute(i)) for i in ids)
-
-
-def test_draws_are_even(spark):
-    """Each of ten values is drawn about equally often, also for ids far apart."""
-    for scale in (1, 8, 2**33):
-        counts = [r["count"] for r in spark.range(20_000).groupBy(draw(F.col("id") * scale, 5, 10).alias("d")).count().collect()]
-        assert len(counts) == 10 and min(counts) > 1700 and max(counts) < 2300

@@ -1,19 +1,16 @@
-"""Raw datasets, mirrors, named queries, generators and the table rebuild."""
+"""Raw datasets, mirrors, named queries and the table rebuild."""
 
 import pytest
 from conftest import same_rows
+from raw_fixture import PEOPLE, frames
 from pyspark.sql import functions as F
 
 from tidewatch.plans.tables import rebuild
-from tidewatch.sources import generators as G
-from tidewatch.sources import mirror, named_queries, raw
-
-GEN = G.GenParams()
-
+from tidewatch.sources import adapters, mirror, named_queries, raw
 
 def test_raw_write_counts_and_reads_back(spark, tmp_path):
-    df = G.subscribers(spark.range(500), GEN)
-    assert raw.write_raw(df, str(tmp_path), "subscribers") == 500
+    df = frames(spark)["subscribers"]
+    assert raw.write_raw(df, str(tmp_path), "subscribers") == PEOPLE
     back = raw.read_raw(spark, str(tmp_path), "subscribers")
     same_rows(back, df)
     assert back.schema["monthly_arpu_usd"].dataType.simpleString() == "decimal(9,2)"
@@ -84,34 +81,8 @@ def test_named_queries(spark, lake):
         named_queries.run_named(spark, "drop table x")
 
 
-def test_generators_do_not_depend_on_partitions(spark):
-    a, b = spark.range(0, 4000, 1, 1), spark.range(0, 4000, 1, 7)
-    for build in (lambda i: G.usage(i, GEN), lambda i: G.retention_offers(i, GEN), lambda i: G.subscribers(i, GEN),
-                  lambda i: G.risk_snapshots(i, GEN)):
-        same_rows(build(a), build(b))
-
-
-def test_generator_volumes_and_rules(spark):
-    people = spark.range(40_000)
-    risk = G.risk_snapshots(people, GEN)
-    assert risk.count() == 200 * 14 + 39_800
-    last = risk.filter(F.col("snapshot_date") == F.lit(GEN.snapshot_date))
-    assert last.filter("churn_risk_score >= 0.6").count() == 200
-    assert float(last.filter("subscriber_id = 'SUB-0000214'").first().churn_risk_score) == 0.84
-    tickets = G.tickets(spark.range(5000), people, GEN)
-    assert tickets.filter("closed_date IS NULL").count() == 200
-    assert tickets.groupBy("ticket_id").count().filter("count > 1").isEmpty()
-    bills = G.billing(spark.range(20_000), people, GEN)
-    assert bills.groupBy("bill_id").count().filter("count > 1").isEmpty()
-    kept = G.retention_offers(spark.range(40_000), GEN).groupBy("offer_type", "churn_reason").agg(
-        F.avg(F.col("retained").cast("int")).alias("r")).collect()
-    fit = {"bill_credit": "service", "plan_upgrade_discount": "price", "device_upgrade": "device"}
-    for row in kept:
-        assert (row.r > 0.6) == (fit[row.offer_type] == row.churn_reason)
-
-
 def test_long_ids_are_not_cut(spark):
-    row = spark.createDataFrame([(123456789,)], "i bigint").select(G.subscriber_key(F.col("i")).alias("k")).first()
+    row = spark.createDataFrame([(123456789,)], "i bigint").select(adapters.subscriber_key(F.col("i")).alias("k")).first()
     assert row.k == "SUB-123456790"
 
 

@@ -18,7 +18,7 @@ def rows(spark):
 
 
 def test_hot_key_is_split_and_others_are_not(rows):
-    seg = with_segments(rows, ["k"], "seq", 500)
+    seg = with_segments(rows, hot_keys(rows, ["k"], 500), ["k"], "seq", 500)
     per_key = {r.k: r.n for r in seg.groupBy("k").agg(F.countDistinct("segment__").alias("n")).collect()}
     assert per_key[0] > 10 and all(n == 1 for k, n in per_key.items() if k != 0)
 

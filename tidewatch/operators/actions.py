@@ -152,9 +152,11 @@ def priority(actions: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_last("priority_score"), F.desc("created_at"), F.desc("action_id")))
 
 
-def recent_actions(actions: DataFrame, k: int = 20) -> DataFrame:
-    return (actions.orderBy(F.desc("created_at"), F.desc("action_id")).limit(k)
-            .select("action_id", "subscriber_id", "action_type", "offer_type", "outcome", "agent_id",
+def recent_actions(log: DataFrame, notes: DataFrame, k: int = 20) -> DataFrame:
+    """The newest k actions of a log without texts, then their notes, (note_doc, notes)."""
+    newest = log.orderBy(F.desc("created_at"), F.desc("action_id")).limit(k)
+    return (newest.join(notes, "note_doc", "left").orderBy(F.desc("created_at"), F.desc("action_id"))
+            .select("action_id", "subscriber_id", "action_type", "offer_type", "outcome", "agent_id", "created_at",
                     text.ellipsis(F.col("notes"), 60, "...").alias("notes_preview")))
 
 
@@ -309,18 +311,25 @@ def decision_memos(scored: DataFrame, on: str) -> DataFrame:
 
 # ---- model spend ----
 
+#: Parts an agent's rows are dealt into.
+AGENT_PARTS = 64
+
+
 def spend_attribution(calls: DataFrame, actions: DataFrame) -> DataFrame:
     """Spread each agent's model cost over the subscribers the agent acted on.
 
     Both sides are aggregated before the join: one row per agent against one
-    row per (agent, subscriber).  Shares are whole hundred-millionths of a
-    dollar, so the sums do not depend on row order.
+    row per (agent, subscriber).  Few agents hold all rows, so each agent's rows
+    are dealt into parts for the totals and the join.  Shares are whole
+    hundred-millionths of a dollar, so the sums do not depend on row order.
     """
+    parts = F.explode(F.sequence(F.lit(0), F.lit(AGENT_PARTS - 1))).alias("part")
     spend = calls.groupBy("agent_id").agg((F.sum("cost_usd") * 100_000_000).cast("bigint").alias("agent_cost"))
-    pairs = actions.groupBy("agent_id", "subscriber_id").agg(F.count(F.lit(1)).alias("n"))
-    totals = pairs.groupBy("agent_id").agg(F.sum("n").alias("agent_actions"))
+    totals = actions.groupBy("agent_id").agg(F.count(F.lit(1)).alias("agent_actions"))
+    pairs = (actions.groupBy("agent_id", "subscriber_id").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("part", F.pmod(F.xxhash64("subscriber_id"), F.lit(AGENT_PARTS)).cast("int")))
     share = F.expr("agent_cost * n div agent_actions")
-    return (pairs.join(spend.join(totals, "agent_id"), "agent_id")
+    return (pairs.join(spend.join(totals, "agent_id").select("*", parts), ["agent_id", "part"])
             .groupBy("subscriber_id").agg(F.sum("n").alias("actions"),
                                           (F.sum(share) / 100_000_000).alias("attributed_cost_usd")))
 

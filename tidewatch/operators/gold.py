@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import rules
-from tidewatch.functions.text import note_class
-from tidewatch.operators.silver import class_score
+from tidewatch.operators.silver import with_note_score
 from tidewatch.operators.windows import top_per_key
 from tidewatch.params import Params
 
@@ -24,8 +23,6 @@ def current_snapshot(snapshots: DataFrame, p: Params) -> DataFrame:
     """
     latest = F.max_by(F.struct(*SNAPSHOT_COLS), F.col("snapshot_date")).alias("s")
     known = snapshots.filter(F.col("snapshot_date") <= F.lit(p.as_of))
-    if p.snapshot_lookback_days is not None:
-        known = known.filter(F.col("snapshot_date") > F.date_sub(F.lit(p.as_of), p.snapshot_lookback_days))
     return (known.groupBy("subscriber_id").agg(latest).select("subscriber_id", "s.*"))
 
 
@@ -41,11 +38,7 @@ def subscriber_position(current: DataFrame, subscribers: DataFrame, tickets: Dat
     joined = (current.join(subscribers, "subscriber_id", "inner")
               .join(tickets, "subscriber_id", "left")
               .join(billing, "subscriber_id", "left"))
-    if flags is None:
-        note = F.col("agent_note_text")
-        joined = joined.withColumn("churn_signal_score", F.when(note.isNotNull(), class_score(note_class(note), p)))
-    else:
-        joined = joined.join(flags.select("agent_note_text", "churn_signal_score"), "agent_note_text", "left")
+    joined = with_note_score(joined, p, flags)
     open_tickets = F.coalesce("open_ticket_count", F.lit(0))
     no = F.lit(False)
     return joined.select(
@@ -158,10 +151,10 @@ def retention_outcomes(silver: DataFrame) -> DataFrame:
                          "offer_cost_usd", "retained", "retained_clv_usd")
 
 
-# The columns of the ranked view, risk first, then offer, then profile.
-VIEW_COLS = ("subscriber_id", "risk_band", "churn_reason", "churn_risk_score", "clv_at_risk_usd",
-             "recommended_offer", "predicted_retained_clv_usd", "plan_type", "tenure_months", "monthly_arpu_usd",
-             "home_metro", "service_node_id", "service_summary", "has_open_outage", "open_ticket_count")
+# The columns of the ranked view.
+VIEW_COLS = ("subscriber_id", "plan_type", "tenure_months", "monthly_arpu_usd", "service_node_id", "home_metro",
+             "churn_risk_score", "churn_reason", "open_ticket_count", "has_open_outage", "clv_at_risk_usd", "risk_band",
+             "service_summary", "recommended_offer", "predicted_retained_clv_usd")
 
 
 def with_ranked_offer(position: DataFrame, p: Params) -> DataFrame:

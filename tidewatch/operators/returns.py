@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewatch.functions import rules
 from tidewatch.operators.windows import top_per_key
@@ -76,14 +77,14 @@ def _volume() -> list[Column]:
 
 def facility_summary(returns: DataFrame) -> DataFrame:
     """Volume per facility and its share of the largest one."""
-    by_facility = returns.groupBy("facility").agg(*_volume())
-    top = by_facility.agg(F.max("return_count").alias("top")).scalar()
-    return by_facility.select(
+    # The window sees a row per facility.
+    top = F.max("return_count").over(Window.partitionBy())
+    return returns.groupBy("facility").agg(*_volume()).select(
         "facility", "return_count", "pending_count", "total_refund_usd",
         F.round(F.col("return_count") * 100 / top, 1).alias("share_of_max_pct"))
 
 
-def facility_lots(returns: DataFrame, facility: str, k: int = 10) -> DataFrame:
+def facility_lots(returns: DataFrame, facility: str, k: int) -> DataFrame:
     """Top lots of one facility with their product names.
 
     One pass: rows are reduced to one per lot and product, so an array only
@@ -97,9 +98,11 @@ def facility_lots(returns: DataFrame, facility: str, k: int = 10) -> DataFrame:
         .orderBy(F.desc("return_count"), F.desc("total_refund_usd"), "lot_id").limit(k))
 
 
-def lot_summary(returns: DataFrame, k: int = 20) -> DataFrame:
-    return (returns.groupBy("lot_id", "facility").agg(*_volume())
-            .orderBy(F.desc("return_count"), F.desc("total_refund_usd"), "lot_id").limit(k))
+def lot_summary(returns: DataFrame, k: int | None = None) -> DataFrame:
+    """Volume per lot, largest first; all lots unless the caller wants k."""
+    rows = (returns.groupBy("lot_id", "facility").agg(*_volume())
+            .orderBy(F.desc("return_count"), F.desc("total_refund_usd"), "lot_id"))
+    return rows.limit(k) if k else rows
 
 
 def city_breakdown(returns: DataFrame, **filters) -> DataFrame:
@@ -142,8 +145,8 @@ def country_breakdown(returns: DataFrame, **filters) -> DataFrame:
         F.sum("refund_amount_usd").alias("refund_usd"))
 
 
-def lot_premium_breakdown(returns: DataFrame, top: int = 3) -> DataFrame:
-    """Tier split of the pending returns of every lot, with its top countries."""
+def lot_premium_breakdown(returns: DataFrame) -> DataFrame:
+    """Tier split of the pending returns of every lot, with its countries, most returns first."""
     t = _tiers()
     pending = returns.filter(F.col("status") == "pending")
     zero = F.lit(0).cast(rules.MONEY)
@@ -155,7 +158,7 @@ def lot_premium_breakdown(returns: DataFrame, top: int = 3) -> DataFrame:
         F.sum(F.when(t["premium"], refund).otherwise(zero)).alias("pr"),
         F.sum(F.when(~t["premium"], refund).otherwise(zero)).alias("sr"))
     # At most one entry per country and lot reaches the array.
-    countries = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("country")))), 1, top)
+    countries = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("country"))))
     return by_country.groupBy("lot_id").agg(
         F.sum("n").alias("total"), F.sum("p").alias("premium_count"), F.sum("s").alias("standard_count"),
         F.sum("l").alias("premium_labeled_count"), F.sum("h").alias("premium_predicted_hidden_count"),
@@ -172,7 +175,7 @@ def premium_flags(returns: DataFrame) -> DataFrame:
 
 def returns_with_tier(returns: DataFrame, customers: DataFrame, predictions: DataFrame) -> DataFrame:
     """Returns with customer and the predicted tier, where one exists."""
-    rows = returns.select("return_id", "lot_id", "customer_id", "refund_amount_usd", "status")
+    rows = returns.select("return_id", "lot_id", "customer_id", "refund_amount_usd", "status", "premium_status_labeled", "anger_score")
     return rows.join(customers, "customer_id", "inner").join(predictions, "customer_id", "left")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewatch.functions import text as X
@@ -19,12 +20,13 @@ def _count(words: Column, term: str) -> Column:
 
 
 def bm25_scores(docs: DataFrame, text_col: str, query: str, carry: list[str], *, boolean: bool = True,
-                keep: Column | None = None) -> DataFrame:
+                keep: Column | None = None, times: DataFrame | None = None) -> DataFrame:
     """BM25 score of every document that holds a query word (and satisfies the query).
 
-    One pass tokenises each text once and keeps a few counters per document;
-    the texts themselves are neither exploded nor shuffled.  The counters are
-    written out, because both the corpus statistics and the scores read them.
+    Each text is tokenised once and shrinks to a few counters; the texts themselves are neither exploded nor
+    shuffled.  Counts over the whole corpus are observed on the pass that writes the counters of the hits.
+    ``times`` has a document's key, the first of ``carry``, and how often the corpus holds it (column ``times``);
+    documents that it lacks are not part of the corpus.
     """
     terms = X.wanted_words(query)
     wanted = F.lit(True) if keep is None else keep
@@ -32,18 +34,22 @@ def bm25_scores(docs: DataFrame, text_col: str, query: str, carry: list[str], *,
     facts = F.transform(F.array(X.search_words(F.col(text_col))), lambda w: F.struct(
         F.size(w).alias("len"), *[_count(w, t).alias(f"tf{i}") for i, t in enumerate(terms)],
         (X.words_match(w, query) if boolean else F.lit(True)).alias("match")))[0]
-    counted = cut_lineage(docs.select(*carry, wanted.alias("keep"), facts.alias("f")).select(*carry, "keep", "f.*"))
-    stats = counted.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.sum("len").alias("len"),
-        *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).alias("s")).scalar()
+    counted = docs.select(*carry, wanted.alias("keep"), facts.alias("f")).select(*carry, "keep", "f.*")
+    counted = counted.withColumn("times", F.lit(1)) if times is None else counted.join(times, carry[0])
+    seen = Observation()
+    counted = counted.observe(
+        seen, F.sum("times").alias("n"), F.sum(F.col("times") * F.col("len")).alias("len"),
+        *[F.sum(F.when(F.col(f"tf{i}") > 0, F.col("times"))).alias(f"df{i}") for i in range(len(terms))])
     hit = reduce(lambda a, b: a | b, [F.col(f"tf{i}") > 0 for i in range(len(terms))], F.lit(False))
-    rows = counted.filter(hit & F.col("match") & F.col("keep")).withColumn("s", stats)
-    avg = F.col("s.len") / F.col("s.n")
+    rows = cut_lineage(counted.filter(hit & F.col("match") & F.col("keep")))
+    corpus = seen.get
+    n = corpus["n"] or 0
+    avg = (corpus["len"] or 0) / max(n, 1)
     score = F.lit(0.0)
     for i in range(len(terms)):
-        tf, df = F.col(f"tf{i}"), F.col(f"s.df{i}")
-        idf = F.log(1 + (F.col("s.n") - df + 0.5) / (df + 0.5))
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len") / avg))
+        tf, df = F.col(f"tf{i}"), corpus[f"df{i}"] or 0
+        idf = math.log(1 + (n - df + 0.5) / (df + 0.5))
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len") / (avg or 1.0)))
     return rows.select(*carry, F.round(score, 6).alias("score"))
 
 
@@ -63,14 +69,36 @@ def note_search(notes: DataFrame, id_col: str, text_col: str, query: str, carry:
     return hits.orderBy(F.desc("score"), id_col).limit(k)
 
 
+def quoted_note_search(actions: DataFrame, notes: DataFrame, id_col: str, query: str, carry: list[str], k: int = 5,
+                       keep: Column | None = None) -> DataFrame:
+    """``note_search`` over actions that quote a note, (note_doc, notes), by its key ``note_doc``.
+
+    A note is read once however many actions quote it; only its score meets the actions.
+    """
+    cols = [id_col, *carry]
+    if not X.wanted_words(query):
+        return actions.limit(0).select(*cols, F.lit(0.0).alias("score"))
+    quoted = actions.groupBy("note_doc").agg(F.count(F.lit(1)).alias("times"))
+    scores = bm25_scores(notes, "notes", query, ["note_doc"], times=quoted)
+    found = actions if keep is None else actions.filter(keep)
+    return found.join(scores, "note_doc").select(*cols, "score").orderBy(F.desc("score"), id_col).limit(k)
+
+
 def history_search(tickets: DataFrame, events: DataFrame, billing: DataFrame, who: DataFrame,
-                   query: str, k: int = 3) -> DataFrame:
+                   query: str, k: int, subscriber_id: str | None = None) -> DataFrame:
     """Best hits in each subscriber's service history: tickets, bill disputes, node events.
 
+    With a ``subscriber_id`` the three sources are pruned to that subscriber and their node first, and the corpus of
+    the scores is their history.
+
     Hits are cut to k per subscriber and per node before nodes are spread to
     their subscribers, so a node with many subscribers never multiplies its
     whole event history.
     """
+    if subscriber_id is not None:
+        who = who.filter(F.col("subscriber_id") == subscriber_id)
+        own, nodes = F.col("subscriber_id") == subscriber_id, who.select(F.col("service_node_id").alias("node_id"))
+        tickets, billing, events = tickets.filter(own), billing.filter(own), events.join(nodes, "node_id", "left_semi")
     docs = (
         tickets.select(F.lit("ticket").alias("source"), F.col("ticket_id").alias("doc_id"),
                        F.col("subscriber_id").alias("scope"), F.col("opened_date").alias("at"),
@@ -88,7 +116,7 @@ def history_search(tickets: DataFrame, events: DataFrame, billing: DataFrame, wh
     return top_per_key(scopes.join(best, "scope").drop("scope"), ["subscriber_id"], order, k)
 
 
-def offer_search(notes: DataFrame, offers: DataFrame, k: int = 2) -> DataFrame:
+def offer_search(notes: DataFrame, offers: DataFrame, k: int) -> DataFrame:
     """Offers that best match each distinct note: every note is a query over the catalog.
 
     Notes are made distinct with their count first; BM25 weights exist once per

@@ -47,12 +47,29 @@ def silver_billing(billing: DataFrame, p: Params) -> DataFrame:
         F.max_by("dispute_reason", when).alias("last_dispute_reason"))
 
 
-def silver_risk(snapshots: DataFrame, subscribers: DataFrame, flags: DataFrame) -> DataFrame:
+#: Parts a note's rows are dealt into where scores are joined by note: a few texts stand on most rows.
+NOTE_PARTS = 64
+
+
+def with_note_score(rows: DataFrame, p: Params, flags: DataFrame | None = None) -> DataFrame:
+    """Rows with the score of their note.
+
+    The keyword rule is evaluated in the row.  Scores of a costlier classifier, (agent_note_text, churn_signal_score), are
+    joined by note and part, so that neither a frequent note nor the missing one meets in one task.
+    """
+    if flags is None:
+        note = F.col("agent_note_text")
+        return rows.withColumn("churn_signal_score", F.when(note.isNotNull(), class_score(note_class(note), p)))
+    parts = flags.select("agent_note_text", "churn_signal_score", F.explode(F.sequence(F.lit(0), F.lit(NOTE_PARTS - 1))).alias("part__"))
+    dealt = rows.withColumn("part__", F.pmod(F.xxhash64("subscriber_id", "snapshot_date"), F.lit(NOTE_PARTS)).cast("int"))
+    return dealt.join(parts, ["agent_note_text", "part__"], "left").drop("part__")
+
+
+def silver_risk(snapshots: DataFrame, subscribers: DataFrame, p: Params, flags: DataFrame | None = None) -> DataFrame:
     """Every snapshot with its subscriber and note score; write it partitioned by date."""
     subs = subscribers.select("subscriber_id", "plan_type", "tenure_months", "monthly_arpu_usd",
                               "service_node_id", "home_metro")
-    return (snapshots.join(subs, "subscriber_id", "inner")
-            .join(flags.select("agent_note_text", "churn_signal_score"), "agent_note_text", "left"))
+    return with_note_score(snapshots.join(subs, "subscriber_id", "inner"), p, flags)
 
 
 def silver_retention(history: DataFrame, subscribers: DataFrame) -> DataFrame:

@@ -12,37 +12,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.session import cut_lineage
+
 SEGMENT = "segment__"
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, from a scan of the key columns alone.
 
-    There are at most (rows / hot_rows) of them: the size bound that allows
-    broadcasting the list.
+    The list is written, because two joins read it; its size decides at run time whether it is broadcast.
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n__"))
-            .filter(F.col("n__") > hot_rows).select(*keys, F.lit(True).alias("hot__")))
+    return cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n__"))
+                       .filter(F.col("n__") > hot_rows).select(*keys, F.lit(True).alias("hot__")))
 
 
 def _cut(seq: str, hot_rows: int):
     return (F.floor(F.col(seq) / hot_rows) + 1).cast("bigint")
 
 
-def with_segments(df: DataFrame, keys: list[str], seq: str, hot_rows: int) -> DataFrame:
+def with_segments(df: DataFrame, hot: DataFrame, keys: list[str], seq: str, hot_rows: int) -> DataFrame:
     """Add the segment column: 0 for ordinary keys, a range of the sequence for hot ones."""
     segment = F.when(F.col("hot__"), _cut(seq, hot_rows)).otherwise(F.lit(0).cast("bigint"))
-    return (df.join(F.broadcast(hot_keys(df, keys, hot_rows)), keys, "left")
+    return (df.join(hot, keys, "left")
             .withColumn(SEGMENT, segment).drop("hot__"))
 
 
-def _hot_rows_only(df: DataFrame, keys: list[str], seq: str, hot_rows: int) -> DataFrame:
+def _hot_rows_only(df: DataFrame, hot: DataFrame, keys: list[str], seq: str, hot_rows: int) -> DataFrame:
     """The rows of hot keys with their segment.
 
     An inner join: when no key is hot, the empty list lets Spark drop this
     branch, and the join that uses it, at run time.
     """
-    return (df.join(F.broadcast(hot_keys(df, keys, hot_rows)), keys, "inner")
+    return (df.join(hot, keys, "inner")
             .withColumn(SEGMENT, _cut(seq, hot_rows)).drop("hot__"))
 
 
@@ -54,13 +55,14 @@ def neighbour(df: DataFrame, keys: list[str], seq: str, cols: dict[str, str], ho
     """
     order = Window.partitionBy(*keys, SEGMENT).orderBy(seq)
     step = F.lead if forward else F.lag
-    inner = with_segments(df, keys, seq, hot_rows).select(
+    hot = hot_keys(df, keys, hot_rows)
+    inner = with_segments(df, hot, keys, seq, hot_rows).select(
         "*", *[step(c).over(order).alias(n) for n, c in cols.items()],
         step(F.lit(True)).over(order).alias("inside__"))
     # One edge row per segment of a hot key: its first (lead) or last (lag) values.
     edge = (F.min_by if forward else F.max_by)(F.struct(*cols.values()), F.col(seq))
     target = F.lag if forward else F.lead
-    edges = (_hot_rows_only(df, keys, seq, hot_rows).groupBy(*keys, SEGMENT).agg(edge.alias("edge__"))
+    edges = (_hot_rows_only(df, hot, keys, seq, hot_rows).groupBy(*keys, SEGMENT).agg(edge.alias("edge__"))
              .select(*keys, target(SEGMENT).over(Window.partitionBy(*keys).orderBy(SEGMENT)).alias(SEGMENT), "edge__")
              .filter(F.col(SEGMENT).isNotNull()))
     joined = inner.join(edges, [*keys, SEGMENT], "left")
@@ -73,10 +75,11 @@ def running_totals(df: DataFrame, keys: list[str], seq: str, totals: dict[str, s
                    hot_rows: int) -> DataFrame:
     """Running sums within keys in sequence order, current row included."""
     order = Window.partitionBy(*keys, SEGMENT).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    inner = with_segments(df, keys, seq, hot_rows).select(
+    hot = hot_keys(df, keys, hot_rows)
+    inner = with_segments(df, hot, keys, seq, hot_rows).select(
         "*", *[F.sum(c).over(order).alias(n) for n, c in totals.items()])
     before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (_hot_rows_only(df, keys, seq, hot_rows).groupBy(*keys, SEGMENT)
+    carried = (_hot_rows_only(df, hot, keys, seq, hot_rows).groupBy(*keys, SEGMENT)
                .agg(*[F.sum(c).alias(f"{n}__t") for n, c in totals.items()])
                .select(*keys, SEGMENT, *[F.sum(f"{n}__t").over(before).alias(f"{n}__c") for n in totals]))
     joined = inner.join(carried, [*keys, SEGMENT], "left")

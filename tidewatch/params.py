@@ -57,10 +57,6 @@ class Params:
     score_at_risk: float = 0.6
     score_healthy: float = 0.1
 
-    # How far back a subscriber's latest snapshot may lie; None searches the whole history,
-    # a number lets a table partitioned by date skip all older partitions.
-    snapshot_lookback_days: int | None = None
-
     # Windows the specification leaves open.
     event_lookback_days: int = 30
     trend_weeks: int = 8

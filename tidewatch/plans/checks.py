@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import ml
 from tidewatch.operators import quality as Q
+from tidewatch.params import OFFER_TYPES
 from tidewatch.plans.registry import query
 
 _RED = "risk_band IN ('critical', 'elevated')"
@@ -58,10 +59,13 @@ def _(lake):
 
 @query("duplicate_keys", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) FILTER (WHERE n > 1) AS n_duplicate_keys, CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS n_duplicate_rows FROM (SELECT {k}, COUNT(*) AS n FROM {t} GROUP BY {k})"
-    for t, k in {**_KEYS, "lineitem": "l_orderkey", "documents": "text"}.items()))
+    for t, k in {**_KEYS, "lineitem": "l_orderkey", "documents": "md5(text)"}.items()))
 def _(lake):
     keys = {**_KEYS, "lineitem": "l_orderkey", "documents": "text"}
-    return Q.duplicate_keys({t: (lake["action_log" if t == "retention_actions" else t], k) for t, k in keys.items()})
+    tables = {t: (lake["action_log" if t == "retention_actions" else t], k) for t, k in keys.items()}
+    # Texts are compared by a hash, so they are not shuffled.
+    tables["documents"] = (lake["documents"].select(F.sha2("text", 256).alias("text")), "text")
+    return Q.duplicate_keys(tables)
 
 
 @query("ml_features", """SELECT retention_id, offer_type, churn_reason, offer_type || '|' || churn_reason AS offer_reason, CAST(monthly_arpu_usd AS DOUBLE) AS monthly_arpu_usd,
@@ -70,13 +74,37 @@ def _(lake):
     return ml.features(lake.outcomes)
 
 
-@query("ml_recommendations")
+# What SQL can say of a learned ranking: whom it covers, and how its numbers hang together.
+@query("ml_recommendations", """SELECT subscriber_id, CAST(3 AS INT) AS n_options, true AS offer_is_first, true AS best_net_first, true AS net_is_difference, true AS flag_is_sign,
+  CAST(MAX(CASE WHEN offer_type = 'bill_credit' THEN cost_usd END) AS DOUBLE) AS bill_credit_cost_usd, CAST(MAX(CASE WHEN offer_type = 'plan_upgrade_discount' THEN cost_usd END) AS DOUBLE) AS plan_discount_cost_usd,
+  CAST(MAX(CASE WHEN offer_type = 'device_upgrade' THEN cost_usd END) AS DOUBLE) AS device_cost_usd FROM plays_v GROUP BY subscriber_id""")
 def _(lake):
-    model, _rmse = ml.train(lake.outcomes)
-    return ml.recommend(model, lake.book, lake.p)
+    recs = ml.recommend(ml.train(lake.outcomes).model, lake.book, lake.p)
+    o = F.from_json("offer_ranking", "array<struct<offerType:string,costUsd:decimal(14,2),predictedRetainedClvUsd:decimal(14,2),predictedNetValueUsd:decimal(14,2)>>")
+    ranked = recs.withColumn("o", o)
+
+    def cost(offer: str):
+        return F.filter("o", lambda x: x["offerType"] == offer)[0]["costUsd"]
+    return ranked.select(
+        "subscriber_id", F.size("o").alias("n_options"),
+        ((F.col("o")[0]["offerType"] == F.col("recommended_offer")) & (F.col("o")[0]["predictedNetValueUsd"] == F.col("predicted_net_value_usd"))).alias("offer_is_first"),
+        (F.col("predicted_net_value_usd") == F.array_max(F.transform("o", lambda x: x["predictedNetValueUsd"]))).alias("best_net_first"),
+        F.forall("o", lambda x: x["predictedNetValueUsd"] == x["predictedRetainedClvUsd"] - x["costUsd"]).alias("net_is_difference"),
+        (F.col("is_profitable") == (F.col("predicted_net_value_usd") > 0)).alias("flag_is_sign"),
+        cost("bill_credit").alias("bill_credit_cost_usd"), cost("plan_upgrade_discount").alias("plan_discount_cost_usd"),
+        cost("device_upgrade").alias("device_cost_usd"))
+
+
+@query("ml_summary", "SELECT COUNT(*) AS subscribers_scored, true AS counts_add_up, true AS beats_mean FROM book_v")
+def _(lake):
+    fit = ml.train(lake.outcomes)
+    one = ml.run_summary(ml.recommend(fit.model, lake.book, lake.p), fit)
+    counts = sum((F.col(f"{o}_recommended") for o in OFFER_TYPES), F.lit(0))
+    return one.select("subscribers_scored", (counts == F.col("subscribers_scored")).alias("counts_add_up"), "beats_mean")
 
 
-@query("ml_summary")
+# Whether the two rules hold depends on the reasons and values in the book; the report must judge both.
+@query("ml_quality", "SELECT 'q14_offer_mix' AS rule, true AS is_judged UNION ALL SELECT 'q14_rollup', true")
 def _(lake):
-    model, rmse = ml.train(lake.outcomes)
-    return ml.run_summary(ml.recommend(model, lake.book, lake.p), rmse)
+    recs = ml.recommend(ml.train(lake.outcomes).model, lake.book, lake.p)
+    return Q.recommendation_rules(recs, lake.position).select("rule", F.col("n_bad").isin(0, 1).alias("is_judged"))

@@ -47,7 +47,7 @@ class Lake:
 
     @cached_property
     def silver_risk(self) -> DataFrame:
-        return silver.silver_risk(self["risk_snapshots"], self["subscribers"], self.flags)
+        return silver.silver_risk(self["risk_snapshots"], self["subscribers"], self.p)
 
     @cached_property
     def outcomes(self) -> DataFrame:

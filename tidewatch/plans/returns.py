@@ -24,15 +24,16 @@ def _(lake):
     return R.returns_by_product(lake["silver_returns"])
 
 
-_LOT_REGION = """SELECT DISTINCT ON (lot_id) lot_id, region FROM (SELECT lot_id, region, COUNT(*) AS n FROM silver_order_items GROUP BY ALL)
-  ORDER BY lot_id, n DESC, region"""
+_LOT_REGION = """SELECT lot_id, region FROM (SELECT lot_id, region, ROW_NUMBER() OVER (PARTITION BY lot_id ORDER BY COUNT(*) DESC, region) AS rn
+  FROM silver_order_items GROUP BY lot_id, region) WHERE rn = 1"""
 
-_WORST = f"""SELECT lot_id, product_name, facility, region, n AS return_count, CAST(floor(COALESCE(units, 0)) AS BIGINT) AS units_sold,
-  COALESCE(ROUND(CAST(n * 100 AS DOUBLE) / NULLIF(CAST(units AS DOUBLE), 0), 1), 0) AS return_rate_pct, CAST(refund AS DOUBLE) AS total_refund_usd
-  FROM (SELECT lot_id, COUNT(*) AS n, SUM(refund_amount_usd) AS refund FROM silver_returns GROUP BY lot_id)
-  JOIN lots USING (lot_id) JOIN products USING (product_id)
-  LEFT JOIN (SELECT lot_id, SUM(quantity) AS units FROM silver_order_items GROUP BY lot_id) USING (lot_id) LEFT JOIN ({_LOT_REGION}) USING (lot_id)
-  ORDER BY 7 DESC, 1 LIMIT 20"""
+_WORST = f"""SELECT l.lot_id, p.product_name, l.facility, g.region, b.return_count, CAST(floor(COALESCE(s.units, 0)) AS BIGINT) AS units_sold,
+  CASE WHEN s.units > 0 THEN ROUND(b.return_count * 100 / CAST(s.units AS DOUBLE), 1) ELSE CAST(0 AS DOUBLE) END AS return_rate_pct, CAST(b.refund AS DOUBLE) AS total_refund_usd
+  FROM (SELECT lot_id, COUNT(*) AS return_count, SUM(refund_amount_usd) AS refund FROM silver_returns GROUP BY lot_id) b
+  JOIN lots l ON l.lot_id = b.lot_id JOIN products p ON p.product_id = l.product_id
+  LEFT JOIN (SELECT lot_id, SUM(quantity) AS units FROM silver_order_items GROUP BY lot_id) s ON s.lot_id = b.lot_id
+  LEFT JOIN ({_LOT_REGION}) g ON g.lot_id = b.lot_id
+  ORDER BY return_rate_pct DESC, l.lot_id LIMIT 20"""
 
 
 @query("worst_lots", _WORST)
@@ -57,12 +58,12 @@ def _(lake):
 
 
 @query("facility_lots", f"""SELECT lot_id, {_VOLUME}, COUNT(DISTINCT product_name) AS product_count, string_agg(DISTINCT product_name, ', ' ORDER BY product_name) AS product_names
-  FROM silver_returns WHERE facility = 'Brand#12' GROUP BY lot_id ORDER BY COUNT(*) DESC, SUM(refund_amount_usd) DESC, lot_id LIMIT 10""")
+  FROM silver_returns WHERE facility = 'Brand#12' GROUP BY lot_id ORDER BY COUNT(*) DESC, SUM(refund_amount_usd) DESC, lot_id LIMIT 5""")
 def _(lake):
-    return R.facility_lots(lake["silver_returns"], "Brand#12")
+    return R.facility_lots(lake["silver_returns"], "Brand#12", 5)
 
 
-@query("lot_summary", f"SELECT lot_id, facility, {_VOLUME} FROM silver_returns GROUP BY lot_id, facility ORDER BY COUNT(*) DESC, SUM(refund_amount_usd) DESC, lot_id LIMIT 20")
+@query("lot_summary", f"SELECT lot_id, facility, {_VOLUME} FROM silver_returns GROUP BY lot_id, facility ORDER BY COUNT(*) DESC, SUM(refund_amount_usd) DESC, lot_id")
 def _(lake):
     return R.lot_summary(lake["silver_returns"])
 
@@ -73,12 +74,15 @@ _CITY = """SELECT city, country, ROUND(CAST(SUM(CAST(customer_lat AS DECIMAL(12,
   FROM silver_returns WHERE customer_lat IS NOT NULL AND customer_lng IS NOT NULL GROUP BY city, country"""
 
 
+_PENDING_CITY = _CITY.replace("WHERE", "WHERE status = 'pending' AND")
+
+
 @query("city_breakdown", _CITY)
 def _(lake):
     return R.city_breakdown(lake["silver_returns"])
 
 
-@query("geo_bounds", f"SELECT MIN(lat) AS min_lat, MAX(lat) AS max_lat, MIN(lng) AS min_lng, MAX(lng) AS max_lng, COUNT(*) AS n_cities FROM ({_CITY.replace('WHERE', chr(39).join(['WHERE status = ', 'pending', ' AND']))})")
+@query("geo_bounds", f"SELECT MIN(lat) AS min_lat, MAX(lat) AS max_lat, MIN(lng) AS min_lng, MAX(lng) AS max_lng, COUNT(*) AS n_cities FROM ({_PENDING_CITY})")
 def _(lake):
     return R.geo_bounds(R.city_breakdown(lake["silver_returns"], status="pending"))
 
@@ -93,8 +97,8 @@ def _(lake):
     COUNT(*) FILTER (WHERE {_LABELED}) AS premium_labeled_count, COUNT(*) FILTER (WHERE {_HIDDEN}) AS premium_predicted_hidden_count, COUNT(*) FILTER (WHERE final_tier IS NULL) AS no_prediction_count,
     CAST(SUM(CASE WHEN final_tier = 'premium' THEN refund_amount_usd ELSE 0 END) AS DOUBLE) AS premium_refund_usd, CAST(SUM(CASE WHEN final_tier = 'premium' THEN 0 ELSE refund_amount_usd END) AS DOUBLE) AS standard_refund_usd
     FROM silver_returns WHERE status = 'pending' GROUP BY lot_id) a
-  JOIN (SELECT lot_id, string_agg(country, ',' ORDER BY rn) AS top_countries FROM (SELECT lot_id, country, ROW_NUMBER() OVER (PARTITION BY lot_id ORDER BY COUNT(*) DESC, country) AS rn
-    FROM silver_returns WHERE status = 'pending' GROUP BY lot_id, country) WHERE rn <= 3 GROUP BY lot_id) c ON a.lot_id = c.lot_id""")
+  JOIN (SELECT lot_id, string_agg(country, ',' ORDER BY n DESC, country) AS top_countries FROM (SELECT lot_id, country, COUNT(*) AS n
+    FROM silver_returns WHERE status = 'pending' GROUP BY lot_id, country) GROUP BY lot_id) c ON a.lot_id = c.lot_id""")
 def _(lake):
     return R.lot_premium_breakdown(lake["silver_returns"])
 
@@ -104,7 +108,7 @@ def _(lake):
     return R.premium_flags(lake["silver_returns"])
 
 
-@query("returns_with_tier", """SELECT r.return_id, r.lot_id, r.customer_id, CAST(r.refund_amount_usd AS DOUBLE) AS refund_amount_usd, r.status, c.customer_name, c.customer_city, p.final_tier, CAST(p.premium_prob AS DOUBLE) AS premium_prob
+@query("returns_with_tier", """SELECT r.return_id, r.lot_id, r.customer_id, CAST(r.refund_amount_usd AS DOUBLE) AS refund_amount_usd, r.status, c.customer_name, c.customer_city, r.premium_status_labeled, r.anger_score, p.final_tier, CAST(p.premium_prob AS DOUBLE) AS premium_prob
   FROM silver_returns r JOIN return_customers c ON r.customer_id = c.customer_id LEFT JOIN premium_predictions p ON r.customer_id = p.customer_id""")
 def _(lake):
     return R.returns_with_tier(lake["silver_returns"], lake["return_customers"], lake["premium_predictions"])
@@ -145,16 +149,16 @@ def _(lake):
     return R.searched(lake["silver_returns"], " RING ", ("product_name", "city", "lot_id")).select(*_QCOLS)
 
 
-@query("queue_sort_value", f"SELECT {_QUEUE} FROM silver_returns ORDER BY silver_returns.refund_amount_usd DESC, return_id LIMIT 100")
+@query("queue_sort_value", f"SELECT {_QUEUE} FROM silver_returns ORDER BY silver_returns.refund_amount_usd DESC, return_id")
 def _(lake):
-    return R.queue(lake["silver_returns"], "value", 100).select(*_QCOLS)
+    return R.queue(lake["silver_returns"], "value").select(*_QCOLS)
 
 
-@query("queue_sort_anger", f"SELECT {_QUEUE} FROM silver_returns WHERE status = 'pending' ORDER BY anger_score DESC NULLS LAST, return_id LIMIT 100")
+@query("queue_sort_anger", f"SELECT {_QUEUE} FROM silver_returns WHERE status = 'pending' ORDER BY anger_score DESC NULLS LAST, return_id")
 def _(lake):
-    return R.queue(lake["silver_returns"], "anger", 100, status="pending").select(*_QCOLS)
+    return R.queue(lake["silver_returns"], "anger", status="pending").select(*_QCOLS)
 
 
-@query("queue_sort_recent", f"SELECT {_QUEUE} FROM silver_returns ORDER BY return_date DESC, return_id LIMIT 100")
+@query("queue_sort_recent", f"SELECT {_QUEUE} FROM silver_returns ORDER BY return_date DESC, return_id")
 def _(lake):
-    return R.queue(lake["silver_returns"], "recent", 100).select(*_QCOLS)
+    return R.queue(lake["silver_returns"], "recent").select(*_QCOLS)

@@ -44,9 +44,9 @@ for _name, _sql, _args in (
         ("care_queue_applied", "AND offer_applied", {"tab": "applied"}),
         ("care_queue_filtered", "AND plan_type = 'mobile' AND churn_reason = 'service'", {"plan_type": "mobile", "churn_reason": "service", "risk_band": None}),
         ("care_queue_search", "AND (lower(subscriber_id) LIKE '%an%' OR lower(plan_type) LIKE '%an%' OR lower(home_metro) LIKE '%an%')", {"search": "AN "}),
-        ("care_queue_by_clv", "AND risk_band = 'elevated' ORDER BY q.clv_at_risk_usd DESC, subscriber_id LIMIT 25", {"tab": "elevated", "limit": 25}),
-        ("care_queue_by_risk", "ORDER BY churn_risk_score DESC, subscriber_id LIMIT 25", {"sort": "risk", "limit": 25}),
-        ("care_queue_by_tenure", "ORDER BY tenure_months DESC, subscriber_id LIMIT 25", {"sort": "tenure", "limit": 25})):
+        ("care_queue_by_clv", "AND risk_band = 'elevated' ORDER BY q.clv_at_risk_usd DESC, subscriber_id", {"tab": "elevated"}),
+        ("care_queue_by_risk", "ORDER BY churn_risk_score DESC, subscriber_id", {"sort": "risk"}),
+        ("care_queue_by_tenure", "ORDER BY tenure_months DESC, subscriber_id", {"sort": "tenure"})):
     query(_name, f"{_CARE} {_sql}")(
         lambda lake, a=_args: A.care_queue(A.live_state(lake.position, lake["action_log"]), **a).select(*_CARE_COLS))
 
@@ -78,12 +78,14 @@ def _(lake):
     return A.priority(lake["action_log"])
 
 
-@query("recent_actions", """SELECT action_id, subscriber_id, action_type, offer_type, outcome, agent_id, CASE WHEN length(notes) > 60 THEN substr(notes, 1, 60) || '...' ELSE notes END AS notes_preview
+def _notes(lake):
+    return lake["documents"].select(F.col("doc_id").alias("note_doc"), F.col("text").alias("notes"))
+
+
+@query("recent_actions", """SELECT action_id, subscriber_id, action_type, offer_type, outcome, agent_id, created_at, CASE WHEN length(notes) > 60 THEN substr(notes, 1, 60) || '...' ELSE notes END AS notes_preview
   FROM retention_actions ORDER BY created_at DESC, action_id DESC LIMIT 20""")
 def _(lake):
-    # The newest rows are found without their notes; the semi join then reaches below the note join.
-    newest = lake["action_log"].orderBy(F.desc("created_at"), F.desc("action_id")).limit(20).select("action_id")
-    return A.recent_actions(lake["retention_actions"].join(newest, "action_id", "left_semi"))
+    return A.recent_actions(lake["action_log"], _notes(lake))
 
 
 def _requests(lake):
@@ -166,11 +168,11 @@ def _attempted(lake):
     return lake["silver_returns"].filter((F.col("facility") == _FACILITY) & (F.col("status") == "pending"))
 
 
-def _updated(lake):
-    """Rows of the facility, where some were decided between read and write."""
+def _updated(lake, where):
+    """The rows that meet the filter, where some were decided between read and write."""
     current = lake["silver_returns"].withColumn(
         "status", F.when((F.col("status") == "pending") & (F.col("customer_id") % 10 == 3), "rejected").otherwise(F.col("status")))
-    return A.bulk_tiered_action(current, lake["return_customers"], F.col("facility") == _FACILITY, "care-agent",
+    return A.bulk_tiered_action(current, lake["return_customers"], where, "care-agent",
                                 F.col("return_date").cast("string"))
 
 
@@ -183,13 +185,14 @@ _BODY = f"""CASE WHEN r.final_tier = 'premium' THEN 'Dear ' || {_FIRST} || ' ' |
   ELSE 'Hello ' || {_FIRST} || ', use ' || {_CODE} || ' for 5% off after ' || r.product_name || '.' END"""
 _ORIGIN = """CASE WHEN final_tier = 'premium' AND premium_status_labeled = 'premium' THEN 'premium, tagged by hand' WHEN final_tier = 'premium' THEN 'premium, hidden' ELSE 'standard' END"""
 _UPDATED = f"""SELECT r.*, {_PCT} AS coupon_pct, {_CODE} AS coupon_code, {_ORIGIN} AS origin, {_SUBJECT} AS subject, {_BODY} AS body
-  FROM ({_CURRENT}) r LEFT JOIN return_customers c ON r.customer_id = c.customer_id WHERE r.status = 'pending' AND r.facility = '{_FACILITY}'"""
+  FROM ({_CURRENT}) r LEFT JOIN return_customers c ON r.customer_id = c.customer_id WHERE r.status = 'pending'"""
+_AT_FACILITY = f"facility = '{_FACILITY}'"
 
 
 @query("bulk_tiered_action", f"""SELECT return_id, lot_id, customer_id, final_tier, CAST(refund_amount_usd AS DOUBLE) AS refund_amount_usd, coupon_pct, coupon_code, 'approved' AS status, origin, subject, body,
-  CAST(return_date AS VARCHAR) AS at, 'email_sent,approved' AS audit_actions FROM ({_UPDATED})""")
+  CAST(return_date AS VARCHAR) AS at, 'email_sent,approved' AS audit_actions FROM ({_UPDATED}) WHERE facility = '{_FACILITY}'""")
 def _(lake):
-    return _updated(lake).select(
+    return _updated(lake, F.expr(_AT_FACILITY)).select(
         "return_id", "lot_id", "customer_id", "final_tier", "refund_amount_usd", "coupon_pct", "coupon_code", "status", "origin",
         F.col("emails")[0]["subject"].alias("subject"), F.col("emails")[0]["body"].alias("body"), F.col("emails")[0]["at"].alias("at"),
         F.array_join(F.transform("audit_trail", lambda a: a["action"]), ",").alias("audit_actions"))
@@ -200,12 +203,12 @@ def _(lake):
   COUNT(*) FILTER (WHERE done AND {_ORIGIN} = 'premium, hidden') AS premium_predicted_hidden_count, CAST(COALESCE(SUM(CASE WHEN done THEN refund_amount_usd END), 0) AS DOUBLE) AS total_refund_usd, COUNT(*) FILTER (WHERE NOT done) AS skipped_count
   FROM (SELECT *, customer_id % 10 <> 3 AS done FROM silver_returns WHERE facility = '{_FACILITY}' AND status = 'pending')""")
 def _(lake):
-    return A.bulk_action_summary(_updated(lake), _attempted(lake))
+    return A.bulk_action_summary(_updated(lake, F.expr(_AT_FACILITY)), _attempted(lake))
 
 
 @query("bulk_skipped", f"SELECT return_id FROM silver_returns WHERE facility = '{_FACILITY}' AND status = 'pending' AND customer_id % 10 = 3")
 def _(lake):
-    return A.skipped_rows(_updated(lake), _attempted(lake))
+    return A.skipped_rows(_updated(lake, F.expr(_AT_FACILITY)), _attempted(lake))
 
 
 @query("decide_rows", """SELECT return_id, CASE WHEN ok THEN decision ELSE status END AS status, ok AS was_updated,
@@ -233,12 +236,12 @@ _ITEMS = f"""SELECT return_id, CAST(return_date AS VARCHAR) AS happened_at, 'ema
 
 @query("activity_feed", f"SELECT return_id, happened_at, kind, action, detail, CAST(actor AS VARCHAR) AS actor FROM ({_ITEMS}) ORDER BY happened_at DESC, return_id, kind, action LIMIT 20")
 def _(lake):
-    return A.activity_feed(_updated(lake)).withColumnsRenamed({"at": "happened_at", "by": "actor"})
+    return A.activity_feed(_updated(lake, F.lit(True))).withColumnsRenamed({"at": "happened_at", "by": "actor"})
 
 
 @query("entity_timeline", f"""SELECT return_id, happened_at, kind, action, detail, CAST(actor AS VARCHAR) AS actor, CAST(ROW_NUMBER() OVER (PARTITION BY return_id ORDER BY happened_at DESC, kind DESC, action DESC) - 1 AS INT) AS position FROM ({_ITEMS})""")
 def _(lake):
-    return A.entity_timeline(_updated(lake)).withColumnsRenamed({"at": "happened_at", "by": "actor"})
+    return A.entity_timeline(_updated(lake, F.lit(True))).withColumnsRenamed({"at": "happened_at", "by": "actor"})
 
 
 @query("decision_memos", """SELECT b.subscriber_id, concat_ws(chr(10), '# Retention decision', '- **Subscriber**: ' || b.subscriber_id, '- **Date**: 2024-01-30', '## Risk', '- **Score**: ' || CAST(churn_risk_score AS VARCHAR), '- **Band**: ' || risk_band,
@@ -376,7 +379,7 @@ _NOTE_WHERE = """(contains(normal, ' thanea ') AND contains(normal, ' attion '))
 
 @query("note_search", _bm25_sql("retention_actions", "action_id", "notes", _NOTE_TERMS, _NOTE_WHERE, ", subscriber_id, action_type, outcome") + " LIMIT 5")
 def _(lake):
-    return S.note_search(lake["retention_actions"], "action_id", "notes", _NOTE_QUERY, ["subscriber_id", "action_type", "outcome"])
+    return S.quoted_note_search(lake["action_log"], _notes(lake), "action_id", _NOTE_QUERY, ["subscriber_id", "action_type", "outcome"])
 
 
 @query("bm25_topk", _bm25_sql("documents", "doc_id", "text", ["thanea", "attion", "eriner", "thanedble"]) + " LIMIT 5")
@@ -386,8 +389,8 @@ def _(lake):
 
 @query("similar_cases", _bm25_sql("retention_actions", "action_id", "notes", _NOTE_TERMS, f"outcome = 'retained' AND ({_NOTE_WHERE})", ", subscriber_id, offer_type") + " LIMIT 5")
 def _(lake):
-    return S.note_search(lake["retention_actions"], "action_id", "notes", _NOTE_QUERY, ["subscriber_id", "offer_type"],
-                         keep=F.col("outcome") == "retained")
+    return S.quoted_note_search(lake["action_log"], _notes(lake), "action_id", _NOTE_QUERY, ["subscriber_id", "offer_type"],
+                                keep=F.col("outcome") == "retained")
 
 
 _DOCS = """(SELECT 'ticket' AS source, ticket_id AS doc_id, subscriber_id AS scope, opened_date AS happened_on, ticket_type || ' ' || note_text AS doc FROM tickets
@@ -397,21 +400,21 @@ _HITS = _bm25_sql(_DOCS, "doc_id", "doc", ["outage", "dispute", "leave"], "conta
 
 
 @query("history_search", f"""SELECT subscriber_id, source, doc_id, happened_on, score, CAST(rn AS INT) AS rank FROM (SELECT b.subscriber_id, h.source, h.doc_id, h.happened_on, h.score,
-  ROW_NUMBER() OVER (PARTITION BY b.subscriber_id ORDER BY h.score DESC, h.happened_on DESC, h.doc_id) AS rn FROM book_v b JOIN ({_HITS}) h ON h.scope = b.subscriber_id OR h.scope = b.service_node_id) WHERE rn <= 3""")
+  ROW_NUMBER() OVER (PARTITION BY b.subscriber_id ORDER BY h.score DESC, h.happened_on DESC, h.doc_id) AS rn FROM position_v b JOIN ({_HITS}) h ON h.scope = b.subscriber_id OR h.scope = b.service_node_id) WHERE rn <= 5""")
 def _(lake):
-    return S.history_search(lake["tickets"], lake["network_events"], lake["billing"], lake.book, "outage or dispute or leave").withColumnRenamed("at", "happened_on")
+    return S.history_search(lake["tickets"], lake["network_events"], lake["billing"], lake.position, "outage or dispute or leave", 5).withColumnRenamed("at", "happened_on")
 
 
 @query("offer_search", f"""WITH e AS (SELECT offer_id, {_WORDS.format(c="offer_name || ' ' || description")} AS w FROM offers WHERE is_active),
   s AS (SELECT COUNT(*) AS n, AVG(len(w)) AS avg_len FROM e), t AS (SELECT offer_id, len(w) AS len, unnest(w) AS word FROM e),
   tf AS (SELECT offer_id, len, word, COUNT(*) AS tf FROM t GROUP BY ALL), df AS (SELECT word, COUNT(*) AS df FROM tf GROUP BY word),
   wt AS (SELECT tf.word, offer_id, ln(1 + (s.n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / s.avg_len)) AS weight FROM tf JOIN df ON df.word = tf.word CROSS JOIN s),
-  q AS (SELECT note_text, COUNT(*) AS n_tickets FROM tickets WHERE closed_date IS NULL GROUP BY note_text),
+  q AS (SELECT note_text, COUNT(*) AS n_tickets FROM tickets GROUP BY note_text),
   qw AS (SELECT note_text, n_tickets, unnest(list_distinct({_WORDS.format(c='note_text')})) AS word FROM q),
   r AS (SELECT note_text, n_tickets, offer_id, ROUND(SUM(weight), 6) AS score FROM qw JOIN wt ON wt.word = qw.word GROUP BY note_text, n_tickets, offer_id)
-  SELECT note_text, n_tickets, offer_id, score, CAST(rn AS INT) AS rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY note_text ORDER BY score DESC, offer_id) AS rn FROM r) WHERE rn <= 2""")
+  SELECT note_text, n_tickets, offer_id, score, CAST(rn AS INT) AS rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY note_text ORDER BY score DESC, offer_id) AS rn FROM r) WHERE rn <= 5""")
 def _(lake):
-    return S.offer_search(lake["tickets"].filter("closed_date IS NULL"), lake["offers"])
+    return S.offer_search(lake["tickets"], lake["offers"], 5)
 
 
 @query("vector_topk", """SELECT e.vec_id, e.label, ROUND(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS cosine

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import tidewatch.plans.service  # noqa: F401  (its SQL is shared)
 from tidewatch.plans.registry import SQL, query
 from tidewatch.session import shared_dir
-from tidewatch.sources.generators import subscriber_key
+from tidewatch.sources.adapters import subscriber_key
 from tidewatch.streaming import batches, cdc, chains, kpi
 
 

@@ -27,13 +27,13 @@ def rebuild(lake: Lake, root: str) -> dict[str, int]:
         done[name], counts[name] = _save(df, root, name, partition_by)
         return done[name]
 
-    flags = table("note_churn_flags", lake.flags)
+    table("note_churn_flags", lake.flags)
     tickets = table("silver_tickets", lake.tickets_rollup)
     billing = table("silver_billing", lake.billing_rollup)
-    table("silver_risk", silver.silver_risk(lake["risk_snapshots"], lake["subscribers"], flags), ("snapshot_date",))
+    table("silver_risk", silver.silver_risk(lake["risk_snapshots"], lake["subscribers"], p), ("snapshot_date",))
     history = table("silver_retention", silver.silver_retention(lake["retention_history"], lake["subscribers"]))
     position = table("gold_subscriber_position", gold.subscriber_position(
-        gold.current_snapshot(lake["risk_snapshots"], p), lake["subscribers"], tickets, billing, p, flags))
+        gold.current_snapshot(lake["risk_snapshots"], p), lake["subscribers"], tickets, billing, p))
     book = table("gold_open_atrisk", gold.open_atrisk(gold.at_risk_book(position), lake["network_events"], lake["offers"], p))
     table("gold_retention_outcomes", gold.retention_outcomes(history))
     table("gold_retention_recommendations", gold.recommendations(book, p))

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -122,18 +122,13 @@ SELECT event_id AS action_id, 'SUB-' || lpad(CAST(user_id + 1 AS STRING), 7, '0'
   CASE event_id % 3 WHEN 0 THEN 'offer_presented' WHEN 1 THEN 'follow_up' ELSE 'escalation' END AS action_type,
   CASE event_id % 4 WHEN 0 THEN 'bill_credit' WHEN 1 THEN 'plan_upgrade_discount' WHEN 2 THEN 'device_upgrade' ELSE NULL END AS offer_type,
   CASE event_type WHEN 'signup' THEN 'pending' WHEN 'purchase' THEN 'approved' WHEN 'click' THEN 'retained' ELSE 'escalated' END AS outcome,
-  'agent-' || CAST(event_id % 12 AS STRING) AS agent_id, ts AS created_at
+  'agent-' || CAST(event_id % 12 AS STRING) AS agent_id, ts AS created_at, event_id % (SELECT COUNT(*) FROM documents) AS note_doc
 FROM events WHERE event_id % 5 = 0
 """
 
-# The document count is a single aggregated row; joining it is not a growing product.
 VIEW_SQL["retention_actions"] = """
-SELECT e.event_id AS action_id, 'SUB-' || lpad(CAST(e.user_id + 1 AS STRING), 7, '0') AS subscriber_id,
-  CASE e.event_id % 3 WHEN 0 THEN 'offer_presented' WHEN 1 THEN 'follow_up' ELSE 'escalation' END AS action_type,
-  CASE e.event_id % 4 WHEN 0 THEN 'bill_credit' WHEN 1 THEN 'plan_upgrade_discount' WHEN 2 THEN 'device_upgrade' ELSE NULL END AS offer_type,
-  CASE e.event_type WHEN 'signup' THEN 'pending' WHEN 'purchase' THEN 'approved' WHEN 'click' THEN 'retained' ELSE 'escalated' END AS outcome,
-  'agent-' || CAST(e.event_id % 12 AS STRING) AS agent_id, d.text AS notes, e.ts AS created_at
-FROM (SELECT x.*, x.event_id % c.n AS note_doc FROM events x CROSS JOIN (SELECT COUNT(*) AS n FROM documents) c WHERE x.event_id % 5 = 0) e JOIN documents d ON d.doc_id = e.note_doc
+SELECT a.action_id, a.subscriber_id, a.action_type, a.offer_type, a.outcome, a.agent_id, d.text AS notes, a.created_at
+FROM action_log a JOIN documents d ON d.doc_id = a.note_doc
 """
 
 VIEW_SQL["silver_order_items"] = """
@@ -215,14 +210,15 @@ VIEW_SQL = {name: _PAD.sub(r"lpad(\1, CAST(greatest(\2, length(\1)) AS INT), '0'
 _SOURCE = re.compile(r"\b(FROM|JOIN)\s+(\w+)", re.IGNORECASE)
 
 
-_schemas: dict[str, T.StructType] = {}
+def subscriber_key(index: Column) -> Column:
+    """The id of the subscriber with that index: padded, and longer than the width when the number is."""
+    n = (index + 1).cast("string")
+    return F.concat(F.lit("SUB-"), F.lpad(n, F.greatest(F.lit(7), F.length(n)), F.lit("0")))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A base table; its schema is taken from the file once per process, not once per query."""
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A base table with the schema of its files; ``Lake`` holds the frame, so a rewritten table is seen by the next one."""
+    return spark.read.parquet(path)
 
 
 def bind_view(spark: SparkSession, name: str, resolve) -> DataFrame:
