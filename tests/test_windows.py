@@ -5,7 +5,7 @@ from conftest import same_rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.windows import neighbour, running_totals, top_per_key, with_segments
+from tidewatch.operators.windows import hot_keys, neighbour, running_totals, top_per_key, with_segments
 from tidewatch.params import Params
 
 
