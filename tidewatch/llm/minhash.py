@@ -206,9 +206,12 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, like: Likeness, bar: float
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
-    """(class, set): the sorted 64-bit shingle hashes of one document of each wanted (class, doc_id, n_shingles, f1, f2)."""
+    """(class, set): the sorted 64-bit shingle hashes of one document of each wanted (class, doc_id, n_shingles, f1, f2).
+
+    The wanted documents are a share of the corpus, so they are merged and never broadcast, whatever the size.
+    """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        wanted.withColumnRenamed("least_id", "doc_id"), "doc_id")
+        wanted.withColumnRenamed("least_id", "doc_id").hint("merge"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHashes()
@@ -319,7 +322,7 @@ def grouped(docs: DataFrame, like: Likeness) -> DataFrame:
     every = classes.select(*key, "class", "least_id").join(linked, F.col("class") == F.col("node"), "left")
     every = every.select(*key, "least_id", F.coalesce("component", "class").alias("group"))
     names = every.groupBy("group").agg(F.min("least_id").alias("component_id"))
-    named = every.join(names, "group").select(*key, "group", "component_id")
+    named = cut_lineage(every.join(names, "group").select(*key, "group", "component_id"))  # read plainly, so that a hot class can be split
     worded = sketches.filter("n_shingles > 0").join(named, key).select("doc_id", "text_key", "n_shingles", "group", "component_id")
     return worded.unionByName(sketches.filter("n_shingles = 0").select(
         "doc_id", "text_key", "n_shingles", F.lit(None).cast("bigint").alias("group"), F.col("doc_id").alias("component_id")))
