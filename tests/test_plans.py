@@ -78,3 +78,18 @@ def test_a_note_on_most_rows_is_dealt_out(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert counts == {0.6: 1800, 0.1: 100, None: 100}
+
+
+def test_recent_weeks_bound_the_events(spark, sf_dir):
+    """The window behind the snapshots reads the last weeks only; who ever had an event is read from all, by one column."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = _plan(Lake(spark, sf_dir).recent_snapshots(56))
+    assert "GreaterThanOrEqual(ts,2023-11-30T00:00)" in plan
+
+
+def test_lookup_of_one_subscriber_reaches_the_scans(spark, sf_dir):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = _plan(catalog.runner("subscriber_detail")(spark, sf_dir))
+    assert "EqualTo(c_custkey,42)" in plan and "EqualTo(user_id,42)" in plan
+    plan = _plan(catalog.runner("return_detail")(spark, sf_dir))
+    assert "EqualTo(l_orderkey," in plan

@@ -51,17 +51,23 @@ def test_replayed_batch_changes_nothing(spark, feed_dir, tmp_path):
     assert batches.finished(spark, f"{tmp_path}/h/versions") == done
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    writer = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=8)
-    rows = lambda *kl: spark.createDataFrame([(k, n, "s", "upsert") for k, n in kl], "entity_key bigint, lsn bigint, state string, change_type string").withColumn(
-        "changed_at", F.timestamp_seconds(F.col("lsn")).cast("timestamp_ntz"))
-    writer(rows(*[(k, k) for k in range(100)]), 0)
-    writer(rows((5, 1000)), 1)
-    assert len(batches.children(spark, f"{tmp_path}/h/versions/batch=0/open=true")) == 8
-    assert len(batches.children(spark, f"{tmp_path}/h/versions/batch=1/open=true")) == 1
-    assert cdc.read_latest(spark, f"{tmp_path}/h").count() == 100
+def _changes(spark, *kl):
+    rows = spark.createDataFrame([(k, n, "s", "upsert") for k, n in kl], "entity_key bigint, lsn bigint, state string, change_type string")
+    return rows.withColumn("changed_at", F.timestamp_seconds(F.col("lsn")).cast("timestamp_ntz"))
+
+
+def test_a_batch_writes_its_own_keys_only(spark, tmp_path):
+    writer = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=4, compact_every=5)
+    writer(_changes(spark, *[(k, k) for k in range(100)]), 0)
+    for n in range(1, 12):
+        writer(_changes(spark, (n % 3, 1000 + n), (200 + n, n)), n)
+        stored = batches.get(spark, f"{tmp_path}/h/versions", cdc.STORED, [n])
+        assert stored.filter("lsn >= 1000 OR entity_key > 150").count() == stored.filter("valid_to IS NULL").count() + (n > 3)
+        assert stored.filter("valid_to IS NULL").count() == 2
+    assert batches.finished(spark, f"{tmp_path}/h/base") == [4, 9]
+    assert cdc.read_latest(spark, f"{tmp_path}/h").count() == 111
     h = cdc.read_history(spark, f"{tmp_path}/h", P)
-    assert h.count() == 101 and h.filter("is_current").count() == 100
+    assert h.count() == 100 + 22 and h.filter("is_current").count() == 111
 
 
 def test_unfinished_batch_is_not_read(spark, tmp_path):

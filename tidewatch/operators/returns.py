@@ -179,6 +179,19 @@ def returns_with_tier(returns: DataFrame, customers: DataFrame, predictions: Dat
     return rows.join(customers, "customer_id", "inner").join(predictions, "customer_id", "left")
 
 
+def return_detail(returns: DataFrame, customers: DataFrame, predictions: DataFrame, decided: DataFrame, return_id: str) -> DataFrame:
+    """One return with its customer, both tier columns, probability, anger score, mails and audit trail."""
+    mails = decided.select("return_id", F.col("status").alias("decided_status"),
+                           F.array_join(F.transform("emails", lambda e: e["subject"]), "\n").alias("email_subjects"),
+                           F.array_join(F.transform("audit_trail", lambda a: a["action"]), ",").alias("audit_actions"))
+    one = returns.filter(F.col("return_id") == return_id)
+    return (one.join(customers.select("customer_id", "customer_name"), "customer_id")
+            .join(predictions.select("customer_id", "premium_prob"), "customer_id", "left").join(mails, "return_id", "left")
+            .select("return_id", "lot_id", "facility", "product_name", F.coalesce("decided_status", "status").alias("status"), "final_tier",
+                    "premium_status_labeled", "premium_prob", "anger_score", "refund_amount_usd", "customer_name",
+                    F.coalesce("email_subjects", F.lit("")).alias("email_subjects"), F.coalesce("audit_actions", F.lit("")).alias("audit_actions")))
+
+
 def severity_bands(lots_rate: DataFrame) -> DataFrame:
     return lots_rate.withColumn("severity", rules.rate_severity(F.col("return_rate_pct")))
 

@@ -63,6 +63,9 @@ class Params:
     refund_trend_days: int = 30
     sparkline_days: int = 30
 
+    # Days a decision chain stays in a stream's state; events later than that do not count.
+    chain_keep_days: int = 3660
+
     # A key with more rows than this is split into segments of this many sequence numbers.
     hot_key_rows: int = 1_000_000
 

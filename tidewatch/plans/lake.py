@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,32 @@ class Lake:
                 self._views[name] = adapters.bind_view(self.spark, name, self.__getitem__)
         return self._views[name]
 
+    def narrowed(self, **tables: DataFrame) -> "Lake":
+        """The same views over other frames for some of the tables, to have a filter reach the scans."""
+        lake = type(self)(self.spark, self.sf_dir, self.p)
+        lake._views.update(tables)
+        return lake
+
+    def recent_snapshots(self, days: int) -> DataFrame:
+        """At least the snapshots of the last days.
+
+        A snapshot looks back six days, so events before that cannot count; whether a subscriber ever had one is still read from all.
+        """
+        events = self["events"]
+        since = F.lit(self.p.as_of - timedelta(days=days + 5)).cast(events.schema["ts"].dataType)
+        return self.narrowed(events=events.filter(F.col("ts") >= since), event_users=self["event_users"])["risk_snapshots"]
+
+    def of_subscriber(self, subscriber_id: str) -> "Lake":
+        """The tables of one subscriber: the id is translated to the key that the scans can be filtered by."""
+        index = int(subscriber_id.removeprefix("SUB-")) - 1
+        return self.narrowed(customer=self["customer"].filter(F.col("c_custkey") == index), events=self["events"].filter(F.col("user_id") == index),
+                             orders=self["orders"].filter(F.col("o_custkey") == index))
+
+    def of_return(self, return_id: str) -> "Lake":
+        """The tables of one return, by the order it belongs to."""
+        order = int(return_id.split("-")[0])
+        return self.narrowed(lineitem=self["lineitem"].filter(F.col("l_orderkey") == order), orders=self["orders"].filter(F.col("o_orderkey") == order))
+
     @cached_property
     def flags(self) -> DataFrame:
         return silver.note_churn_flags(self["risk_snapshots"], self.p)
@@ -101,3 +128,7 @@ class RawLake(Lake):
     def __getitem__(self, name: str) -> DataFrame:
         dataset = "retention_offers" if name == "retention_history" else name
         return raw.read_raw(self.spark, self.sf_dir, dataset)
+
+    def recent_snapshots(self, days: int) -> DataFrame:
+        """All snapshots: they are stored, so a consumer's filter on the date reaches the scan."""
+        return self["risk_snapshots"]

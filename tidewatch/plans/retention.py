@@ -207,7 +207,7 @@ def _(lake):
     # Each cohort row explodes to a fixed number of days, so no cross join is planned.
     days = F.sequence(F.date_sub(F.lit(lake.p.as_of), 13), F.lit(lake.p.as_of))
     grid = lake.cohort.select("subscriber_id", F.explode(days).alias("day"))
-    seen = lake["risk_snapshots"].select("subscriber_id", F.col("snapshot_date").alias("day"), "churn_risk_score")
+    seen = lake.recent_snapshots(14).select("subscriber_id", F.col("snapshot_date").alias("day"), "churn_risk_score")
     return (grid.join(seen, ["subscriber_id", "day"], "left")
             .withColumn("has_snapshot", F.col("churn_risk_score").isNotNull()))
 
@@ -299,12 +299,12 @@ _TREND = """SELECT {period} AS period, c.subscriber_id IS NOT NULL AS in_cohort,
 
 @query("risk_trend_daily", _TREND.format(period="snapshot_date"))
 def _(lake):
-    return metrics.risk_trend(lake["risk_snapshots"], lake.cohort, lake.p, "day")
+    return metrics.risk_trend(lake.recent_snapshots(7 * lake.p.trend_weeks), lake.pin("position").cohort, lake.p, "day")
 
 
 @query("risk_trend_weekly", _TREND.format(period="CAST(date_trunc('week', snapshot_date) AS DATE)"))
 def _(lake):
-    return metrics.risk_trend(lake["risk_snapshots"], lake.cohort, lake.p, "week")
+    return metrics.risk_trend(lake.recent_snapshots(7 * lake.p.trend_weeks), lake.pin("position").cohort, lake.p, "week")
 
 
 _OUTCOMES = """SELECT offer_type, churn_reason, COUNT(*) AS n_offers, CAST(SUM(CASE WHEN retained THEN 1 ELSE 0 END) AS BIGINT) AS n_retained,
@@ -374,7 +374,7 @@ def _(lake):
   CAST(r.predicted_retained_clv_usd AS DOUBLE) AS predicted_retained_clv_usd, CAST(r.predicted_net_value_usd AS DOUBLE) AS predicted_net_value_usd
   FROM position_v s LEFT JOIN recs_v r ON s.subscriber_id = r.subscriber_id WHERE s.subscriber_id = 'SUB-0000043'""")
 def _(lake):
-    return (lake.scored.filter(F.col("subscriber_id") == "SUB-0000043")
+    return (lake.of_subscriber("SUB-0000043").scored.filter(F.col("subscriber_id") == "SUB-0000043")
             .select("subscriber_id", "plan_type", "risk_band", "churn_risk_score", "clv_at_risk_usd", "service_summary",
                     "recommended_offer", "predicted_retained_clv_usd", "predicted_net_value_usd"))
 

@@ -13,6 +13,7 @@ from tidewatch.operators import actions as A
 from tidewatch.operators import conversations as C
 from tidewatch.operators import gold
 from tidewatch.operators import history as H
+from tidewatch.operators import returns as R
 from tidewatch.operators import search as S
 from tidewatch.plans.registry import query
 from tidewatch.sources import mirror
@@ -168,11 +169,14 @@ def _attempted(lake):
     return lake["silver_returns"].filter((F.col("facility") == _FACILITY) & (F.col("status") == "pending"))
 
 
+def _current(lake):
+    return lake["silver_returns"].withColumn(
+        "status", F.when((F.col("status") == "pending") & (F.col("customer_id") % 10 == 3), "rejected").otherwise(F.col("status")))
+
+
 def _updated(lake, where):
     """The rows that meet the filter, where some were decided between read and write."""
-    current = lake["silver_returns"].withColumn(
-        "status", F.when((F.col("status") == "pending") & (F.col("customer_id") % 10 == 3), "rejected").otherwise(F.col("status")))
-    return A.bulk_tiered_action(current, lake["return_customers"], where, "care-agent",
+    return A.bulk_tiered_action(_current(lake), lake["return_customers"], where, "care-agent",
                                 F.col("return_date").cast("string"))
 
 
@@ -198,6 +202,27 @@ def _(lake):
         F.array_join(F.transform("audit_trail", lambda a: a["action"]), ",").alias("audit_actions"))
 
 
+_LOT = "LOT-000012"
+
+
+@query("bulk_action_by_lot", f"""SELECT return_id, lot_id, customer_id, final_tier, coupon_pct, coupon_code, 'approved' AS status, subject FROM ({_UPDATED}) WHERE lot_id = '{_LOT}'""")
+def _(lake):
+    return _updated(lake, F.col("lot_id") == _LOT).select(
+        "return_id", "lot_id", "customer_id", "final_tier", "coupon_pct", "coupon_code", "status", F.col("emails")[0]["subject"].alias("subject"))
+
+
+@query("return_detail", f"""SELECT r.return_id, r.lot_id, r.facility, r.product_name, CASE WHEN u.return_id IS NULL THEN r.status ELSE 'approved' END AS status, r.final_tier, r.premium_status_labeled,
+  CAST(p.premium_prob AS DOUBLE) AS premium_prob, r.anger_score, CAST(r.refund_amount_usd AS DOUBLE) AS refund_amount_usd, c.customer_name, COALESCE(u.subject, '') AS email_subjects,
+  CASE WHEN u.return_id IS NULL THEN '' ELSE 'email_sent,approved' END AS audit_actions
+  FROM ({_CURRENT}) r JOIN return_customers c ON c.customer_id = r.customer_id LEFT JOIN premium_predictions p ON p.customer_id = r.customer_id LEFT JOIN ({_UPDATED}) u ON u.return_id = r.return_id
+  WHERE r.return_id = (SELECT MIN(return_id) FROM silver_returns WHERE status = 'pending')""")
+def _(lake):
+    # The return that a user picks: here the first one that is pending.
+    picked = lake["silver_returns"].filter("status = 'pending'").agg(F.min("return_id")).first()[0]
+    one = lake.of_return(picked)
+    return R.return_detail(_current(one), one["return_customers"], one["premium_predictions"], _updated(one, F.lit(True)), picked)
+
+
 @query("bulk_action_summary", f"""SELECT COUNT(*) AS attempted_count, COUNT(*) FILTER (WHERE done) AS approved_count, COUNT(*) FILTER (WHERE done AND final_tier = 'premium') AS premium_email_count,
   COUNT(*) FILTER (WHERE done AND final_tier IS DISTINCT FROM 'premium') AS standard_email_count, COUNT(*) FILTER (WHERE done AND {_ORIGIN} = 'premium, tagged by hand') AS premium_labeled_count,
   COUNT(*) FILTER (WHERE done AND {_ORIGIN} = 'premium, hidden') AS premium_predicted_hidden_count, CAST(COALESCE(SUM(CASE WHEN done THEN refund_amount_usd END), 0) AS DOUBLE) AS total_refund_usd, COUNT(*) FILTER (WHERE NOT done) AS skipped_count
@@ -405,6 +430,18 @@ def _(lake):
     return S.history_search(lake["tickets"], lake["network_events"], lake["billing"], lake.position, "outage or dispute or leave", 5).withColumnRenamed("at", "happened_on")
 
 
+_ONE = "SUB-0000043"
+_OWN = f"(SELECT d.* FROM {_DOCS} d WHERE d.scope = '{_ONE}' OR d.scope = (SELECT service_node_id FROM position_v WHERE subscriber_id = '{_ONE}'))"
+
+
+@query("subscriber_history_search", "SELECT '" + _ONE + "' AS subscriber_id, source, doc_id, happened_on, score, CAST(ROW_NUMBER() OVER (ORDER BY score DESC, happened_on DESC, doc_id) AS INT) AS rank FROM (" + _bm25_sql(
+    _OWN, "doc_id", "doc", ["outage", "dispute", "leave"], "contains(normal, ' outage ') OR contains(normal, ' dispute ') OR contains(normal, ' leave ')", ", source, happened_on")
+    + ") ORDER BY rank LIMIT 5")
+def _(lake):
+    one = lake.of_subscriber(_ONE)
+    return S.history_search(one["tickets"], lake["network_events"], one["billing"], one.position, "outage or dispute or leave", 5, _ONE).withColumnRenamed("at", "happened_on")
+
+
 @query("offer_search", f"""WITH e AS (SELECT offer_id, {_WORDS.format(c="offer_name || ' ' || description")} AS w FROM offers WHERE is_active),
   s AS (SELECT COUNT(*) AS n, AVG(len(w)) AS avg_len FROM e), t AS (SELECT offer_id, len(w) AS len, unnest(w) AS word FROM e),
   tf AS (SELECT offer_id, len, word, COUNT(*) AS tf FROM t GROUP BY ALL), df AS (SELECT word, COUNT(*) AS df FROM tf GROUP BY word),

@@ -65,6 +65,6 @@ def _(lake):
     log = _events(lake).filter(kind != "error").select(
         "event_id", subscriber_key(F.col("user_id")).alias("subscriber_id"),
         F.col("ts").cast("date").alias("action_date"), F.col("ts").alias("created_at"), step.alias("event_type"))
-    chains.stream_chains(log, root, checkpoint)
+    chains.stream_chains(log, root, checkpoint, lake.p.chain_keep_days)
     return chains.read_chains(lake.spark, root)
 

@@ -70,9 +70,12 @@ UNION ALL
 SELECT 'SUB-' || lpad(CAST(c.c_custkey + 1 AS STRING), 7, '0'), DATE '2024-01-30', CAST(30 + c.c_custkey % 170 AS DOUBLE) / 1000,
   CASE c.c_custkey % 3 WHEN 0 THEN 'service' WHEN 1 THEN 'price' ELSE 'device' END, 0,
   CASE c.c_custkey % 2 WHEN 0 THEN 'satisfied, no issues' ELSE NULL END
-FROM customer c WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT user_id FROM events) e WHERE e.user_id = c.c_custkey)
+FROM customer c WHERE NOT EXISTS (SELECT 1 FROM event_users e WHERE e.user_id = c.c_custkey)
 """
 
+# A view of its own, so that a reader of the last weeks can bound the events and still see who ever had one.
+VIEW_SQL["event_users"] = "SELECT DISTINCT user_id FROM events"
+
 VIEW_SQL["billing"] = """
 SELECT 'BILL-' || lpad(CAST(o_orderkey + 1 AS STRING), 8, '0') AS bill_id, 'SUB-' || lpad(CAST(o_custkey + 1 AS STRING), 7, '0') AS subscriber_id,
   CAST(date_trunc('month', o_orderdate + INTERVAL 269 MONTH) AS DATE) AS bill_month,

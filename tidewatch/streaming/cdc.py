@@ -3,11 +3,12 @@
 Layout under ``root``:
 
 * ``versions/batch=N/open=false``: versions closed by batch N, never rewritten
-* ``versions/batch=N/open=true/bucket=B``: open versions of the keys of bucket B after batch N;
-  written only for buckets that batch N touched, so the newest directory of a bucket is valid
+* ``versions/batch=N/open=true/bucket=B``: open versions of the keys of batch N, and of no others; of a key's open
+  versions the one of the newest batch is valid
+* ``base/batch=N``: the valid open versions after batch N, written now and then, so that a reader needs only the batches since
 * ``late/batch=N``: changes older than the open version of their key
 
-A batch reads the open versions of the buckets it touches and the new changes;
+A batch reads the open versions of the buckets it touches and the new changes, and writes rows for its own keys only;
 closed history is never read again.  Late changes are kept beside the history
 and woven in by the reader, for the keys concerned only.
 """
@@ -23,52 +24,63 @@ from tidewatch.streaming import batches
 
 FEED = "entity_key bigint, lsn bigint, changed_at timestamp_ntz, state string, change_type string"
 VERSION = FEED + ", valid_to timestamp_ntz"
+STORED = VERSION + ", batch int, bucket int"
 _COLS = ["entity_key", "lsn", "changed_at", "state", "change_type"]
 
 
-def _newest_open(spark: SparkSession, root: str, done: list[int]) -> dict[str, str]:
-    """Newest open directory of every bucket."""
-    newest = {}
-    for b in done:
-        base = f"{root}/versions/batch={b}/open=true"
-        newest.update({name: f"{base}/{name}" for name in batches.children(spark, base)})
-    return newest
-
-
-def _read(spark: SparkSession, dirs: list[str]) -> DataFrame:
-    return spark.read.schema(VERSION).parquet(*dirs) if dirs else spark.createDataFrame([], VERSION)
+def _open_versions(spark: SparkSession, root: str, done: list[int], buckets: list[int] | None = None) -> DataFrame:
+    """The valid open version of every key, or of the keys of some buckets."""
+    bases = [b for b in batches.finished(spark, f"{root}/base") if done and b <= done[-1]][-1:]
+    since = [b for b in done if not bases or b > bases[0]]
+    stored = batches.get(spark, f"{root}/versions", STORED, since, "/open=true").unionByName(batches.get(spark, f"{root}/base", STORED, bases))
+    if buckets is not None:
+        stored = stored.filter(F.col("bucket").isin(buckets))
+    version = F.struct(*_COLS, "valid_to")
+    return stored.groupBy("entity_key").agg(F.max_by(version, F.col("batch")).alias("v")).select("v.*")
 
 
 class HistoryWriter:
-    def __init__(self, root: str, p: Params, buckets: int = 64):
-        self.root, self.p, self.buckets = root, p, buckets
+    """Writes one micro-batch; every ``compact_every``-th one also writes a base."""
+
+    def __init__(self, root: str, p: Params, buckets: int = 64, compact_every: int = 50):
+        self.root, self.p, self.buckets, self.compact_every = root, p, buckets, compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read by three jobs
+        try:
+            self._write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64("entity_key"), F.lit(self.buckets))
+        bucket = F.pmod(F.xxhash64("entity_key"), F.lit(self.buckets)).cast("int")
         # At most one small number per bucket comes back to the driver.
-        touched = [f"bucket={r.b}" for r in batch.select(bucket.alias("b")).distinct().collect()]
+        touched = [r.b for r in batch.select(bucket.alias("b")).distinct().collect()]
         before = [b for b in batches.finished(spark, f"{self.root}/versions") if b < batch_id]
-        newest = _newest_open(spark, self.root, before)
-        old = _read(spark, [newest[t] for t in touched if t in newest]).select(*_COLS)
         new = batch.select(*_COLS)
+        old = (_open_versions(spark, self.root, before, touched).select(*_COLS)
+               .join(new.select("entity_key").distinct(), "entity_key", "left_semi"))
         marked = new.join(old.select("entity_key", F.col("lsn").alias("open_lsn")), "entity_key", "left")
         batches.put(marked.filter(F.col("lsn") < F.col("open_lsn")).select(*_COLS), f"{self.root}/late", batch_id)
         fresh = marked.filter(F.col("open_lsn").isNull() | (F.col("lsn") > F.col("open_lsn"))).select(*_COLS)
         led = followed(old.unionByName(fresh), self.p)
-        batches.put(led.select(*_COLS, "valid_to", F.col("next_lsn").isNull().alias("open"), bucket.alias("bucket")),
-                    f"{self.root}/versions", batch_id, partition_by=("open", "bucket"))
+        rows = led.select(*_COLS, "valid_to", F.col("next_lsn").isNull().alias("open"), bucket.alias("bucket"))
+        batches.put(rows.repartition("bucket"), f"{self.root}/versions", batch_id, partition_by=("open", "bucket"))
+        if batch_id % self.compact_every == self.compact_every - 1:
+            whole = _open_versions(spark, self.root, [*before, batch_id])
+            batches.put(whole.withColumn("bucket", bucket).repartition("bucket"), f"{self.root}/base", batch_id, partition_by=("bucket",))
 
 
-def stream_history(feed: DataFrame, root: str, checkpoint: str, p: Params, buckets: int = 64) -> None:
-    batches.run_available(feed, HistoryWriter(root, p, buckets), checkpoint)
+def stream_history(feed: DataFrame, root: str, checkpoint: str, p: Params, buckets: int = 64, compact_every: int = 50) -> None:
+    batches.run_available(feed, HistoryWriter(root, p, buckets, compact_every), checkpoint)
 
 
 def read_history(spark: SparkSession, root: str, p: Params) -> DataFrame:
     """All versions with validity intervals; the same rows as the batch job gives."""
     done = batches.finished(spark, f"{root}/versions")
     closed = batches.get(spark, f"{root}/versions", VERSION, done, "/open=false").withColumn("is_current", F.lit(False))
-    opened = _read(spark, list(_newest_open(spark, root, done).values())).withColumn("is_current", F.lit(True))
+    opened = _open_versions(spark, root, done).withColumn("is_current", F.lit(True))
     stored = closed.unionByName(opened)
     late = batches.get(spark, f"{root}/late", FEED, done)
     touched = late.select("entity_key").distinct()
@@ -81,5 +93,5 @@ def read_history(spark: SparkSession, root: str, p: Params) -> DataFrame:
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
     """Newest state per key: the open versions."""
-    opened = _read(spark, list(_newest_open(spark, root, batches.finished(spark, f"{root}/versions")).values()))
+    opened = _open_versions(spark, root, batches.finished(spark, f"{root}/versions"))
     return opened.filter(F.col("change_type") != "delete").select("entity_key", "lsn", "state", "changed_at")
