@@ -105,9 +105,10 @@ def paragraphs_of(docs: DataFrame) -> DataFrame:
 def training_rows(docs: DataFrame, setting: Training) -> DataFrame:
     """(family, words, held_out): notices inside pieces of corpus text with a word left out now and then, and the pieces alone."""
     spark = docs.sparkSession
-    first = F.slice(tokens(F.substring(common.whole(F.col("text")), 1, 600)), 1, 60)
-    plain = docs.select(first.alias("words")).filter(~F.array_join("words", " ").rlike("licen[sc]|copyright|warrant|redistribut|permission"))
-    plain = plain.filter(F.size("words") >= 6).orderBy(F.xxhash64("words"), "words").limit(setting.paragraphs)
+    # Whole paragraphs, taken by the order of their hashes; those that speak of licences are no examples of the class none.
+    lines = docs.select(F.explode(F.split(F.lower(common.whole(F.col("text"))), "\n")).alias("line")).filter(F.length("line") > 30)
+    plain = lines.orderBy(F.xxhash64("line"), "line").limit(setting.paragraphs).select(tokens(F.col("line")).alias("words"))
+    plain = plain.filter(~F.array_join("words", " ").rlike("licen[sc]|copyright|warrant|redistribut|permission"))
     plain = cut_lineage(plain.select(F.row_number().over(_by_hash()).alias("n"), "words"))
     notices = _listed(spark, [*TEMPLATES, *((OTHER, t) for t in UNKNOWN), *((NONE, t) for t in PLAIN)])
     varied = notices.select("family", tokens(F.col("notice")).alias("notice"), F.explode(F.sequence(F.lit(0), F.lit(setting.variants - 1))).alias("v"))
