@@ -92,7 +92,8 @@ def test_licenses_are_found_and_plain_text_is_not(spark):
     assert got[100, 1] == "mit" and got[101, 0] == "cc-by-nc" and got[105, 0] == "apache"
     assert got.get((102, 0)) in (None, "unknown")
     assert not any(d < 100 for d, _ in got)
-    assert licenses.found(docs(spark, []), model).count() == 0
+    nothing = docs(spark, [])
+    assert licenses.found(nothing, model).count() == 0 and licenses.found(nothing, licenses.trained(nothing)).count() == 0
 
 
 # ---- chat ----
