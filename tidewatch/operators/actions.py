@@ -291,20 +291,22 @@ def entity_timeline(rows: DataFrame) -> DataFrame:
 # ---- memos ----
 
 def decision_memos(scored: DataFrame, on: str) -> DataFrame:
-    """One rendered memo per at-risk subscriber."""
+    """One rendered memo per at-risk subscriber, with open lines for the decision."""
     na = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
     line = lambda label, value: F.concat(F.lit(f"- **{label}**: "), value)
-    amount = lambda c: F.concat(F.lit("$"), F.coalesce(F.col(c), F.lit(0)).cast(rules.MONEY).cast("string"))
+    amount = lambda c: F.concat(F.lit("$"), F.format_number(F.coalesce(F.col(c), F.lit(0)).cast(rules.MONEY), 2))
+    # The headings and labels of the memo.
     memo = F.concat_ws(
-        "\n", F.lit("# Retention decision"), line("Subscriber", na("subscriber_id")), line("Date", F.lit(on)),
-        F.lit("## Risk"), line("Score", na("churn_risk_score")), line("Band", na("risk_band")),
-        line("Reason", na("churn_reason")), line("CLV at risk", amount("clv_at_risk_usd")),
-        F.lit("## Profile"), line("Plan", na("plan_type")), line("Tenure", F.concat(na("tenure_months"), F.lit(" months"))),
-        line("ARPU", amount("monthly_arpu_usd")), line("Node", na("service_node_id")), line("Metro", na("home_metro")),
-        F.lit("## History"), na("service_summary"), F.lit("## Recommendation"),
-        line("Offer", na("recommended_offer")), line("Retained CLV", amount("predicted_retained_clv_usd")),
-        line("Net value", amount("predicted_net_value_usd")),
-        F.lit("## Decision\n- [ ] Approve\n- [ ] Escalate\n- [ ] Other offer"))
+        "\n", F.lit("# Retention Decision Memo\n"), F.concat(F.lit("**Subscriber**: "), na("subscriber_id")), F.lit(f"**Date**: {on}"),
+        F.lit("\n## Risk Assessment"), line("Risk Score", na("churn_risk_score")), line("Risk Band", na("risk_band")),
+        line("Churn Reason", na("churn_reason")), line("CLV at Risk", amount("clv_at_risk_usd")),
+        F.lit("\n## Subscriber Profile"), line("Plan", na("plan_type")), line("Tenure", F.concat(na("tenure_months"), F.lit(" months"))),
+        line("ARPU", F.concat(amount("monthly_arpu_usd"), F.lit("/mo"))), line("Node", na("service_node_id")), line("Metro", na("home_metro")),
+        F.lit("\n## Service Summary"), na("service_summary"),
+        F.lit("\n## Recommendation"), line("Offer", na("recommended_offer")),
+        line("Predicted Retained CLV", amount("predicted_retained_clv_usd")), line("Net Value", amount("predicted_net_value_usd")),
+        F.lit("\n## Decision"), F.lit("- [ ] Approve recommended offer"), F.lit("- [ ] Escalate to manager"), F.lit("- [ ] Custom offer: _______________"),
+        F.lit("\n**Approver**: _______________"), F.lit("**Signature**: _______________"))
     book = scored.filter(F.col("risk_band").isin("critical", "elevated", "watch"))
     return book.select("subscriber_id", memo.alias("memo"))
 

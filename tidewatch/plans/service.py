@@ -269,10 +269,15 @@ def _(lake):
     return A.entity_timeline(_updated(lake, F.lit(True))).withColumnsRenamed({"at": "happened_at", "by": "actor"})
 
 
-@query("decision_memos", """SELECT b.subscriber_id, concat_ws(chr(10), '# Retention decision', '- **Subscriber**: ' || b.subscriber_id, '- **Date**: 2024-01-30', '## Risk', '- **Score**: ' || CAST(churn_risk_score AS VARCHAR), '- **Band**: ' || risk_band,
-  '- **Reason**: ' || churn_reason, '- **CLV at risk**: $' || CAST(clv_at_risk_usd AS VARCHAR), '## Profile', '- **Plan**: ' || plan_type, '- **Tenure**: ' || CAST(tenure_months AS VARCHAR) || ' months', '- **ARPU**: $' || CAST(monthly_arpu_usd AS VARCHAR),
-  '- **Node**: ' || service_node_id, '- **Metro**: ' || home_metro, '## History', service_summary, '## Recommendation', '- **Offer**: ' || recommended_offer, '- **Retained CLV**: $' || CAST(predicted_retained_clv_usd AS VARCHAR),
-  '- **Net value**: $' || CAST(predicted_net_value_usd AS VARCHAR), '## Decision', '- [ ] Approve', '- [ ] Escalate', '- [ ] Other offer') AS memo FROM book_v b JOIN recs_v r ON b.subscriber_id = r.subscriber_id""")
+def _usd(column: str) -> str:
+    return f"'$' || format('{{{{:,.2f}}}}', CAST(COALESCE({column}, 0) AS DOUBLE))"
+
+
+@query("decision_memos", f"""SELECT b.subscriber_id, concat_ws(chr(10), '# Retention Decision Memo', '', '**Subscriber**: ' || b.subscriber_id, '**Date**: 2024-01-30', '', '## Risk Assessment', '- **Risk Score**: ' || CAST(churn_risk_score AS VARCHAR),
+  '- **Risk Band**: ' || risk_band, '- **Churn Reason**: ' || churn_reason, '- **CLV at Risk**: ' || {_usd('clv_at_risk_usd')}, '', '## Subscriber Profile', '- **Plan**: ' || plan_type, '- **Tenure**: ' || CAST(tenure_months AS VARCHAR) || ' months',
+  '- **ARPU**: ' || {_usd('monthly_arpu_usd')} || '/mo', '- **Node**: ' || service_node_id, '- **Metro**: ' || home_metro, '', '## Service Summary', service_summary, '', '## Recommendation', '- **Offer**: ' || recommended_offer,
+  '- **Predicted Retained CLV**: ' || {_usd('predicted_retained_clv_usd')}, '- **Net Value**: ' || {_usd('predicted_net_value_usd')}, '', '## Decision', '- [ ] Approve recommended offer', '- [ ] Escalate to manager',
+  '- [ ] Custom offer: _______________', '', '**Approver**: _______________', '**Signature**: _______________') AS memo FROM book_v b JOIN recs_v r ON b.subscriber_id = r.subscriber_id""".replace("{{", "{").replace("}}", "}"))
 def _(lake):
     return A.decision_memos(lake.scored, lake.p.as_of.isoformat())
 
