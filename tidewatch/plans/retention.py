@@ -8,7 +8,6 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidewatch.operators import gold, metrics, silver
-from tidewatch.operators.windows import top_per_key
 from tidewatch.params import BANDS
 from tidewatch.plans.registry import query
 from tidewatch.functions import rules

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidewatch.operators import returns as R
 from tidewatch.plans.registry import query
 
