@@ -10,6 +10,7 @@ texts and the finished records are shuffled, once each.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm import common, feistel
 from tidewatch.session import cut_lineage
 
+#: Records are handed on in batches of about this size.
+BATCH_BYTES = 8 << 20
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -63,9 +67,9 @@ def row_key(doc_id: Column, text: Column) -> Column:
 def sequence_counts(rows: DataFrame, layout: Layout) -> DataFrame:
     """(k1, key, sequences) of every row of (k1, key, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = layout.encoder()
+        encode = layout.encoder().encode_ordinary
         for batch in batches:
-            n = [-(-(len(encoder.encode_ordinary(t.as_py())) + 1) // layout.length) for t in batch.column(2)]
+            n = [-(-(len(encode(t.as_py())) + 1) // layout.length) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["k1", "key", "sequences"])
     return rows.mapInArrow(run, "k1 bigint, key string, sequences bigint")
 
@@ -87,24 +91,38 @@ def materialised(docs: DataFrame, layout: Layout) -> DataFrame:
     texts = rows.groupBy("key").agg(F.first("k1").alias("k1"), F.first("text").alias("text"))
     numbered = texts.join(starts, "key").select("k1", "text", "first", "copies", "each")
     shards = max(1, -(-total // layout.per_shard))
-    end, length, seed, per_shard = layout.end, layout.length, layout.seed, layout.per_shard
+    length, seed, per_shard, fill = layout.length, layout.seed, layout.per_shard, struct.pack("<H", layout.end)
     names = ["shard", "slot", "doc_id", "part", "n_tokens", "tokens"]
 
+    def records(held: list[tuple[int | None, bytes, int, int]]) -> pa.RecordBatch:
+        """One batch of the held documents: (doc_id, ids with the end, first number, sequences)."""
+        each = np.array([h[3] for h in held])
+        first_row = np.repeat(np.cumsum(each) - each, each)
+        part = np.arange(len(first_row)) - first_row
+        slots = feistel.permute(np.repeat([h[2] for h in held], each) + part, total, seed)
+        sizes = np.minimum(np.repeat([len(h[1]) // 2 for h in held], each) - part * length, length)
+        data = b"".join(h[1] + fill * (h[3] * length - len(h[1]) // 2) for h in held)
+        places = np.arange(len(part) + 1, dtype=np.int32) * (2 * length)
+        return pa.RecordBatch.from_arrays(
+            [pa.array((slots // per_shard).astype(np.int32)), pa.array(slots), pa.array([h[0] for h in held], pa.int64()).take(pa.array(np.repeat(np.arange(len(held)), each))),
+             pa.array(part.astype(np.int32)), pa.array(sizes.astype(np.int32)),
+             pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(places), pa.py_buffer(data)])], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = layout.encoder()
+        encode = layout.encoder().encode_ordinary
+        held, size = [], 0
         for batch in batches:
-            for doc_id, text, first, copies, each in zip(*batch.columns):
-                ids = np.array([*encoder.encode_ordinary(text.as_py()), end], dtype="<u2")
-                each, copies = each.as_py(), copies.as_py()
-                full = np.full(each * length, end, dtype="<u2")
-                full[:len(ids)] = ids
-                records = pa.array([r.tobytes() for r in full.reshape(each, length)], pa.binary())
-                sizes = np.minimum(len(ids) - np.arange(each) * length, length).astype(np.int32)
-                for copy in range(copies):  # one copy at a time, however many there are
-                    slots = feistel.permute(first.as_py() + copy * each + np.arange(each), total, seed)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((slots // per_shard).astype(np.int32)), pa.array(slots), pa.array([doc_id.as_py()] * each, pa.int64()),
-                         pa.array(np.arange(each, dtype=np.int32)), pa.array(sizes), records], names=names)
+            doc_ids, firsts, all_copies, numbers = (batch.column(c).to_pylist() for c in (0, 2, 3, 4))
+            for doc_id, text, first, copies, each in zip(doc_ids, batch.column(1), firsts, all_copies, numbers):
+                ids = np.array(encode(text.as_py()), dtype="<u2").tobytes() + fill
+                for copy in range(copies):
+                    held.append((doc_id, ids, first + copy * each, each))
+                    size += each * 2 * length
+                    if size > BATCH_BYTES:
+                        yield records(held)
+                        held, size = [], 0
+        if held:
+            yield records(held)
     sequences = numbered.mapInArrow(run, "shard int, slot bigint, doc_id bigint, part int, n_tokens int, tokens binary")
     return sequences.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
 
