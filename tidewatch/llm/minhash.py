@@ -3,10 +3,10 @@
 1. One pass over the texts sketches every shingle set: the hash of a shingle picks a bucket, and each bucket keeps its smallest
    hash compressed to a leading-zero count and mantissa bits in 16 bits.  Buckets that stay empty borrow from others.
 2. Documents with equal sets (128-bit fingerprint and size) form a class; from here on only classes are handled, so copies cost nothing.
-3. Bands of registers send classes to band buckets.  Each member of a bucket is compared with the bucket's smallest
-   member only, by the collision-corrected Jaccard estimate; a bar far below the wanted similarity keeps the two in one cluster.
-4. Clusters are the connected components of these pairs.  A pair as similar as wanted shares about half of its bands, so it is in one
-   cluster unless every one of these buckets is led by a class that resembles neither.
+3. Bands of registers send classes to band buckets.  Each member of a bucket is first compared with the bucket's smallest
+   member, by the collision-corrected Jaccard estimate; a bar far below the wanted similarity keeps the two in one cluster.
+4. Clusters are the connected components of these pairs.  Where the members of a bucket are then still of several clusters, all its pairs
+   across clusters are compared in blocks, and the clusters that these link are joined: members of a bucket are of one cluster or were compared.
 5. Inside a cluster all pairs are checked exactly, in blocks of BLOCK x BLOCK sets: intersection sizes come from one matrix product
    per block, and a block returns a spanning forest of its links, never the pairs themselves.
 6. Components of the links give the groups.
@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +34,7 @@ from tidewatch.session import cut_lineage
 MISS = 1e-6
 #: A register: 6 bits of leading zeros, 10 bits of mantissa.
 MANTISSA = 10
-#: Estimate against a bucket's leader below which a member is not joined to its cluster.
+#: Estimate below which two members of a bucket are not joined to one cluster.
 CLUSTER_BAR = 0.5
 #: Classes per side of a block.
 BLOCK = 256
@@ -176,16 +177,18 @@ def classes_of(sketches: DataFrame) -> DataFrame:
     return cut_lineage(groups.withColumn("class", F.monotonically_increasing_id()))
 
 
-def band_pairs(classes: DataFrame, like: Likeness) -> DataFrame:
-    """(a, b): every member b of a band bucket with its smallest member a, once each."""
+def band_pairs(classes: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
+    """(a, b): every member b of a band bucket with its smallest member a, once each; and (band, hash, a, class): the members of the buckets of
+    more than two."""
     width = like.rows * 2
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", i * width + 1, width)) for i in range(like.bands)])
     rows = classes.select("class", F.posexplode(bands).alias("band", "hash"))
     ends = rows.groupBy("band", "hash").agg(F.min("class").alias("a"), F.max("class").alias("z"), F.count("*").alias("n")).filter("a < z")
     ends = cut_lineage(ends)
     small = ends.filter("n = 2").select("a", F.col("z").alias("b"))
-    large = rows.join(ends.filter("n > 2"), ["band", "hash"]).filter("class <> a").select("a", F.col("class").alias("b"))
-    return small.unionByName(large).distinct()
+    crowds = cut_lineage(rows.join(ends.filter("n > 2"), ["band", "hash"]).select("band", "hash", "a", "class"))
+    large = crowds.filter("class <> a").select("a", F.col("class").alias("b"))
+    return small.unionByName(large).distinct(), crowds
 
 
 def close_pairs(pairs: DataFrame, classes: DataFrame, like: Likeness, bar: float) -> DataFrame:
@@ -205,6 +208,60 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, like: Likeness, bar: float
     return joined.select("a", "b", "left", "right").mapInPandas(run, "u bigint, v bigint")
 
 
+def strange_pairs(crowds: DataFrame, clusters: DataFrame, classes: DataFrame, like: Likeness, bar: float) -> DataFrame:
+    """(u, v): spanning links of the pairs of a bucket whose classes are of different clusters and whose estimated similarity reaches the bar.
+
+    ``crowds`` has the members of the buckets, ``clusters`` (node, component) of the classes that have one.  The members of a bucket are ranked
+    by cluster, blocks are BLOCK neighbours, and two blocks meet unless both hold one and the same cluster; a task holds two blocks.
+    """
+    bucket = ["band", "hash"]
+    named = crowds.select(*bucket, "class").join(clusters, F.col("class") == F.col("node"), "left")
+    named = cut_lineage(named.select(*bucket, "class", F.coalesce("component", "class").alias("cluster")))
+    mixed_ones = named.groupBy(*bucket).agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).filter("low < high").select(*bucket)
+    rows = common.ranged(named.join(mixed_ones, bucket), [*bucket, "cluster", "class"])
+    rows, _ = common.summed_before(rows.withColumn("one", F.lit(1)), "one", "place")
+    rows = cut_lineage(rows.select(*bucket, "cluster", "class", "place"))
+    first = rows.groupBy(*bucket).agg(F.min("place").alias("first"))
+    rows = rows.join(first, bucket).select(*bucket, "cluster", "class", F.expr(f"(place - first) div {BLOCK}").alias("block"))
+    blocks = cut_lineage(rows.groupBy(*bucket, "block").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")))
+    one = blocks.select(*bucket, F.col("block").alias("i"), F.col("low").alias("i_low"))
+    two = blocks.select(*bucket, F.col("block").alias("j"), F.col("high").alias("j_high"))
+    meets = cut_lineage(one.join(two, bucket).filter("i <= j and i_low < j_high").select(*bucket, "i", "j"))
+    sides = meets.select(*bucket, "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(
+        meets.filter("i < j").select(*bucket, "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
+    task = [*bucket, "i", "j"]
+    dealt = rows.join(sides, [*bucket, "block"]).select(*task, "side", "cluster", "class").join(classes.select("class", "registers"), "class")
+    m = like.registers
+
+    def links(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        table = np.frombuffer(b"".join(rows["registers"]), dtype=np.uint16).reshape(-1, m)
+        cluster, name, side = (rows[c].to_numpy() for c in ("cluster", "class", "side"))
+        left = np.flatnonzero(side == 0)
+        right = left if side.max() == 0 else np.flatnonzero(side == 1)
+        near_a, near_b = [], []
+        for x in left:
+            others = right[cluster[right] > cluster[x]]  # blocks are ranked by cluster
+            others = others[estimated((table[others] == table[x]).sum(axis=1), m) >= bar]
+            near_a.append(np.full(len(others), name[x]))
+            near_b.append(name[others])
+        return _forest(np.concatenate(near_a), np.concatenate(near_b))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for rows in itertools.chain(batches, [None]):
+            last = rows is None
+            rows = held if last else rows if held is None else pd.concat([held, rows], ignore_index=True)
+            if rows is None or not len(rows):
+                continue
+            keys = rows[task].to_numpy()
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), *([len(rows)] if last else [])]
+            out = [link for low, high in itertools.pairwise(cuts) for link in links(rows.iloc[low:high])]
+            held = rows.iloc[cuts[-1]:]  # its task may go on in the next batch
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+    dealt = dealt.repartition(*[F.col(c) for c in task]).sortWithinPartitions(*task)
+    return dealt.select(*task, "side", "cluster", "class", "registers").mapInPandas(run, "u bigint, v bigint").distinct()
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
     """(class, set): the sorted 64-bit shingle hashes of one document of each wanted (class, doc_id, n_shingles, f1, f2).
 
@@ -307,8 +364,11 @@ def grouped(docs: DataFrame, like: Likeness) -> DataFrame:
     ``component_id`` is its smallest doc_id."""
     sketches = cut_lineage(sketched(docs, like))
     classes = classes_of(sketches)
-    close = close_pairs(band_pairs(classes, like), classes, like, CLUSTER_BAR)
-    clusters = cut_lineage(components(close))
+    pairs, crowds = band_pairs(classes, like)
+    clusters = cut_lineage(components(close_pairs(pairs, classes, like, CLUSTER_BAR)))
+    more = cut_lineage(strange_pairs(crowds, clusters, classes, like, CLUSTER_BAR))
+    if not more.isEmpty():
+        clusters = cut_lineage(components(clusters.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)))
     members = cut_lineage(clusters.join(classes.drop("registers"), clusters.node == F.col("class"))
                           .select(F.col("component").alias("cluster"), "class", F.col("n_shingles"), "f1", "f2", "least_id"))
     ranked = common.ranged(members.select("cluster", "class", F.col("n_shingles").alias("n")), ["cluster", "n", "class"])
