@@ -96,6 +96,21 @@ def test_licenses_are_found_and_plain_text_is_not(spark):
     assert licenses.found(nothing, model).count() == 0 and licenses.found(nothing, licenses.trained(nothing)).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    gpl = "# This program is free software: you can redistribute it\n# and/or modify it under the terms of the GNU General\n# Public License as published"
+    bsd = (" * Redistribution and use in source and binary forms, with or\n * without modification, are permitted provided that the following\n"
+           " * conditions are met:")
+    apache = "Unless required by applicable law or agreed to in writing,\nsoftware distributed under the License is distributed\non an AS IS BASIS"
+    rows = [(i, prose(i, 60)) for i in range(40)]
+    rows += [(200, f"{prose(60, 9)}\n\n{gpl}\n#\n{prose(61, 9)}"), (201, bsd), (202, f"\n\n{apache}\n"),
+             (203, "Released under the MIT License.\nLicensed under CC BY-NC 4.0.")]
+    table = docs(spark, rows)
+    model = licenses.trained(table, licenses.Training(paragraphs=30))
+    got = {(r.doc_id, r.paragraph, r.family) for r in licenses.found(table, model).collect()}
+    assert {(d, p, f) for d, p, f in got if f != "unknown"} == {(200, 2, "gpl"), (201, 0, "bsd"), (202, 2, "apache"), (203, 0, "mit"), (203, 1, "cc-by-nc")}
+    assert not any(d < 100 for d, _, _ in got)
+
+
 # ---- chat ----
 
 def test_chat_round_trip_and_shared_turns_once(spark):

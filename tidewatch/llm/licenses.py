@@ -96,10 +96,20 @@ def _listed(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
 
 
 def paragraphs_of(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, paragraph, words): a row per line with a letter or digit; ``row`` tells repeated documents apart."""
-    lines = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"),
-                        F.posexplode(F.split(F.lower(common.whole(F.col("text"))), "\n")).alias("paragraph", "line"))
-    return lines.select("row", "doc_id", "paragraph", tokens(F.col("line")).alias("words")).filter(F.size("words") > 1)
+    """(row, doc_id, paragraph, last, words): a row per line, and one per run of lines up to one without a letter or digit, from line ``paragraph``
+    to line ``last``; ``row`` tells repeated documents apart."""
+    lines = F.split(F.lower(common.whole(F.col("text"))), "\n")
+    single = F.transform(lines, lambda x, i: F.struct(i.alias("paragraph"), i.alias("last"), x.alias("part")))
+    # Every line with its number before it, so that a run knows where it stands; lines without a letter or digit become empty.
+    marked = F.array_join(F.transform(lines, lambda x, i: F.when(x.rlike("[a-z0-9]"), F.concat(i.cast("string"), F.lit("\x01"), x)).otherwise("")), "\n")
+    runs = F.filter(F.transform(F.split(marked, r"\n{2,}"), lambda x: F.btrim(x, F.lit("\n"))), lambda x: F.contains(x, F.lit("\n")))
+
+    def run(x: Column) -> Column:
+        first = F.substring_index(x, "\x01", 1).cast("int")
+        return F.struct(first.alias("paragraph"), (first + F.size(F.split(x, "\n")) - 1).alias("last"),
+                        F.regexp_replace(x, r"(?m)^[0-9]+\x01", "").alias("part"))
+    parts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.explode(F.concat(single, F.transform(runs, run))).alias("p"))
+    return parts.select("row", "doc_id", "p.paragraph", "p.last", tokens(F.col("p.part")).alias("words")).filter(F.size("words") > 1)
 
 
 def training_rows(docs: DataFrame, setting: Training) -> DataFrame:
@@ -193,12 +203,13 @@ def _scores(paragraphs: DataFrame, keys: list[str], classifier: Classifier) -> D
 
 
 def found(docs: DataFrame, classifier: Classifier, setting: Training = Training()) -> DataFrame:
-    """(doc_id, paragraph, family, probability, template_share): every line that reads as a license notice.
+    """(doc_id, paragraph, family, probability, template_share): every line that reads as a license notice, and every run of lines that does where
+    no line of it says so alone; it is reported at its first line, and its lines that hint at the same family are not.
 
     ``docs`` has doc_id and text; further columns are ignored.  Null and empty texts have no paragraph with two words and no row; repeated documents are
     reported as often; paragraphs count from 0; an empty table gives no rows.
     """
-    scored = _scores(paragraphs_of(docs), ["row", "doc_id", "paragraph"], classifier)
+    scored = _scores(paragraphs_of(docs), ["row", "doc_id", "paragraph", "last"], classifier)
     probabilities = scored.withColumn("p", _softmax(F.col("scores"), classifier.temperature))
     names = F.array(*map(F.lit, classifier.families))
     best = probabilities.withColumn("probability", F.array_max("p")).withColumn(
@@ -207,8 +218,20 @@ def found(docs: DataFrame, classifier: Classifier, setting: Training = Training(
     share = F.array_max(F.zip_with("shares", owners, lambda s, f: F.when(f == F.col("guess"), s).otherwise(0.0)))
     sure = (F.col("probability") >= setting.probability) & (F.col("template_share") >= setting.containment)
     best = best.withColumn("template_share", share).filter(F.col("guess") != NONE)
-    return best.select("doc_id", "paragraph", F.when(sure, F.col("guess")).otherwise(OTHER).alias("family"),
-                       F.round("probability", 6).alias("probability"), F.round("template_share", 6).alias("template_share"))
+    best = cut_lineage(best.select("row", "doc_id", "paragraph", "last", "guess", sure.alias("sure"), "probability", "template_share"))
+    lines = best.filter("last = paragraph").drop("last")
+    runs = best.filter("last > paragraph")
+    line = lines.select(F.col("row").alias("__row"), F.col("paragraph").alias("__line"), F.col("guess").alias("__guess"), F.col("sure").alias("__sure"))
+    inside = (F.col("row") == F.col("__row")) & F.col("__line").between(F.col("paragraph"), F.col("last"))
+    told = runs.join(line, inside, "left").groupBy(*runs.columns).agg(
+        F.count("__row").alias("n"), F.coalesce(F.max(F.col("__sure") & (F.col("__guess") == F.col("guess"))), F.lit(False)).alias("told"))
+    runs = told.filter("(sure and not told) or (not sure and n = 0)").drop("n", "told")
+    wrapped = runs.filter("sure").select(F.col("row").alias("__row"), F.col("paragraph").alias("__first"), F.col("last").alias("__last"), F.col("guess").alias("__guess"))
+    part = ((F.col("row") == F.col("__row")) & F.col("paragraph").between(F.col("__first"), F.col("__last")) & (F.col("guess") == F.col("__guess")))
+    lines = lines.join(wrapped, part, "left_anti")
+    return lines.unionByName(runs.drop("last")).select(
+        "doc_id", "paragraph", F.when(F.col("sure"), F.col("guess")).otherwise(OTHER).alias("family"),
+        F.round("probability", 6).alias("probability"), F.round("template_share", 6).alias("template_share"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
