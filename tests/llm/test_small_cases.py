@@ -374,6 +374,25 @@ def test_long_texts_are_searched_in_pieces(monkeypatch):
     assert decontaminate.found_in([words[:0], words], items, latent) == {(1, i): 90 for i in range(4)}
 
 
+def test_short_items_are_found_at_any_place():
+    rng = np.random.default_rng(2)
+    latent = np.vstack([rng.standard_normal((decontaminate.FEATURES, 104)), np.zeros((1, 104))]).astype(np.float32)
+    rows = [(10 * n + k, prose(700 + 10 * n + k, n)) for n in range(1, 8) for k in range(5)] + [(99, prose(732, 3))]
+    items = decontaminate.Items(rows, latent)
+    texts, want = [rng.integers(1, 2**32, 400).astype(np.uint32) for _ in range(3 * len(rows))], {}
+    for i, words in enumerate(items.words):
+        at = (0, 400 - len(words), 37 + i)[i % 3]
+        texts[i][at: at + len(words)] = words
+        if len(words) > 1:  # in another order, and over the end of a text
+            texts[len(rows) + i][50: 50 + len(words)] = words[::-1]
+            texts[2 * len(rows) + i // 2 * 2][-1], texts[2 * len(rows) + i // 2 * 2 + 1][:len(words) - 1] = words[0], words[1:]
+    for t, text in enumerate(texts):
+        for i, words in enumerate(items.words):
+            if (np.lib.stride_tricks.sliding_window_view(text, len(words)) == words).all(axis=1).any():
+                want[t, i] = len(words)
+    assert len(want) >= len(rows) and decontaminate.found_in(texts, items, latent) == want
+
+
 # ---- urls ----
 
 def test_urls(spark):

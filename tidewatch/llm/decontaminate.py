@@ -7,6 +7,7 @@
 4. Benchmark items, a block of them at a time, are projected to the latent space and compared by cosine with windows of all texts, whose vectors are differences
    of running sums.  The window is the smallest of SCALES that holds the item; a word counts once in each STRIDE words, so that
    repeated words beside a leak do not drown it.
+   Items of fewer than SHORT words are too small a part of a window: they are found by the hashes of their words, at every place of the texts.
 5. Near windows are checked word by word: bag overlap, then the longest common subsequence with the item, and for paraphrases also
    whether the item's last sentence, taken for its answer, is there.
 """
@@ -202,14 +203,24 @@ def strides(words: np.ndarray, words_to_latent: np.ndarray) -> np.ndarray:
     return out
 
 
+def _runs(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every n words that follow each other."""
+    out = np.zeros(max(len(words) - n + 1, 0), dtype=np.uint64)
+    for i in range(n):
+        out = (out ^ words[i: i + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class Items:
-    """A block of benchmark items, ready to be searched for: words, answers, and unit latent vectors by scale."""
+    """A block of benchmark items, ready to be searched for: words, answers, and unit latent vectors by scale, or hashes of the short ones."""
 
     def __init__(self, rows: list[tuple[int, str | None]], words_to_latent: np.ndarray):
         cache = _Words()
         self.ids, self.words, self.answers, self.kinds = [], [], [], []
         self.counts: list[dict[int, int]] = []
         by_scale: dict[int, list] = {s: [] for s in SCALES}
+        short: dict[int, dict[int, list[int]]] = {}
         for item_id, text in rows:
             w = word_ids(text, cache)
             if not len(w):
@@ -220,12 +231,17 @@ class Items:
             self.answers.append(self._answer(text, w, cache))
             self.kinds.append(np.unique(w, return_counts=True))
             self.counts.append(dict(zip(*(x.tolist() for x in self.kinds[-1]))))
+            if len(w) < SHORT:
+                short.setdefault(len(w), {}).setdefault(int(_runs(w, len(w))[0]), []).append(i)
+                continue
             for offset in range(0, len(w), SCALES[-1]):
                 piece = w[offset: offset + SCALES[-1]]
                 if offset and len(piece) < SCALES[0] // 2:
                     break
                 scale = next(s for s in SCALES if len(piece) <= s)
                 by_scale[scale].append((i, offset, strides(piece, words_to_latent).sum(axis=0)))
+        #: Items of fewer than SHORT words: their number of words, the sorted hashes of these, and the items by hash.
+        self.short = [(n, np.array(sorted(by_hash), dtype=np.uint64), by_hash) for n, by_hash in sorted(short.items())]
         self.queries = {}
         for scale, found in by_scale.items():
             if found:
@@ -275,6 +291,26 @@ def judge(item: np.ndarray, answer: np.ndarray, span: np.ndarray, kinds=None) ->
     return same, same >= PARAPHRASE * n and _bag(np.unique(answer, return_counts=True), span) >= ANSWER * len(answer)
 
 
+def verbatim(texts: list[np.ndarray], items: Items) -> dict[tuple[int, int], int]:
+    """The short items that stand in the texts word by word, as ``found_in`` gives them; no vector is asked."""
+    out: dict[tuple[int, int], int] = {}
+    if not items.short:
+        return out
+    words = np.concatenate(texts)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    for n, hashes, by_hash in items.short:
+        runs = _runs(words, n)
+        near = np.minimum(np.searchsorted(hashes, runs), len(hashes) - 1)
+        at = np.flatnonzero(hashes[near] == runs)
+        at = at[owner[at] == owner[at + n - 1]]
+        for p in at.tolist():
+            for i in by_hash[int(runs[p])]:
+                key = (int(owner[p]), i)
+                if key not in out and (words[p: p + n] == items.words[i]).all():
+                    out[key] = n
+    return out
+
+
 def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray) -> dict[tuple[int, int], int]:
     """(place in ``texts``, place in ``items``) of the leaks, with the length of the common subsequence."""
     owners, froms, vectors = [], [], []
@@ -295,7 +331,7 @@ def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray)
     piece = np.repeat(np.arange(len(sizes)), sizes)
     stop = np.repeat(first + sizes, sizes)
     every = np.arange(len(piece))
-    best: dict[tuple[int, int], int] = {}
+    best = verbatim(texts, items)
     listed: dict[int, list[int]] = {}
     for scale, (owner, offset, queries) in items.queries.items():
         step = scale // STRIDE
