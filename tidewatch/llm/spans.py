@@ -198,14 +198,14 @@ def _met(rows: DataFrame) -> DataFrame:
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, key, text, words): id and key name a row by its doc_id and text; equal rows have the same name."""
+    """(doc_id, id, key, text): id and key name a row by its doc_id and text; equal rows have the same name."""
     rows = docs.select(F.col("doc_id"), common.whole(F.col("text")).alias("text"))
     return rows.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("id"),
-                       F.xxhash64("doc_id", "text").alias("key"), "text", common.words(F.col("text")).alias("words"))
+                       F.xxhash64("doc_id", "text").alias("key"), "text")
 
 
-def _hashed(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def _hashed(text: Column) -> Column:
+    return F.transform(common.words(text), lambda w: F.xxhash64(w))
 
 
 def block_marks(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
@@ -218,12 +218,12 @@ def block_marks(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
                 if len(first):
                     text = owner[first]
                     yield from _meeting_rows(h, b, ids[low + text], keys[low + text], first - start[text], end - start[text] + how.window - 1)
-    texts = _named(docs).filter(F.size("words") >= how.window).select("id", "key", _hashed(F.col("words")).alias("words"))
+    texts = _named(docs).select("id", "key", _hashed(F.col("text")).alias("words"))
     return _met(texts.mapInArrow(run, _ROWS))
 
 
 def window_marks(texts: DataFrame, how: Repeats = Repeats()) -> DataFrame:
-    """(id, key, at, to) of the repeated windows of the blocks at branches; ``texts`` has id, key, words and the packed pieces ``branches`` and
+    """(id, key, at, to) of the repeated windows of the blocks at branches; ``texts`` has id, key, text and the packed pieces ``branches`` and
     ``witnesses``, whose windows only bear witness."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +242,7 @@ def window_marks(texts: DataFrame, how: Repeats = Repeats()) -> DataFrame:
                 h, b = (_Rolling(words, base)(place, place + how.window) for base in _BASES)
                 if len(h):
                     yield from _meeting_rows(h, b, pa.array(ids[low + text], mask=shown), keys[low + text], began, began + how.window)
-    rows = texts.select("id", "key", _hashed(F.col("words")).alias("words"), F.concat("branches", "witnesses").alias("pieces"), F.size("branches").alias("n"))
+    rows = texts.select("id", "key", _hashed(F.col("text")).alias("words"), F.concat("branches", "witnesses").alias("pieces"), F.size("branches").alias("n"))
     return _met(rows.mapInArrow(run, _ROWS)).filter(F.col("kind") != BRANCH).drop("kind")
 
 
@@ -295,17 +295,17 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats(), result: Callable[
     marks = block_marks(docs, how).groupBy("id", "key").agg(
         F.collect_set(F.when(F.col("kind") != BRANCH, piece)).alias("known"), F.collect_set(F.when(F.col("kind") != REPEATED, piece)).alias("looked"))
     found = _named(docs).join(marks, ["id", "key"], "left").withColumns(
-        {"known": F.coalesce("known", none), "looked": F.coalesce("looked", none)})
+        {"known": F.coalesce("known", none), "looked": F.coalesce("looked", none), "words": common.words(F.col("text"))})
     carried = {"text": F.col("text"), "known": F.col("known"), "branches": F.array_except("looked", "known"),
                "witnesses": F.array_intersect("looked", "known")}
     first = cut_lineage(found.withColumn("spans", _spans(F.col("known"))).withColumn("done", F.size("looked") == 0).select(
         "doc_id", "id", "key", "done", F.size("words").cast("bigint").alias("n_words"), F.when(F.col("done"), F.col("spans")).alias("spans"),
         F.when(F.col("done"), result(_kept(F.col("words"), F.col("spans")))).alias(name),
         *[F.when(~F.col("done"), c).alias("raw_" + n) for n, c in carried.items()]))
-    rest = first.filter("not done").select("doc_id", "id", "key", "n_words", common.words(F.col("raw_text")).alias("words"),
-                                           *[F.col("raw_" + n).alias(n) for n in carried if n != "text"])
+    rest = first.filter("not done").select("doc_id", "id", "key", "n_words", *[F.col("raw_" + n).alias(n) for n in carried])
     more = window_marks(rest, how).groupBy("id", "key").agg(F.collect_set(piece).alias("more"))
-    rest = rest.join(more, ["id", "key"], "left").withColumn("spans", _spans(F.array_union("known", F.coalesce("more", none))))
+    rest = rest.join(more, ["id", "key"], "left").withColumns(
+        {"spans": _spans(F.array_union("known", F.coalesce("more", none))), "words": common.words(F.col("text"))})
     out = ["doc_id", "n_words", "spans"]
     rows = first.filter("done").select(*out, name).unionByName(rest.select(*out, result(_kept(F.col("words"), F.col("spans"))).alias(name)))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["to"] - s["at"])
