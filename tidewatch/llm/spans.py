@@ -45,7 +45,7 @@ class Repeats:
     """Words of a window, and of the k-mers that are its anchors."""
 
     window: int = 35
-    anchor: int = 16
+    anchor: int = 12
 
     def __post_init__(self):
         if not 1 <= self.anchor <= self.window:
@@ -103,8 +103,9 @@ def _blocks(words: np.ndarray, owner: np.ndarray, how: Repeats):
     return first, end, mers[anchor[first]], rolling(first, end + how.window - 1)
 
 
-_ROWS = "route bigint, h bigint, b bigint, times int, hot boolean, id bigint, key bigint, at int, to int"
-_MARKS = "id bigint, key bigint, at int, to int, kind int"
+# A piece of a text, from word ``at`` to before word ``to``, is the long at << 32 | to.
+_ROWS = "route bigint, h bigint, b bigint, times int, hot boolean, id bigint, key bigint, piece bigint"
+_MARKS = "id bigint, key bigint, piece bigint, kind int"
 #: What became of a block: all its windows are repeated; it is at a branch; both, as the witness of a repeated path.
 REPEATED, BRANCH, WITNESS = 0, 1, 2
 
@@ -145,17 +146,17 @@ def _meeting_rows(h, b, ids, keys, at, to) -> list[pa.RecordBatch]:
     crowded = np.zeros(len(h), dtype=bool)
     crowded[first] = kinds[name] >= HOT
     route = np.where(stands, np.where(crowded, whole, h), own)
-    rows = _batch([route, np.where(stands, h, own), np.where(stands, b, np.uint64(0)), count, crowded, ids, keys, at, to], _ROWS)
+    rows = _batch([route, np.where(stands, h, own), np.where(stands, b, np.uint64(0)), count, crowded, ids, keys, (at << 32) | to], _ROWS)
     full = names[kinds >= HOT]
     if not len(full):
         return [rows]
     # The rest of the anchor's blocks, wherever they are, must hear of those that were dealt out.
     none, zero = pa.nulls(len(full), pa.int64()), np.zeros(len(full), dtype=np.int64)
-    return [rows, _batch([full, full, _mixed(full), zero + 1, zero.astype(bool), none, none, zero, zero], _ROWS)]
+    return [rows, _batch([full, full, _mixed(full), zero + 1, zero.astype(bool), none, none, zero], _ROWS)]
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """(id, key, at, to, kind) of the rows that are not alone: REPEATED with equal h and b, BRANCH with other b only, WITNESS for the first of equal
+    """(id, key, piece, kind) of the rows that are not alone: REPEATED with equal h and b, BRANCH with other b only, WITNESS for the first of equal
     ones that also have neighbours with other b.  Streams over the sorted rows; only rows with equal h and b are held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, None  # the last group, which may go on; the h of the last group that was handed on
@@ -191,7 +192,7 @@ def _met(rows: DataFrame) -> DataFrame:
             kind = np.where(repeated, REPEATED, np.where(several[group], BRANCH, -1))
             kind[first[(total >= 2) & several]] = WITNESS
             keep = (kind >= 0) & table.column("id").is_valid().to_numpy()
-            some = table.select(["id", "key", "at", "to"]).filter(pa.array(keep)).combine_chunks()
+            some = table.select(["id", "key", "piece"]).filter(pa.array(keep)).combine_chunks()
             for out in some.append_column("kind", pa.array(kind[keep].astype(np.int32))).to_batches():
                 yield out
     return rows.repartition("route").sortWithinPartitions("h", "b").mapInArrow(run, _MARKS)
@@ -209,7 +210,7 @@ def _hashed(text: Column) -> Column:
 
 
 def block_marks(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
-    """(id, key, at, to, kind) of the blocks of all texts that share their anchor: words ``at`` to before ``to`` and REPEATED, BRANCH or WITNESS."""
+    """(id, key, piece, kind) of the blocks of all texts that share their anchor: the piece of the text, and REPEATED, BRANCH or WITNESS."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(i).to_numpy() for i in range(2))
@@ -223,7 +224,7 @@ def block_marks(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
 
 
 def window_marks(texts: DataFrame, how: Repeats = Repeats()) -> DataFrame:
-    """(id, key, at, to) of the repeated windows of the blocks at branches; ``texts`` has id, key, text and the packed pieces ``branches`` and
+    """(id, key, piece) of the repeated windows of the blocks at branches; ``texts`` has id, key, text and the pieces ``branches`` and
     ``witnesses``, whose windows only bear witness."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,11 +247,6 @@ def window_marks(texts: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     return _met(rows.mapInArrow(run, _ROWS)).filter(F.col("kind") != BRANCH).drop("kind")
 
 
-def _piece(at: Column, to: Column) -> Column:
-    """(at, to) in one long that sorts like it."""
-    return F.shiftleft(at.cast("bigint"), 32).bitwiseOR(to.cast("bigint"))
-
-
 def _at(piece: Column) -> Column:
     return F.shiftright(piece, 32).cast("int")
 
@@ -291,9 +287,9 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats(), result: Callable[
     each other.  An empty table gives no rows.  Words are compared by 64-bit hashes, blocks by the hashes of anchor and words, windows
     by 128 bits.  A single text has to fit in a task.
     """
-    piece, none = _piece(F.col("at"), F.col("to")), F.array().cast("array<bigint>")
+    none = F.array().cast("array<bigint>")
     marks = block_marks(docs, how).groupBy("id", "key").agg(
-        F.collect_set(F.when(F.col("kind") != BRANCH, piece)).alias("known"), F.collect_set(F.when(F.col("kind") != REPEATED, piece)).alias("looked"))
+        F.collect_set(F.when(F.col("kind") != BRANCH, F.col("piece"))).alias("known"), F.collect_set(F.when(F.col("kind") != REPEATED, F.col("piece"))).alias("looked"))
     found = _named(docs).join(marks, ["id", "key"], "left").withColumns(
         {"known": F.coalesce("known", none), "looked": F.coalesce("looked", none), "words": common.words(F.col("text"))})
     carried = {"text": F.col("text"), "known": F.col("known"), "branches": F.array_except("looked", "known"),
@@ -303,7 +299,7 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats(), result: Callable[
         F.when(F.col("done"), result(_kept(F.col("words"), F.col("spans")))).alias(name),
         *[F.when(~F.col("done"), c).alias("raw_" + n) for n, c in carried.items()]))
     rest = first.filter("not done").select("doc_id", "id", "key", "n_words", *[F.col("raw_" + n).alias(n) for n in carried])
-    more = window_marks(rest, how).groupBy("id", "key").agg(F.collect_set(piece).alias("more"))
+    more = window_marks(rest, how).groupBy("id", "key").agg(F.collect_set("piece").alias("more"))
     rest = rest.join(more, ["id", "key"], "left").withColumns(
         {"spans": _spans(F.array_union("known", F.coalesce("more", none))), "words": common.words(F.col("text"))})
     out = ["doc_id", "n_words", "spans"]
