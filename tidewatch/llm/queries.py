@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import chat, decontaminate, licenses, minhash, mixing, rules, secrets, sharding, spans, tokens, turntrie, urls
+from tidewatch.llm import chat, decontaminate, licenses, minhash, mixing, rules, secrets, sharding, spans, tokens, turntrie, urls, vectorcodes
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_tokens": tokens.query,
     "op9_decontaminate": decontaminate.query,
     "op10_urls": urls.query,
+    "op11_codes": vectorcodes.query,
     "op12_trie": turntrie.query,
     "op13_spans": spans.query,
 }
@@ -25,6 +26,7 @@ SQL = {
     "op4_secrets": secrets.SQL,
     "op5_rules": rules.SQL,
     "op10_urls": urls.SQL,
+    "op11_codes": vectorcodes.SQL,
     "op12_trie": turntrie.SQL,
     "op13_spans": spans.SQL,
 }
