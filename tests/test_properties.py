@@ -63,3 +63,8 @@ def test_bm25_against_brute_force(spark, docs, terms):
         if any(t in bag for t in terms):
             want[i] = round(score, 6)
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 2e-6 for i in want)
+
+
+def test_a_query_of_stop_words_finds_nothing(spark):
+    df = spark.createDataFrame([(1, "the bill"), (2, "")], "id int, t string")
+    assert S.bm25_topk(df, "id", "t", "the").collect() == S.note_search(df, "id", "t", "the", ["t"]).collect() == []

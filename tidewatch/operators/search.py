@@ -29,6 +29,8 @@ def bm25_scores(docs: DataFrame, text_col: str, query: str, carry: list[str], *,
     documents that it lacks are not part of the corpus.
     """
     terms = X.wanted_words(query)
+    if not terms:  # nothing to score; an aggregate over a filter that is always false would never be observed
+        return docs.select(*carry, F.lit(0.0).alias("score")).limit(0)
     wanted = F.lit(True) if keep is None else keep
     # Binding the words to a lambda variable has them computed once per document.
     facts = F.transform(F.array(X.search_words(F.col(text_col))), lambda w: F.struct(
@@ -62,10 +64,7 @@ def bm25_topk(docs: DataFrame, id_col: str, text_col: str, query: str, k: int =
 def note_search(notes: DataFrame, id_col: str, text_col: str, query: str, carry: list[str] | None = None, k: int = 5,
                 keep: Column | None = None) -> DataFrame:
     """Rows that satisfy a web-style query, best BM25 score first."""
-    cols = [id_col, *(carry or [])]
-    if not X.wanted_words(query):
-        return notes.limit(0).select(*cols, F.lit(0.0).alias("score"))
-    hits = bm25_scores(notes, text_col, query, cols, keep=keep)
+    hits = bm25_scores(notes, text_col, query, [id_col, *(carry or [])], keep=keep)
     return hits.orderBy(F.desc("score"), id_col).limit(k)
 
 
@@ -75,13 +74,10 @@ def quoted_note_search(actions: DataFrame, notes: DataFrame, id_col: str, query:
 
     A note is read once however many actions quote it; only its score meets the actions.
     """
-    cols = [id_col, *carry]
-    if not X.wanted_words(query):
-        return actions.limit(0).select(*cols, F.lit(0.0).alias("score"))
     quoted = actions.groupBy("note_doc").agg(F.count(F.lit(1)).alias("times"))
     scores = bm25_scores(notes, "notes", query, ["note_doc"], times=quoted)
     found = actions if keep is None else actions.filter(keep)
-    return found.join(scores, "note_doc").select(*cols, "score").orderBy(F.desc("score"), id_col).limit(k)
+    return found.join(scores, "note_doc").select(id_col, *carry, "score").orderBy(F.desc("score"), id_col).limit(k)
 
 
 def history_search(tickets: DataFrame, events: DataFrame, billing: DataFrame, who: DataFrame,
