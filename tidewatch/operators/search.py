@@ -80,6 +80,20 @@ def quoted_note_search(actions: DataFrame, notes: DataFrame, id_col: str, query:
     return found.join(scores, "note_doc").select(id_col, *carry, "score").orderBy(F.desc("score"), id_col).limit(k)
 
 
+def history_documents(tickets: DataFrame, events: DataFrame, billing: DataFrame) -> DataFrame:
+    """(source, doc_id, scope, at, doc): tickets, bill disputes and node events as texts."""
+    return (
+        tickets.select(F.lit("ticket").alias("source"), F.col("ticket_id").alias("doc_id"),
+                       F.col("subscriber_id").alias("scope"), F.col("opened_date").alias("at"),
+                       F.concat_ws(" ", "ticket_type", "note_text").alias("doc"))
+        .unionByName(billing.filter("dispute_reason IS NOT NULL").select(
+            F.lit("bill").alias("source"), F.col("bill_id").alias("doc_id"), F.col("subscriber_id").alias("scope"),
+            F.col("bill_month").alias("at"), F.concat(F.lit("dispute "), F.col("dispute_reason")).alias("doc")))
+        .unionByName(events.select(
+            F.lit("event").alias("source"), F.col("event_id").alias("doc_id"), F.col("node_id").alias("scope"),
+            F.col("event_date").alias("at"), F.concat(F.lit("network "), F.col("event_type")).alias("doc"))))
+
+
 def history_search(tickets: DataFrame, events: DataFrame, billing: DataFrame, who: DataFrame,
                    query: str, k: int, subscriber_id: str | None = None) -> DataFrame:
     """Best hits in each subscriber's service history: tickets, bill disputes, node events.
@@ -95,16 +109,7 @@ def history_search(tickets: DataFrame, events: DataFrame, billing: DataFrame, wh
         who = who.filter(F.col("subscriber_id") == subscriber_id)
         own, nodes = F.col("subscriber_id") == subscriber_id, who.select(F.col("service_node_id").alias("node_id"))
         tickets, billing, events = tickets.filter(own), billing.filter(own), events.join(nodes, "node_id", "left_semi")
-    docs = (
-        tickets.select(F.lit("ticket").alias("source"), F.col("ticket_id").alias("doc_id"),
-                       F.col("subscriber_id").alias("scope"), F.col("opened_date").alias("at"),
-                       F.concat_ws(" ", "ticket_type", "note_text").alias("doc"))
-        .unionByName(billing.filter("dispute_reason IS NOT NULL").select(
-            F.lit("bill").alias("source"), F.col("bill_id").alias("doc_id"), F.col("subscriber_id").alias("scope"),
-            F.col("bill_month").alias("at"), F.concat(F.lit("dispute "), F.col("dispute_reason")).alias("doc")))
-        .unionByName(events.select(
-            F.lit("event").alias("source"), F.col("event_id").alias("doc_id"), F.col("node_id").alias("scope"),
-            F.col("event_date").alias("at"), F.concat(F.lit("network "), F.col("event_type")).alias("doc"))))
+    docs = history_documents(tickets, events, billing)
     hits = bm25_scores(docs, "doc", query, ["source", "doc_id", "scope", "at"])
     order = [F.desc("score"), F.desc("at"), F.asc("doc_id")]
     best = top_per_key(hits, ["scope"], order, k).drop("rank")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from decimal import Decimal
 
@@ -15,7 +16,9 @@ from tidewatch.operators import gold
 from tidewatch.operators import history as H
 from tidewatch.operators import returns as R
 from tidewatch.operators import search as S
+from tidewatch.operators.text_index import TextIndex
 from tidewatch.plans.registry import query
+from tidewatch.session import shared_dir
 from tidewatch.sources import mirror
 
 # ---- actions ----
@@ -417,6 +420,25 @@ def _(lake):
     return S.bm25_topk(lake["documents"].select("doc_id", "text"), "doc_id", "text", "thanea or attion or eriner or thanedble")
 
 
+def _index(lake, docs, id_col, text_col, **how):
+    """An index of the documents, which come in three batches; in a service the index stays and only batches come."""
+    index = TextIndex(lake.spark, f"{shared_dir(lake.spark)}/index-{uuid.uuid4().hex}", **how)
+    for part in range(3):
+        index.add(docs.filter(F.pmod(F.xxhash64(id_col), F.lit(3)) == part), id_col, text_col, batch=str(part))
+    return index
+
+
+@query("indexed_topk", _bm25_sql("documents", "doc_id", "text", ["thanea", "attion", "eriner", "thanedble"]) + " LIMIT 5")
+def _(lake):
+    found = _index(lake, lake["documents"].select("doc_id", "text"), "doc_id", "text", fanout=2).topk("thanea or attion or eriner or thanedble", 5)
+    return found.rows.withColumnRenamed("id", "doc_id")
+
+
+@query("indexed_search", _bm25_sql("documents", "doc_id", "text", _NOTE_TERMS, _NOTE_WHERE) + " LIMIT 20")
+def _(lake):
+    return _index(lake, lake["documents"].select("doc_id", "text"), "doc_id", "text").topk(_NOTE_QUERY, 20, boolean=True).rows.withColumnRenamed("id", "doc_id")
+
+
 @query("similar_cases", _bm25_sql("retention_actions", "action_id", "notes", _NOTE_TERMS, f"outcome = 'retained' AND ({_NOTE_WHERE})", ", subscriber_id, offer_type") + " LIMIT 5")
 def _(lake):
     return S.quoted_note_search(lake["action_log"], _notes(lake), "action_id", _NOTE_QUERY, ["subscriber_id", "offer_type"],
@@ -429,6 +451,21 @@ _DOCS = """(SELECT 'ticket' AS source, ticket_id AS doc_id, subscriber_id AS sco
 _HITS = _bm25_sql(_DOCS, "doc_id", "doc", ["outage", "dispute", "leave"], "contains(normal, ' outage ') OR contains(normal, ' dispute ') OR contains(normal, ' leave ')", ", source, scope, happened_on")
 
 
+# The words of the texts that share a stem with the query below.
+_STEMS = {"disput": ("dispute", "disputes"), "outag": ("outage",), "resolv": ("resolved",), "routin": ("routine",)}
+_STEMMED = "lower(doc)"
+for _stem, _forms in _STEMS.items():
+    _STEMMED = f"regexp_replace({_STEMMED}, '\\b({'|'.join(_forms)})\\b', '{_stem}', 'g')"
+
+
+@query("note_search_stemmed", _bm25_sql(f"(SELECT doc_id, {_STEMMED} AS stemmed FROM {_DOCS})", "doc_id", "stemmed", ["disput", "network", "outag", "resolv"],
+       "contains(normal, ' disput ') OR contains(normal, ' network outag ') OR (contains(normal, ' resolv ') AND NOT contains(normal, ' routin '))") + " LIMIT 20")
+def _(lake):
+    docs = S.history_documents(lake["tickets"], lake["network_events"], lake["billing"])
+    index = _index(lake, docs, "doc_id", "doc", stemmed=True, range_docs=1024)
+    return index.topk('disputing or "network outages" or resolving -routinely', 20, boolean=True).rows.withColumnRenamed("id", "doc_id")
+
+
 @query("history_search", f"""SELECT subscriber_id, source, doc_id, happened_on, score, CAST(rn AS INT) AS rank FROM (SELECT b.subscriber_id, h.source, h.doc_id, h.happened_on, h.score,
   ROW_NUMBER() OVER (PARTITION BY b.subscriber_id ORDER BY h.score DESC, h.happened_on DESC, h.doc_id) AS rn FROM position_v b JOIN ({_HITS}) h ON h.scope = b.subscriber_id OR h.scope = b.service_node_id) WHERE rn <= 5""")
 def _(lake):
