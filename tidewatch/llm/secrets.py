@@ -1,7 +1,8 @@
 """Secret scans: three patterns, and the entropy of sliding windows over candidate strings.
 
-Spark's regular expressions return matches without places, so the places come from the gaps between matches.  All of it stays inside
-the row.  Lists of findings grow by appending, which is fine for the few that a text holds.
+Spark's regular expressions return matches without places, so the places come from the lengths of the gaps and matches before, summed up block
+by block.  All of it stays inside the row.  What the allow-list knows is blanked out before candidates are looked for, so it takes only
+itself away and never the secret beside it.
 """
 
 from __future__ import annotations
@@ -25,9 +26,15 @@ WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Bits per character that a window needs, by character class: hexadecimal digits, and all token characters.
 MIN_BITS = {"hex": 3.0, "token": 3.9}
-#: Candidates that are no secrets: identifiers, counting sequences, placeholders.
-ALLOWED = (r"(?i:example|sample|dummy|placeholder|xxxx|abcdefgh|01234567|12345678)|"
-           r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
+#: No part of a secret: placeholders and counting sequences.
+ALLOWED = "(?i:example|sample|dummy|placeholder|xxxx|abcdefgh|01234567|12345678)"
+#: No secret as a whole: identifiers.
+IDENTIFIER = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+#: The characters of candidates; their counts are kept in fields of a few bits, several to a number.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+FIELD, FIELDS = 5, 12
+#: Matches whose places are summed up at once.
+BLOCK = 256
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 #: n * log2(n) in millionths, so that sums are exact.
@@ -38,17 +45,35 @@ MOST = {name: math.floor((math.log2(WINDOW) - bits) * WINDOW * 1e6) for name, bi
 
 def _matches(text: Column, pattern: str, use) -> Column:
     """``use(match, start)`` of every match in text order, an array of spans each; empty if the pattern is nowhere."""
-    def walk(found: Column) -> Column:
-        gaps, hits = found["gaps"], found["hits"]
-
-        def step(acc: Column, i: Column) -> Column:
-            hit = F.element_at(hits, i)
-            start = acc["at"] + F.length(F.element_at(gaps, i))
-            return F.struct((start + F.length(hit)).alias("at"), F.concat(acc["out"], use(hit, start)).alias("out"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(hits)), start, step)["out"]
+    def lengths(found: Column) -> Column:
+        sizes = F.zip_with(F.slice(found["gaps"], F.lit(1), F.size(found["hits"])), found["hits"],
+                           lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("hit")))
+        return common.bind(sizes, lambda s: F.flatten(F.zip_with(found["hits"], _starts(s), use)))
     parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
-    return F.when(text.rlike(pattern), common.bind(parts, walk)).otherwise(F.array().cast(_SPANS))
+    return F.when(text.rlike(pattern), common.bind(parts, lengths)).otherwise(F.array().cast(_SPANS))
+
+
+def _starts(sizes: Column) -> Column:
+    """Places of matches from (gap, hit) lengths: first of every block, then inside the blocks, so that no long list grows by appending."""
+    blocks = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / BLOCK).cast("int"))
+
+    def block(b: Column) -> Column:
+        return F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))
+
+    def inside(begin: Column, b: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block(b), start, lambda acc, x: F.struct(
+            (acc["at"] + x["gap"] + x["hit"]).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x["gap"])).alias("out")))["out"]
+    totals = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), lambda n, x: n + x["gap"] + x["hit"]))
+    begins = F.aggregate(totals, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    return common.bind(begins, lambda at: F.flatten(F.transform(blocks, lambda b: inside(F.element_at(at, b + 1), b))))
+
+
+def blanked(text: Column) -> Column:
+    """The text with blanks in place of what the allow-list knows."""
+    parts = F.zip_with(F.split(text, ALLOWED, -1), F.regexp_extract_all(text, F.lit(ALLOWED), F.lit(0)),
+                       lambda gap, hit: F.concat(gap, F.repeat(F.lit(" "), F.coalesce(F.length(hit), F.lit(0)))))
+    return F.when(text.rlike(ALLOWED), F.array_join(parts, "")).otherwise(text)
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -69,38 +94,49 @@ def _assignment(hit: Column, start: Column) -> Column:
 
 
 def _entropic(hit: Column, start: Column) -> Column:
-    """From the first to the last window whose entropy reaches the bound of its class; counts change by the character that enters and the
-    one that leaves."""
-    table = F.array(*[F.lit(v).cast("bigint") for v in N_LOG_N])
+    """From the first to the last window whose entropy reaches the bound of its class.  A table of counts and the sum of n * log2(n) over it change
+    by the character that enters and the one that leaves."""
+    terms = F.array(*[F.lit(v).cast("bigint") for v in N_LOG_N])
+    units = F.array(*[F.lit(1 << FIELD * i).cast("bigint") for i in range(FIELDS)])
     most = F.when(hit.rlike(r"^[0-9a-fA-F]+$"), F.lit(MOST["hex"])).otherwise(F.lit(MOST["token"])).cast("bigint")
 
     def term(n: Column) -> Column:
-        return F.element_at(table, n + 1)
+        return F.element_at(terms, n + 1)
 
-    def count(chars: Column, c: Column) -> Column:
-        return F.size(F.filter(chars, lambda x: x == c))
+    def number(code: Column) -> Column:
+        return F.floor(code / FIELDS).cast("int")
 
-    def windows(v: Column) -> Column:
-        chars, bound = v["chars"], v["most"]
-        head = F.slice(chars, F.lit(1), F.lit(WINDOW))
-        total = F.aggregate(F.array_distinct(head), F.lit(0).cast("bigint"), lambda acc, c: acc + term(count(head, c)))
+    def unit(code: Column) -> Column:
+        return F.element_at(units, code % FIELDS + 1)
 
-        def mark(total: Column, i: Column, first: Column, last: Column) -> Column:
-            hit = total <= bound
-            return F.struct(total.alias("total"), F.when(hit & (first < 0), i).otherwise(first).alias("first"),
-                            F.when(hit, i).otherwise(last).alias("last"))
+    def count(table: Column, code: Column) -> Column:
+        held = F.element_at(table, number(code) + 1)
+        return F.call_function("div", held, unit(code)).bitwiseAND(F.lit((1 << FIELD) - 1)).cast("int")
+
+    def windows(v: Column) -> Column:
+        codes = v["codes"]
 
         def step(acc: Column, i: Column) -> Column:
-            both = F.slice(chars, i + 1, F.lit(WINDOW - 1))
-            old, new = F.element_at(chars, i), F.element_at(chars, i + WINDOW)
-            gone, come = count(both, old), count(both, new)
-            total = acc["total"] - term(gone + 1) + term(gone) + term(come + 1) - term(come)
-            return mark(total, i, acc["first"], acc["last"])
-        begin = mark(total, F.lit(0), F.lit(-1), F.lit(-1))
-        steps = F.when(F.size(chars) > WINDOW, F.sequence(F.lit(1), F.size(chars) - WINDOW)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, begin, step)
-    ends = common.bind(F.struct(F.split(hit, "").alias("chars"), most.alias("most")), windows)
-    plausible = hit.rlike("[0-9]") & hit.rlike("[A-Za-z]") & ~hit.rlike(ALLOWED)
+            come, gone = F.element_at(codes, i), F.when(i > WINDOW, F.element_at(codes, F.greatest(i - WINDOW, F.lit(1)))).otherwise(-1)
+            return F.element_at(F.transform(F.array(F.struct(come.alias("come"), gone.alias("gone"))), lambda c: changed(acc, i, c["come"], c["gone"])), 1)
+
+        def changed(acc: Column, i: Column, come: Column, gone: Column) -> Column:
+            n, m = count(acc["table"], come), count(acc["table"], gone)
+            entered, left = term(n + 1) - term(n), F.when(gone < 0, F.lit(0).cast("bigint")).otherwise(term(m - 1) - term(m))
+            same = come == gone
+            total = acc["total"] + F.when(same, F.lit(0).cast("bigint")).otherwise(entered + left)
+            table = F.when(same, acc["table"]).otherwise(F.transform(acc["table"], lambda x, j: x + F.when(j == number(come), unit(come)).otherwise(0)
+                                                                     - F.when(j == number(gone), unit(gone)).otherwise(0)))
+            return common.bind(total, lambda t: F.struct(
+                t.alias("total"), F.when((i >= WINDOW) & (t <= v["most"]) & (acc["first"] < 0), i - WINDOW).otherwise(acc["first"]).alias("first"),
+                F.when((i >= WINDOW) & (t <= v["most"]), i - WINDOW).otherwise(acc["last"]).alias("last"), table.alias("table")))
+        zero = F.lit(0).cast("bigint")
+        empty = F.array_repeat(zero, -(-len(ALPHABET) // FIELDS))
+        begin = F.struct(zero.alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), empty.alias("table"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), begin, step)
+    codes = F.transform(F.split(hit, ""), lambda c: F.position(c, F.lit(ALPHABET)) - 1)
+    ends = common.bind(F.struct(codes.alias("codes"), most.alias("most")), windows)
+    plausible = hit.rlike("[0-9]") & hit.rlike("[A-Za-z]") & ~hit.rlike(IDENTIFIER)
     found = common.bind(ends, lambda e: _if(e["first"] >= 0, _span("entropy", start + e["first"], start + e["last"] + WINDOW)))
     return F.when(plausible, found).otherwise(F.array().cast(_SPANS))
 
@@ -116,7 +152,8 @@ def scanned(docs: DataFrame) -> DataFrame:
     text = F.col("__text")
     base = F.concat(_matches(text, ASSIGN, _assignment), _matches(text, ACCESS, _whole_match("access")),
                     _matches(text, HEX, _whole_match("hex")))
-    rows = rows.select("row", F.sort_array(base).alias("base"), _matches(text, CANDIDATE, _entropic).alias("__more"))
+    more = F.when(text.rlike(CANDIDATE), common.bind(blanked(text), lambda t: _matches(t, CANDIDATE, _entropic))).otherwise(F.array().cast(_SPANS))
+    rows = rows.select("row", F.sort_array(base).alias("base"), more.alias("__more"))
     return rows.select("row.*", "base", F.sort_array(F.concat("base", "__more")).alias("found"))
 
 
@@ -136,12 +173,12 @@ def query(spark, sf_dir: str) -> DataFrame:
                                 F.sha2(F.encode(spelled(F.col("base")), "UTF-8"), 256).alias("base_sha256"), spelled(F.col("found")).alias("spans"))
 
 
-def _sql_runs(kind: str, pattern: str, keep: str) -> str:
+def _sql_runs(kind: str, pattern: str, keep: str, table: str = "docs") -> str:
     return f"""
     SELECT rid, '{kind}' AS kind, {KINDS.index(kind)} AS k, CAST(start AS BIGINT) AS start, hit FROM (
         SELECT rid, hit, sum(len(gap)) OVER w + coalesce(sum(len(hit)) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
         FROM (SELECT rid, unnest(range(len(hits))) AS i, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap
-              FROM (SELECT rid, regexp_extract_all(text, {pattern}) AS hits, string_split_regex(text, {pattern}) AS gaps FROM docs
+              FROM (SELECT rid, regexp_extract_all(text, {pattern}) AS hits, string_split_regex(text, {pattern}) AS gaps FROM {table}
                     WHERE regexp_matches(text, {pattern})))
         WINDOW w AS (PARTITION BY rid ORDER BY i))
     WHERE {keep}"""
@@ -153,7 +190,10 @@ WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS
 assign AS ({_sql_runs("assign", _ASSIGN_SQL, f"len(regexp_extract(hit, {_ASSIGN_SQL}, 1)) >= {ASSIGN_MIN}")}),
 access AS ({_sql_runs("access", "'AKIA[A-Z0-9]+'", "len(hit) >= 20")}),
 hexes AS ({_sql_runs("hex", "'[0-9a-f]+'", "len(hit) >= 24")}),
-candidates AS ({_sql_runs("entropy", "'" + CANDIDATE + "'", f"regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT regexp_matches(hit, '{ALLOWED}')")}),
+blanked AS (
+    SELECT rid, CASE WHEN regexp_matches(text, '{ALLOWED}') THEN array_to_string(list_transform(
+        list_zip(string_split_regex(text, '{ALLOWED}'), regexp_extract_all(text, '{ALLOWED}')), lambda z: z[1] || repeat(' ', coalesce(len(z[2]), 0))), '') ELSE text END AS text FROM docs),
+candidates AS ({_sql_runs("entropy", "'" + CANDIDATE + "'", f"regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT regexp_matches(hit, '{IDENTIFIER}')", "blanked")}),
 windows AS (
     SELECT rid, start, hit, i, list_sum(list_transform(map_values(list_histogram(string_split(substr(hit, i + 1, {WINDOW}), ''))),
                                                        lambda n: [{", ".join(map(str, N_LOG_N[1:]))}][CAST(n AS BIGINT)])) AS total
