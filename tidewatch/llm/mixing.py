@@ -81,20 +81,15 @@ def mix(docs: DataFrame, carry: list[str], weights=cycled_weights, cap: int = 3,
 
 
 def materialised(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """The mixture itself: the columns of ``docs``, each row as often as it is taken, a row cut in part with its first words only.
+    """The mixture itself: the columns of ``docs``, each row as often as it is taken.
 
-    Rows without words belong to no budget and do not appear.  ``n_chars``, where there is one, follows the text.
+    Texts stay whole: the row at a source's cut is there once more if at least half of it is within the budget, else not, whichever ends nearer the
+    target.  Rows without words belong to no budget and do not appear.
     """
     mixed = mix(docs, docs.columns, seed=seed)
     part = F.col("taken") - F.col("epochs") * F.col("size")
-    copies = F.col("epochs") + F.when((part > 0) & (part == F.col("size")), 1).otherwise(0)
-    cut = F.array_join(F.slice(F.regexp_extract_all(common.whole(F.col("text")), F.lit(rf"[\x20\x09-\x0D]*{common.WORD}"), F.lit(0)),
-                               F.lit(1), part.cast("int")), "")
-    texts = F.concat(F.array_repeat(F.col("text"), copies.cast("int")),
-                     F.when((part > 0) & (part < F.col("size")), F.array(cut)).otherwise(F.array().cast("array<string>")))
-    mixed = mixed.filter(F.col("size") > 0).withColumn("text", F.explode(texts))
-    if "n_chars" in docs.columns:
-        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    copies = F.col("epochs") + F.when((part > 0) & (2 * part >= F.col("size")), 1).otherwise(0)
+    mixed = mixed.filter((F.col("size") > 0) & (copies > 0)).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

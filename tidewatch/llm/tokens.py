@@ -4,8 +4,8 @@ Texts become sequences of a fixed number of token ids.  The sequences are number
 gives every number a slot in 0 .. n-1, and slots are dealt out in ranges: each range is a shard of fixed-stride records in
 slot order, so a reader seeks to any slot and resumes there.  The order depends on the rows and the seed, not on files or partitions.
 
-The texts are tokenised twice, once for the counts and once for the records.  That is cheaper in disk than keeping the ids: only the
-texts and the finished records are shuffled, once each.
+Texts are tokenised once.  Their ids are written in two bytes each, compressed by document; counts for the numbering are read from that table, and ids
+and finished records are shuffled, once each.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,14 +65,23 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(common.whole(text))))
 
 
-def sequence_counts(rows: DataFrame, layout: Layout) -> DataFrame:
-    """(k1, key, sequences) of every row of (k1, key, text)."""
+def tokenised(rows: DataFrame, layout: Layout) -> DataFrame:
+    """(k1, key, sequences, ids) of every row of (k1, key, text): the ids with the end id behind them, compressed; written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = layout.encoder().encode_ordinary
+        encode, pack = layout.encoder().encode_ordinary, zstandard.ZstdCompressor(level=3).compress
+        end = struct.pack("<H", layout.end)
         for batch in batches:
-            n = [-(-(len(encode(t.as_py())) + 1) // layout.length) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["k1", "key", "sequences"])
-    return rows.mapInArrow(run, "k1 bigint, key string, sequences bigint")
+            low = 0
+            while low < len(batch):
+                n, ids, size = [], [], 0
+                while low < len(batch) and size < BATCH_BYTES:
+                    found = np.array(encode(batch.column(2)[low].as_py()), dtype="<u2").tobytes() + end
+                    n.append(-(-len(found) // layout.stride))
+                    ids.append(pack(found))
+                    size, low = size + len(ids[-1]), low + 1
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low - len(n):low], batch.column(1)[low - len(n):low], pa.array(n, pa.int64()),
+                                                  pa.array(ids, pa.binary())], names=["k1", "key", "sequences", "ids"])
+    return cut_lineage(rows.mapInArrow(run, "k1 bigint, key string, sequences bigint, ids binary"))
 
 
 def materialised(docs: DataFrame, layout: Layout) -> DataFrame:
@@ -84,12 +94,13 @@ def materialised(docs: DataFrame, layout: Layout) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("k1"), row_key(F.col("doc_id"), F.col("text")).alias("key"),
                        common.whole(F.col("text")).alias("text")).filter("text <> ''")
-    counts = sequence_counts(rows, layout).groupBy("k1", "key").agg(F.first("sequences").alias("each"), F.count("*").alias("copies"))
+    rows = tokenised(rows, layout)
+    counts = rows.groupBy("k1", "key").agg(F.first("sequences").alias("each"), F.count("*").alias("copies"))
     counts = counts.withColumn("sequences", F.col("each") * F.col("copies"))
     starts, total = common.summed_before(common.ranged(counts, ["k1", "key"]), "sequences", "first")
     starts = cut_lineage(starts.select("key", "first", "copies", "each"))
-    texts = rows.groupBy("key").agg(F.first("k1").alias("k1"), F.first("text").alias("text"))
-    numbered = texts.join(starts, "key").select("k1", "text", "first", "copies", "each")
+    ids = rows.groupBy("key").agg(F.first("k1").alias("k1"), F.first("ids").alias("ids"))
+    numbered = ids.join(starts, "key").select("k1", "ids", "first", "copies", "each")
     shards = max(1, -(-total // layout.per_shard))
     length, seed, per_shard, fill = layout.length, layout.seed, layout.per_shard, struct.pack("<H", layout.end)
     names = ["shard", "slot", "doc_id", "part", "n_tokens", "tokens"]
@@ -109,12 +120,12 @@ def materialised(docs: DataFrame, layout: Layout) -> DataFrame:
              pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(places), pa.py_buffer(data)])], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = layout.encoder().encode_ordinary
+        unpack = zstandard.ZstdDecompressor().decompress
         held, size = [], 0
         for batch in batches:
             doc_ids, firsts, all_copies, numbers = (batch.column(c).to_pylist() for c in (0, 2, 3, 4))
-            for doc_id, text, first, copies, each in zip(doc_ids, batch.column(1), firsts, all_copies, numbers):
-                ids = np.array(encode(text.as_py()), dtype="<u2").tobytes() + fill
+            for doc_id, packed, first, copies, each in zip(doc_ids, batch.column(1), firsts, all_copies, numbers):
+                ids = unpack(packed.as_py())
                 for copy in range(copies):
                     held.append((doc_id, ids, first + copy * each, each))
                     size += each * 2 * length
