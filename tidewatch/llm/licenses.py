@@ -1,19 +1,27 @@
-"""License scans: a paragraph classifier over word n-grams, an unknown class, and template comparison.
+"""License scans: a classifier over word n-grams, an unknown class, and template comparison.
 
 A multinomial logistic regression with an L1 penalty is trained here on notices (built in and varied below) against paragraphs of the corpus, and
-calibrated by a temperature that fits its held-out rows best.  Its few n-grams with a weight form a bounded table; paragraphs are scored by a broadcast
-join of their distinct n-grams with it, so all but license-like n-grams end there.  A predicted family stands if a template of the family is there as well;
-otherwise the paragraph is of the unknown class.  Everything is DataFrame and Spark ML work in the JVM.
+calibrated by a temperature that fits its held-out rows best.  Its few n-grams with a weight, and those of the templates, form a bounded table.
+
+1. One pass splits every text into words that know their line, combines their hashes to 2- and 3-grams over line ends (not over lines without a
+   letter or digit), and hands on those of the table only, with their places.
+2. Where enough of a template stands close together, the stretch is scored; a notice is confirmed if the classifier names the template's family.  Of stretches that
+   overlap the best stands, so neighbouring notices are told apart, wrapped or not.
+3. Lines outside confirmed notices that read as a license alone, and else neighbouring lines that do together, are of the unknown class.
+
+Everything is DataFrame and Spark ML work in the JVM.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewatch.llm import common
 from tidewatch.session import cut_lineage
@@ -85,9 +93,15 @@ def grams(words: Column, n: int) -> Column:
         F.array().cast("array<array<string>>"))
 
 
+def gram_key(gram: Column) -> Column:
+    """The key of an array of two or three words: a hash of their hashes."""
+    h = [F.xxhash64(F.get(gram, i)) for i in range(3)]
+    return F.when(F.size(gram) == 2, F.xxhash64(h[0], h[1])).otherwise(F.xxhash64(*h))
+
+
 def gram_keys(words: Column) -> Column:
-    """Distinct 64-bit hashes of a paragraph's 2- and 3-grams."""
-    return F.array_distinct(F.transform(F.concat(grams(words, 2), grams(words, 3)), lambda g: F.xxhash64(g)))
+    """Distinct keys of the 2- and 3-grams of a list of words."""
+    return F.array_distinct(F.transform(F.concat(grams(words, 2), grams(words, 3)), gram_key))
 
 
 def _listed(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -95,21 +109,29 @@ def _listed(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.explode(items).alias("r")).select("r.*")
 
 
-def paragraphs_of(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, paragraph, last, words): a row per line, and one per run of lines up to one without a letter or digit, from line ``paragraph``
-    to line ``last``; ``row`` tells repeated documents apart."""
+def hits_of(docs: DataFrame, known: DataFrame, first_words: list[int]) -> DataFrame:
+    """(row, doc_id, at, stop, line, last, key) of the known n-grams of all texts: words ``at`` to before ``stop``, from line ``line`` to line
+    ``last``; ``row`` tells repeated documents apart.
+
+    ``known`` has the keys and ``first_words`` the hashes of their first words; both are bounded and become part of the expression, so a
+    text gives its few hits without being exploded.
+    """
+    keys = [r.key for r in known.select("key").collect()]
+    if not keys:
+        keys = first_words = [0]
     lines = F.split(F.lower(common.whole(F.col("text"))), "\n")
-    single = F.transform(lines, lambda x, i: F.struct(i.alias("paragraph"), i.alias("last"), x.alias("part")))
-    # Every line with its number before it, so that a run knows where it stands; lines without a letter or digit become empty.
-    marked = F.array_join(F.transform(lines, lambda x, i: F.when(x.rlike("[a-z0-9]"), F.concat(i.cast("string"), F.lit("\x01"), x)).otherwise("")), "\n")
-    runs = F.filter(F.transform(F.split(marked, r"\n{2,}"), lambda x: F.btrim(x, F.lit("\n"))), lambda x: F.contains(x, F.lit("\n")))
+    words = F.flatten(F.transform(lines, lambda x, i: F.transform(tokens(x), lambda w: F.struct(i.alias("line"), F.xxhash64(w).alias("h")))))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words.alias("words"))
+    begins = f"filter(transform(words, (w, i) -> struct(i AS at, w.line AS line, w.h AS h)), x -> x.h IN ({', '.join(map(str, first_words))}))"
+    rows = rows.withColumn("begins", F.expr(begins)).filter(F.size("begins") > 0)
 
-    def run(x: Column) -> Column:
-        first = F.substring_index(x, "\x01", 1).cast("int")
-        return F.struct(first.alias("paragraph"), (first + F.size(F.split(x, "\n")) - 1).alias("last"),
-                        F.regexp_replace(x, r"(?m)^[0-9]+\x01", "").alias("part"))
-    parts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.explode(F.concat(single, F.transform(runs, run))).alias("p"))
-    return parts.select("row", "doc_id", "p.paragraph", "p.last", tokens(F.col("p.part")).alias("words")).filter(F.size("words") > 1)
+    def gram(n: int) -> str:
+        next_ones = [f"get(words, x.at + {i})" for i in range(1, n)]
+        joined = " AND ".join(f"{b}.line - {a}.line <= 1" for a, b in zip(["x", *next_ones], next_ones))
+        key = f"xxhash64(x.h, {', '.join(w + '.h' for w in next_ones)})"
+        return f"transform(begins, x -> struct(x.at AS at, x.at + {n} AS stop, x.line AS line, {next_ones[-1]}.line AS last, IF({joined}, {key}, NULL) AS key))"
+    hits = F.expr(f"filter(concat({gram(2)}, {gram(3)}), g -> g.key IN ({', '.join(map(str, keys))}))")
+    return rows.select("row", "doc_id", F.explode(hits).alias("g")).select("row", "doc_id", "g.*")
 
 
 def training_rows(docs: DataFrame, setting: Training) -> DataFrame:
@@ -134,13 +156,12 @@ def training_rows(docs: DataFrame, setting: Training) -> DataFrame:
 
 
 def _by_hash():
-    from pyspark.sql.window import Window
     return Window.orderBy(F.xxhash64("words"), "words")  # over the bounded sample
 
 
 @dataclass
 class Classifier:
-    """``weights`` has key and a column w0, w1, ... per family; intercepts and families are in the same order."""
+    """``weights`` has key, the hash of the n-gram's first word, and a column w0, w1, ... per family; intercepts and families are in the same order."""
 
     families: list[str]
     weights: DataFrame
@@ -162,11 +183,12 @@ def trained(docs: DataFrame, setting: Training = Training()) -> Classifier:
     used = abs(table).max(axis=0) > 1e-9
     kept = [(w, *map(float, table[:, i])) for i, w in enumerate(counter.vocabulary) if used[i]]
     columns = ", ".join(f"w{c} double" for c in range(len(names)))
-    weights = spark.createDataFrame(kept, f"gram string, {columns}").withColumn("key", F.xxhash64(F.split("gram", " "))).drop("gram")
+    weights = spark.createDataFrame(kept, f"gram string, {columns}").withColumn("words", F.split("gram", " "))
+    weights = weights.withColumns({"key": gram_key(F.col("words")), "first": F.xxhash64(F.get("words", 0))}).drop("gram", "words")
     classifier = Classifier(names, cut_lineage(weights), [float(x) for x in model.interceptVector], 1.0)
-    held = rows.filter("held_out").select(F.monotonically_increasing_id().alias("row"), F.lit(0).alias("paragraph"), "label", "words")
-    held = cut_lineage(held)
-    scored = _scores(held, ["row", "paragraph", "label"], classifier)
+    held = rows.filter("held_out").select(F.monotonically_increasing_id().alias("row"), "label", "words")
+    held = cut_lineage(held).select("row", "label", F.explode(gram_keys(F.col("words"))).alias("key"))
+    scored = _scores(held, ["row", "label"], classifier)
     losses = scored.agg(*[F.avg(-F.log(F.greatest(F.element_at(_softmax(F.col("scores"), t), F.col("label").cast("int") + 1), F.lit(1e-12)))).alias(f"t{i}")
                           for i, t in enumerate(setting.temperatures)]).first()
     best = min(range(len(setting.temperatures)), key=lambda i: (losses[i] if losses[i] is not None else 0.0, i))
@@ -180,58 +202,108 @@ def _softmax(scores: Column, temperature: float) -> Column:
     return common.bind(powers, lambda p: F.transform(p, lambda x: x / F.aggregate(p, F.lit(0.0), lambda a, b: a + b)))
 
 
-def template_table(spark: SparkSession) -> DataFrame:
-    """(key, t0, t1, ...): which templates hold an n-gram, as shares of their n-grams."""
+def template_grams(spark: SparkSession) -> DataFrame:
+    """(t, key, first, n, words): the distinct n-grams of every template, with the hash of their first word, their number and that of its words."""
     rows = _listed(spark, [(str(i), text) for i, (_, text) in enumerate(TEMPLATES)])
-    rows = rows.select(F.col("family").cast("int").alias("t"), gram_keys(tokens(F.col("notice"))).alias("keys"))
-    rows = rows.select("t", (1 / F.size("keys")).alias("share"), F.explode("keys").alias("key"))
-    return rows.groupBy("key").agg(*[F.sum(F.when(F.col("t") == i, F.col("share")).otherwise(0.0)).alias(f"t{i}") for i in range(len(TEMPLATES))])
+    rows = rows.select(F.col("family").cast("int").alias("t"), tokens(F.col("notice")).alias("w"))
+    every = F.array_distinct(F.transform(F.concat(grams(F.col("w"), 2), grams(F.col("w"), 3)),
+                                         lambda g: F.struct(gram_key(g).alias("key"), F.xxhash64(F.get(g, 0)).alias("first"))))
+    return rows.select("t", F.size("w").alias("words"), F.size(every).alias("n"), F.explode(every).alias("g")).select("t", "words", "n", "g.*")
+
+
+def known_grams(classifier: Classifier) -> DataFrame:
+    """(key, first, w0 ..., t0 ...): n-grams with a weight or in a template, their weights, and the share of each template that they make up."""
+    grams_of = template_grams(classifier.weights.sparkSession)
+    shares = grams_of.groupBy("key", "first").agg(*[F.sum(F.when(F.col("t") == i, 1 / F.col("n")).otherwise(0.0)).alias(f"t{i}") for i in range(len(TEMPLATES))])
+    return cut_lineage(classifier.weights.join(shares, ["key", "first"], "full").na.fill(0.0))
 
 
-def _scores(paragraphs: DataFrame, keys: list[str], classifier: Classifier) -> DataFrame:
-    """The keys of paragraphs (with words) that hold a known n-gram, with scores by family and the share of each template's n-grams they hold.
+def _scores(hits: DataFrame, keys: list[str], classifier: Classifier, known: DataFrame | None = None) -> DataFrame:
+    """For rows with equal ``keys`` and their distinct n-grams (key): family scores, and the share of each template's n-grams they hold.
 
     The joined table has a row per n-gram with a weight or in a template: at most the vocabulary bound and the templates' own.
     """
-    spark = paragraphs.sparkSession
-    known = cut_lineage(classifier.weights.join(template_table(spark), "key", "full").na.fill(0.0))
+    known = known_grams(classifier) if known is None else known
     n, m = len(classifier.families), len(TEMPLATES)
-    hits = paragraphs.select(*keys, F.explode(gram_keys(F.col("words"))).alias("key")).join(F.broadcast(known), "key")
-    sums = hits.groupBy(*keys).agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(n)], *[F.sum(f"t{i}").alias(f"t{i}") for i in range(m)])
+    sums = hits.select(*keys, "key").distinct().join(F.broadcast(known.drop("first")), "key").groupBy(*keys).agg(
+        *[F.sum(f"w{i}").alias(f"w{i}") for i in range(n)], *[F.sum(f"t{i}").alias(f"t{i}") for i in range(m)])
     return sums.select(*keys, F.array(*[F.col(f"w{i}") + classifier.intercepts[i] for i in range(n)]).alias("scores"),
                        F.array(*[F.col(f"t{i}") for i in range(m)]).alias("shares"))
 
 
-def found(docs: DataFrame, classifier: Classifier, setting: Training = Training()) -> DataFrame:
-    """(doc_id, paragraph, family, probability, template_share): every line that reads as a license notice, and every run of lines that does where
-    no line of it says so alone; it is reported at its first line, and its lines that hint at the same family are not.
-
-    ``docs`` has doc_id and text; further columns are ignored.  Null and empty texts have no paragraph with two words and no row; repeated documents are
-    reported as often; paragraphs count from 0; an empty table gives no rows.
-    """
-    scored = _scores(paragraphs_of(docs), ["row", "doc_id", "paragraph", "last"], classifier)
-    probabilities = scored.withColumn("p", _softmax(F.col("scores"), classifier.temperature))
+def _judged(hits: DataFrame, keys: list[str], classifier: Classifier, known: DataFrame) -> DataFrame:
+    """``keys`` with guess, probability, and the share of the guess's best template."""
     names = F.array(*map(F.lit, classifier.families))
-    best = probabilities.withColumn("probability", F.array_max("p")).withColumn(
-        "guess", F.element_at(names, F.array_position("p", F.col("probability")).cast("int")))
     owners = F.array(*[F.lit(f) for f, _ in TEMPLATES])
+    rows = _scores(hits, keys, classifier, known).withColumn("p", _softmax(F.col("scores"), classifier.temperature))
+    rows = rows.withColumn("probability", F.array_max("p")).withColumn("guess", F.element_at(names, F.array_position("p", F.col("probability")).cast("int")))
     share = F.array_max(F.zip_with("shares", owners, lambda s, f: F.when(f == F.col("guess"), s).otherwise(0.0)))
-    sure = (F.col("probability") >= setting.probability) & (F.col("template_share") >= setting.containment)
-    best = best.withColumn("template_share", share).filter(F.col("guess") != NONE)
-    best = cut_lineage(best.select("row", "doc_id", "paragraph", "last", "guess", sure.alias("sure"), "probability", "template_share"))
-    lines = best.filter("last = paragraph").drop("last")
-    runs = best.filter("last > paragraph")
-    line = lines.select(F.col("row").alias("__row"), F.col("paragraph").alias("__line"), F.col("guess").alias("__guess"), F.col("sure").alias("__sure"))
-    inside = (F.col("row") == F.col("__row")) & F.col("__line").between(F.col("paragraph"), F.col("last"))
-    told = runs.join(line, inside, "left").groupBy(*runs.columns).agg(
-        F.count("__row").alias("n"), F.coalesce(F.max(F.col("__sure") & (F.col("__guess") == F.col("guess"))), F.lit(False)).alias("told"))
-    runs = told.filter("(sure and not told) or (not sure and n = 0)").drop("n", "told")
-    wrapped = runs.filter("sure").select(F.col("row").alias("__row"), F.col("paragraph").alias("__first"), F.col("last").alias("__last"), F.col("guess").alias("__guess"))
-    part = ((F.col("row") == F.col("__row")) & F.col("paragraph").between(F.col("__first"), F.col("__last")) & (F.col("guess") == F.col("__guess")))
-    lines = lines.join(wrapped, part, "left_anti")
-    return lines.unionByName(runs.drop("last")).select(
-        "doc_id", "paragraph", F.when(F.col("sure"), F.col("guess")).otherwise(OTHER).alias("family"),
-        F.round("probability", 6).alias("probability"), F.round("template_share", 6).alias("template_share"))
+    return rows.select(*keys, "guess", "probability", share.alias("template_share"))
+
+
+def stretches(hits: DataFrame, setting: Training) -> DataFrame:
+    """(row, doc_id, at, stop, line, last, t): where enough of template ``t`` stands within a quarter more words than it has; of those that overlap the
+    one with the largest share, then of the longest template."""
+    spark = hits.sparkSession
+    most = max(len(re.findall("[a-z0-9]+", text.lower())) for _, text in TEMPLATES) * 5 // 4
+    rows = hits.join(F.broadcast(template_grams(spark).drop("first")), "key")
+    ahead = Window.partitionBy("row", "t").orderBy("at").rangeBetween(0, most)
+    rows = rows.withColumn("near", F.collect_list(F.struct("at", "stop", "last", "key")).over(ahead))
+    rows = rows.withColumn("near", F.filter("near", lambda x: x["stop"] <= F.col("at") + F.col("words") * 5 / 4))
+    rows = rows.withColumn("share", F.size(F.array_distinct(F.col("near.key"))) / F.col("n")).filter(F.col("share") >= setting.containment)
+    # The stretch ends where each n-gram has been there once; what follows may be the next notice.
+    rows = rows.withColumn("near", F.filter("near", lambda x, i: ~F.exists(F.slice("near", F.lit(1), i), lambda y: y["key"] == x["key"])))
+    rows = rows.select("row", "doc_id", "at", "line", "t", "words", "share", F.array_max("near.stop").alias("stop"), F.array_max("near.last").alias("last"))
+    rank = F.struct("share", (F.col("at") - F.col("stop")).alias("tight"), (-F.col("at")).alias("before"))
+    around = Window.partitionBy("row", "t").orderBy("at").rangeBetween(-most, most)
+    rows = rows.withColumn("rank", rank)
+    rows = rows.withColumn("around", F.collect_list(F.struct("rank", "at", "stop")).over(around)).filter(
+        ~F.exists("around", lambda y: (y["at"] < F.col("stop")) & (F.col("at") < y["stop"]) & (y["rank"] > F.col("rank"))))
+    one = F.struct("share", "words", "rank", "t", "at", "stop", "line", "last")
+    lists = rows.groupBy("row", "doc_id").agg(F.sort_array(F.collect_set(one), asc=False).alias("all"))
+    # The notices of one text; the list of those that stand grows with them only.
+    stand = F.aggregate("all", F.slice("all", 1, 0), lambda acc, x: F.when(
+        F.exists(acc, lambda y: (y["at"] < x["stop"]) & (x["at"] < y["stop"])), acc).otherwise(F.concat(acc, F.array(x))))
+    return lists.select("row", "doc_id", F.explode(stand).alias("s")).select("row", "doc_id", "s.at", "s.stop", "s.line", "s.last", "s.t")
+
+
+def found(docs: DataFrame, classifier: Classifier, setting: Training = Training()) -> DataFrame:
+    """(doc_id, paragraph, family, probability, template_share): every notice of a family at its first line, and as ``unknown`` what else reads as a license:
+    lines alone, or neighbouring lines together, at the first one, where none of them does alone.  A line that a notice of a family touches is not
+    reported again.
+
+    ``docs`` has doc_id and text; further columns are ignored.  Null and empty texts have no two words and no row; documents with a null doc_id are
+    reported under null, repeated ones as often; lines count from 0; an empty table gives no rows.
+    """
+    known = known_grams(classifier)
+    first_words = [r["first"] for r in known.select("first").distinct().collect()]  # as bounded as the table
+    hits = cut_lineage(hits_of(docs, known, first_words))
+    families = F.array(*[F.lit(f) for f, _ in TEMPLATES])
+
+    notices = cut_lineage(stretches(hits, setting))
+    place = ["row", "doc_id", "line", "last", "n_at", "t"]
+    inside = notices.withColumnRenamed("at", "n_at").withColumnRenamed("stop", "n_stop").join(hits.select("row", "at", "stop", "key"), "row")
+    inside = inside.filter("at >= n_at and stop <= n_stop")
+    sure = _judged(inside, place, classifier, known)
+    sure = cut_lineage(sure.filter((F.col("guess") == F.element_at(families, F.col("t") + 1)) & (F.col("probability") >= setting.probability)))
+
+    covered = sure.select(F.col("row").alias("__row"), F.col("line").alias("__line"), F.col("last").alias("__last"))
+    free = cut_lineage(hits.join(covered, (F.col("row") == F.col("__row")) & (F.col("line") <= F.col("__last")) & (F.col("last") >= F.col("__line")), "left_anti"))
+    lines = _judged(free.filter("line = last"), ["row", "doc_id", "line"], classifier, known).filter(F.col("guess") != NONE)
+    by_line = Window.partitionBy("row").orderBy("line")
+    islands = free.select("row", "line").union(free.select("row", F.col("last").alias("line"))).distinct()
+    islands = islands.withColumn("new", (F.col("line") - F.lag("line").over(by_line) > 1).cast("int"))
+    islands = islands.withColumn("island", F.coalesce(F.sum("new").over(by_line), F.lit(0)))
+    islands = cut_lineage(islands.withColumn("begin", F.min("line").over(Window.partitionBy("row", "island"))).select("row", "line", "begin"))
+    together = _judged(free.join(islands, ["row", "line"]), ["row", "doc_id", "begin"], classifier, known).filter(F.col("guess") != NONE)
+    told = lines.select("row", "line").join(islands, ["row", "line"]).select("row", "begin").distinct()
+    together = together.join(told, ["row", "begin"], "left_anti").withColumnRenamed("begin", "line")
+
+    columns = ["doc_id", "line", "guess", "probability", "template_share"]
+    other = lines.select(columns).unionByName(together.select(columns)).withColumn("guess", F.lit(OTHER))
+    return sure.select(columns).unionByName(other).select(
+        "doc_id", F.col("line").alias("paragraph"), F.col("guess").alias("family"), F.round("probability", 6).alias("probability"),
+        F.round("template_share", 6).alias("template_share"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
