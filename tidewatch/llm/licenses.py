@@ -212,10 +212,13 @@ def template_grams(spark: SparkSession) -> DataFrame:
 
 
 def known_grams(classifier: Classifier) -> DataFrame:
-    """(key, first, w0 ..., t0 ...): n-grams with a weight or in a template, their weights, and the share of each template that they make up."""
+    """(key, first, weights, shares): n-grams with a weight or in a template, the weights by family, and the share of each template that they make up."""
     grams_of = template_grams(classifier.weights.sparkSession)
-    shares = grams_of.groupBy("key", "first").agg(*[F.sum(F.when(F.col("t") == i, 1 / F.col("n")).otherwise(0.0)).alias(f"t{i}") for i in range(len(TEMPLATES))])
-    return cut_lineage(classifier.weights.join(shares, ["key", "first"], "full").na.fill(0.0))
+    held = grams_of.groupBy("key", "first").agg(F.map_from_entries(F.collect_list(F.struct("t", (1 / F.col("n")).alias("share")))).alias("held"))
+    weights = classifier.weights.select("key", "first", F.array(*[f"w{i}" for i in range(len(classifier.families))]).alias("weights"))
+    shares = F.transform(F.sequence(F.lit(0), F.lit(len(TEMPLATES) - 1)), lambda t: F.coalesce(F.try_element_at("held", t), F.lit(0.0)))
+    none = F.array_repeat(F.lit(0.0), len(classifier.families))
+    return cut_lineage(weights.join(held, ["key", "first"], "full").select("key", "first", F.coalesce("weights", none).alias("weights"), shares.alias("shares")))
 
 
 def _scores(hits: DataFrame, keys: list[str], classifier: Classifier, known: DataFrame | None = None) -> DataFrame:
@@ -224,11 +227,12 @@ def _scores(hits: DataFrame, keys: list[str], classifier: Classifier, known: Dat
     The joined table has a row per n-gram with a weight or in a template: at most the vocabulary bound and the templates' own.
     """
     known = known_grams(classifier) if known is None else known
-    n, m = len(classifier.families), len(TEMPLATES)
-    sums = hits.select(*keys, "key").distinct().join(F.broadcast(known.drop("first")), "key").groupBy(*keys).agg(
-        *[F.sum(f"w{i}").alias(f"w{i}") for i in range(n)], *[F.sum(f"t{i}").alias(f"t{i}") for i in range(m)])
-    return sums.select(*keys, F.array(*[F.col(f"w{i}") + classifier.intercepts[i] for i in range(n)]).alias("scores"),
-                       F.array(*[F.col(f"t{i}") for i in range(m)]).alias("shares"))
+
+    def total(begin: list[float], part: str) -> Column:
+        return F.aggregate("held", F.array(*map(F.lit, begin)), lambda acc, x: F.zip_with(acc, x[part], lambda a, b: a + b)).alias({"weights": "scores"}.get(part, part))
+    held = hits.select(*keys, "key").distinct().join(F.broadcast(known.drop("first")), "key").groupBy(*keys).agg(
+        F.collect_list(F.struct("weights", "shares")).alias("held"))
+    return held.select(*keys, total(classifier.intercepts, "weights"), total([0.0] * len(TEMPLATES), "shares"))
 
 
 def _judged(hits: DataFrame, keys: list[str], classifier: Classifier, known: DataFrame) -> DataFrame:
