@@ -47,6 +47,8 @@ SHORT = 8
 ITEMS_PER_PASS = 2000
 #: Words that are worked on at a time.
 CHUNK_WORDS = 100_000
+#: Bytes of text that are split at a time; a longer text is split alone.
+CHUNK_BYTES = 16 << 20
 #: A longer text is searched in pieces that overlap by so many words.
 OVERLAP = 2 * SCALES[-1]
 
@@ -65,10 +67,20 @@ class _Words(dict):
         return found
 
 
+def split_ids(texts: pa.Array, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words of the texts in a row, offsets of the texts): Arrow splits at white space and finds the distinct words, so each of these is
+    looked up once."""
+    parts = pa.compute.utf8_split_whitespace(pa.compute.fill_null(texts, ""))
+    words = parts.flatten().dictionary_encode()
+    known = np.fromiter(map(cache.__getitem__, words.dictionary.to_pylist()), dtype=np.uint32, count=len(words.dictionary))
+    ids = known[words.indices.to_numpy()] if len(known) else np.empty(0, np.uint32)
+    before = np.concatenate([[0], np.cumsum(ids != 0)])
+    offsets = parts.offsets.to_numpy()
+    return ids[ids != 0], before[offsets - offsets[0]]
+
+
 def word_ids(text: str | None, cache: _Words) -> np.ndarray:
-    parts = (text or "").split()
-    ids = np.fromiter(map(cache.__getitem__, parts), dtype=np.uint32, count=len(parts))
-    return ids[ids != 0]
+    return split_ids(pa.array([text], pa.string()), cache)[0]
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -78,8 +90,13 @@ def hashed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
         for batch in batches:
-            words = pa.array([word_ids(t.as_py(), cache).tobytes() for t in batch.column(2)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), words], names=["doc_id", "text_key", "words"])
+            sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(2)), 0).to_numpy())
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // CHUNK_BYTES)) + 1).tolist(), len(batch)]
+            for low, high in itertools.pairwise(cuts):
+                ids, offsets = split_ids(batch.column(2)[low:high], cache)
+                places = pa.py_buffer((4 * offsets).astype(np.int32))
+                words = pa.Array.from_buffers(pa.binary(), high - low, [None, places, pa.py_buffer(np.ascontiguousarray(ids))])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], batch.column(1)[low:high], words], names=["doc_id", "text_key", "words"])
     return cut_lineage(rows.mapInArrow(run, "doc_id bigint, text_key string, words binary"))
 
 
@@ -336,13 +353,18 @@ def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray)
     for scale, (owner, offset, queries) in items.queries.items():
         step = scale // STRIDE
         # a window that the text's end cuts short lies in an earlier one, but for the first
-        starts = every[(every + step <= stop) | (every == first[piece])]
-        for low in range(0, len(starts), 4096):
-            at = starts[low: low + 4096]
-            v = sums[np.minimum(at + step, stop[at])]
-            v -= sums[at]
+        whole = every + step <= stop
+        short = every[~whole & (every == first[piece])]
+        for low in range(0, len(every), 4096):
+            at = every[low: min(low + 4096, len(every) - step)]  # windows that follow each other: two slices of the sums
+            v = sums[low + step: low + step + len(at)] - sums[low: low + len(at)]
+            counts = whole[at]
+            if low == 0 and len(short):
+                at, counts = np.concatenate([at, short]), np.concatenate([counts, np.ones(len(short), dtype=bool)])
+                v = np.concatenate([v, sums[stop[short]] - sums[short]])
             length = np.sqrt(np.einsum("ij,ij->i", v, v))
-            rows, hits = np.nonzero(v @ queries >= NEAR * np.maximum(length, 1e-9)[:, None])
+            bar = np.where(counts, NEAR * np.maximum(length, 1e-9), np.inf).astype(np.float32)
+            rows, hits = np.nonzero(v @ queries >= bar[:, None])
             for s, q in zip(at[rows].tolist(), hits.tolist()):
                 p, i = piece[s], int(owner[q])
                 key = (owners[p], i)
