@@ -17,7 +17,8 @@ from tidewatch.operators import history as H
 from tidewatch.operators import returns as R
 from tidewatch.operators import search as S
 from tidewatch.operators.text_index import TextIndex
-from tidewatch.plans.registry import query
+from tidewatch.operators.vector_index import VectorIndex
+from tidewatch.plans.registry import SQL, query
 from tidewatch.session import shared_dir
 from tidewatch.sources import mirror
 
@@ -502,6 +503,16 @@ def _(lake):
     return S.vector_topk(lake["embeddings"], lake["embeddings"].filter("vec_id = 0"))
 
 
+@query("vector_index_topk", SQL["vector_topk"])
+def _(lake):
+    index = VectorIndex(lake.spark, f"{shared_dir(lake.spark)}/vectors-{uuid.uuid4().hex}", cells=16)
+    vectors = lake["embeddings"]
+    for part in range(2):
+        index.add(vectors.filter(F.pmod("vec_id", F.lit(2)) == part), "vec_id", "embedding")
+    found = index.search_exactly(vectors.filter("vec_id = 0").first().embedding)
+    return found.rows.join(vectors.select(F.col("vec_id").alias("id"), "label"), "id").select(F.col("id").alias("vec_id"), "label", "cosine").orderBy(F.desc("cosine"), "vec_id")
+
+
 @query("anger_score", f"""SELECT doc_id, CASE WHEN {' OR '.join(f"contains(lower(text), '{w}')" for w in X.ANGRY_WORDS)} THEN CAST(1 AS DOUBLE)
   WHEN {' OR '.join(f"contains(lower(text), '{w}')" for w in X.CALM_WORDS)} THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS anger_score FROM documents""")
 def _(lake):
