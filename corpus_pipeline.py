@@ -32,7 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture by source weights: documents repeat with their source's epochs, the one at a source's cut has its first words only."""
+    """The mixture by source weights: documents repeat with their source's epochs; the one at a source's cut is taken whole or left out."""
     return mixing.materialised(docs)
 
 
