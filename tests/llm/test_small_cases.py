@@ -496,7 +496,7 @@ def test_paraphrases_are_found(spark, sf_dir):
     rng = np.random.default_rng(7)
     base = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").orderBy("doc_id").collect()]
     pool = [w for t in base[:100] for w in t.split()]
-    cache, rows, items = decontaminate._Words(), list(enumerate(base)), []
+    rows, items = list(enumerate(base)), []
 
     def some(n):
         return [pool[int(x)] for x in rng.integers(0, len(pool), n)]
@@ -507,9 +507,9 @@ def test_paraphrases_are_found(spark, sf_dir):
             copy = pool[at:at + n]
             for p in rng.choice(n, int(0.34 * n), replace=False):
                 copy[p] = some(1)[0]
-            item, span = " ".join(pool[at:at + n]), decontaminate.word_ids(" ".join(copy), cache)
-            words = decontaminate.word_ids(item, cache)
-            if len(words) >= decontaminate.SHORT and decontaminate.judge(words, decontaminate.Items._answer(item, words, cache), span)[1]:
+            item, span = " ".join(pool[at:at + n]), decontaminate.word_ids(" ".join(copy))
+            words = decontaminate.word_ids(item)
+            if len(words) >= decontaminate.SHORT and decontaminate.judge(words, decontaminate.Items._answer(item, words), span)[1]:
                 rows.append((100000 + len(items), " ".join(some(60) + copy + some(90))))
                 items.append((len(items), item))
                 made += 1

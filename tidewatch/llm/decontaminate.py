@@ -52,35 +52,40 @@ CHUNK_BYTES = 16 << 20
 #: A longer text is searched in pieces that overlap by so many words.
 OVERLAP = 2 * SCALES[-1]
 
-_EDGE = re.compile(r"^\W+|\W+$")
-
-
-class _Words(dict):
-    """32-bit hashes of words in lower case without punctuation at their ends, 0 for nothing but punctuation."""
-
-    def __missing__(self, raw: str) -> int:
-        import xxhash
-        if len(self) > 400_000:
-            self.clear()
-        plain = raw.lower() if raw.isalnum() else _EDGE.sub("", raw.lower())
-        self[raw] = found = xxhash.xxh32_intdigest(plain.encode("utf-8", "surrogatepass")) | 1 if plain else 0
-        return found
-
-
-def split_ids(texts: pa.Array, cache: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words of the texts in a row, offsets of the texts): Arrow splits at white space and finds the distinct words, so each of these is
-    looked up once."""
+#: What is cut off a word at either end: all but letters, digits and underscores.
+EDGE = r"^[^\pL\pN_]+|[^\pL\pN_]+$"
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _string_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of all strings of an array at once: powers of a base over their bytes, from running sums."""
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[offsets[0]: offsets[-1]].astype(np.uint64) + np.uint64(1)
+    at = offsets - offsets[0]
+    up, down = np.full(len(data) + 1, np.uint64(_BASE)), np.full(len(data) + 1, np.uint64(pow(_BASE, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * np.cumprod(up)[:-1])])
+    out = (sums[at[1:]] - sums[at[:-1]]) * np.cumprod(down)[at[:-1]]
+    out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(29))
+
+
+def split_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(32-bit hashes of all words of the texts in a row, offsets of the texts).  Words are in lower case and without punctuation at their ends; nothing
+    but punctuation is no word.  Arrow splits at white space and finds the distinct words, so each of these is hashed once."""
     parts = pa.compute.utf8_split_whitespace(pa.compute.fill_null(texts, ""))
     words = parts.flatten().dictionary_encode()
-    known = np.fromiter(map(cache.__getitem__, words.dictionary.to_pylist()), dtype=np.uint32, count=len(words.dictionary))
-    ids = known[words.indices.to_numpy()] if len(known) else np.empty(0, np.uint32)
+    plain = pa.compute.replace_substring_regex(pa.compute.utf8_lower(words.dictionary), EDGE, "")
+    empty = pa.compute.equal(plain, "").to_numpy(zero_copy_only=False)
+    known = np.where(empty, 0, (_string_hashes(plain) >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)
+    ids = known[words.indices.to_numpy()]
     before = np.concatenate([[0], np.cumsum(ids != 0)])
     offsets = parts.offsets.to_numpy()
     return ids[ids != 0], before[offsets - offsets[0]]
 
 
-def word_ids(text: str | None, cache: _Words) -> np.ndarray:
-    return split_ids(pa.array([text], pa.string()), cache)[0]
+def word_ids(text: str | None) -> np.ndarray:
+    return split_ids(pa.array([text], pa.string()))[0]
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -88,12 +93,11 @@ def hashed(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
         for batch in batches:
             sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(2)), 0).to_numpy())
             cuts = [0, *(np.flatnonzero(np.diff(sizes // CHUNK_BYTES)) + 1).tolist(), len(batch)]
             for low, high in itertools.pairwise(cuts):
-                ids, offsets = split_ids(batch.column(2)[low:high], cache)
+                ids, offsets = split_ids(batch.column(2)[low:high])
                 places = pa.py_buffer((4 * offsets).astype(np.int32))
                 words = pa.Array.from_buffers(pa.binary(), high - low, [None, places, pa.py_buffer(np.ascontiguousarray(ids))])
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], batch.column(1)[low:high], words], names=["doc_id", "text_key", "words"])
@@ -233,19 +237,18 @@ class Items:
     """A block of benchmark items, ready to be searched for: words, answers, and unit latent vectors by scale, or hashes of the short ones."""
 
     def __init__(self, rows: list[tuple[int, str | None]], words_to_latent: np.ndarray):
-        cache = _Words()
         self.ids, self.words, self.answers, self.kinds = [], [], [], []
         self.counts: list[dict[int, int]] = []
         by_scale: dict[int, list] = {s: [] for s in SCALES}
         short: dict[int, dict[int, list[int]]] = {}
         for item_id, text in rows:
-            w = word_ids(text, cache)
+            w = word_ids(text)
             if not len(w):
                 continue
             i = len(self.ids)
             self.ids.append(item_id)
             self.words.append(w)
-            self.answers.append(self._answer(text, w, cache))
+            self.answers.append(self._answer(text, w))
             self.kinds.append(np.unique(w, return_counts=True))
             self.counts.append(dict(zip(*(x.tolist() for x in self.kinds[-1]))))
             if len(w) < SHORT:
@@ -267,9 +270,9 @@ class Items:
                 self.queries[scale] = (np.array([f[0] for f in found]), np.array([f[1] for f in found]), v.T.copy())
 
     @staticmethod
-    def _answer(text: str, w: np.ndarray, cache: _Words) -> np.ndarray:
+    def _answer(text: str, w: np.ndarray) -> np.ndarray:
         sentences = [s for s in re.split(r"(?<=[.!?])\s+", text.strip()) if s]
-        last = word_ids(sentences[-1], cache) if len(sentences) > 1 else w[-5:]
+        last = word_ids(sentences[-1]) if len(sentences) > 1 else w[-5:]
         return last if len(last) else w[-5:]
 
 
