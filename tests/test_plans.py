@@ -8,7 +8,7 @@ from tidewatch.plans import catalog
 from tidewatch.plans.lake import Lake
 
 # These run jobs while they are planned; their plans start from written rows.
-EAGER = {n for n in catalog.QUERIES if n.endswith("_stream")} | {"ml_recommendations", "ml_summary", "ml_quality", "quality_report"}
+EAGER = {n for n in catalog.QUERIES if n.endswith("_stream")} | {"ml_recommendations", "ml_summary", "ml_run_summary", "ml_quality", "quality_report"}
 
 
 def _plan(df) -> str:

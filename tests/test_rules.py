@@ -92,3 +92,16 @@ def test_changed_rows_ignores_first_load(spark):
     old = spark.createDataFrame([("a", "watch", 0.5, 0.0), ("b", "watch", 0.5, 0.0), ("gone", "watch", 0.5, 0.0)], cols)
     new = spark.createDataFrame([("a", "watch", 0.5, 0.0), ("b", "elevated", 0.7, 9.0), ("new", "watch", 0.5, 0.0)], cols)
     assert {r.subscriber_id for r in gold.changed_rows(old, new).collect()} == {"b", "gone"}
+
+
+def test_recommendation_rules_can_fail(spark):
+    """One offer for all breaks the mix, more kept than is at risk breaks the totals; each alone."""
+    from tidewatch.operators import quality as Q
+    position = spark.createDataFrame([("a", 60.0), ("b", 40.0)], "subscriber_id string, clv_at_risk_usd double")
+
+    def verdicts(*rows):
+        recs = spark.createDataFrame(list(rows), "recommended_offer string, predicted_retained_clv_usd double")
+        return {r.rule: (r.n_bad, r.passed) for r in Q.quality_report([Q.recommendation_rules(recs, position)]).collect()}
+    assert verdicts(("x", 30.0), ("y", 20.0)) == {"q14_offer_mix": (0, True), "q14_rollup": (0, True)}
+    assert verdicts(("x", 30.0), ("x", 20.0)) == {"q14_offer_mix": (1, False), "q14_rollup": (0, True)}
+    assert verdicts(("x", 90.0), ("y", 20.0)) == {"q14_offer_mix": (0, True), "q14_rollup": (1, False)}
