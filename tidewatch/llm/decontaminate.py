@@ -367,7 +367,7 @@ def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray)
                 v = np.concatenate([v, sums[stop[short]] - sums[short]])
             length = np.sqrt(np.einsum("ij,ij->i", v, v))
             bar = np.where(counts, NEAR * np.maximum(length, 1e-9), np.inf).astype(np.float32)
-            rows, hits = np.nonzero(v @ queries >= bar[:, None])
+            rows, hits = np.divmod(np.flatnonzero(v @ queries >= bar[:, None]), queries.shape[1])
             for s, q in zip(at[rows].tolist(), hits.tolist()):
                 p, i = piece[s], int(owner[q])
                 key = (owners[p], i)
