@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from dataclasses import replace
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions import rules
 from tidewatch.operators import gold, metrics, silver
+from tidewatch.operators.cube_store import CubeStore, changed_rows
+from tidewatch.operators.latest_store import LatestStore
 from tidewatch.params import BANDS
 from tidewatch.plans.registry import query
-from tidewatch.functions import rules
+from tidewatch.session import cut_lineage, shared_dir
 
 RED = ("critical", "elevated")
 
@@ -63,12 +68,27 @@ def _(lake):
 
 # ---- gold ----
 
-@query("current_snapshot", """SELECT subscriber_id, snapshot_date, churn_risk_score, churn_reason, agent_note_text FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY subscriber_id ORDER BY snapshot_date DESC) AS rn FROM risk_snapshots WHERE snapshot_date <= DATE '2024-01-30') WHERE rn = 1""")
+_CURRENT = """SELECT subscriber_id, snapshot_date, churn_risk_score, churn_reason, agent_note_text FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY subscriber_id ORDER BY snapshot_date DESC) AS rn FROM risk_snapshots WHERE snapshot_date <= DATE '2024-01-30') WHERE rn = 1"""
+
+
+@query("current_snapshot", _CURRENT)
 def _(lake):
     return gold.current_snapshot(lake["risk_snapshots"], lake.p)
 
 
+@query("current_snapshot_stored", _CURRENT)
+def _(lake):
+    """From the store of latest rows, to which the last week came as a second batch."""
+    columns = ("subscriber_id", *gold.SNAPSHOT_COLS)
+    snapshots = lake["risk_snapshots"].select(*columns)
+    store = LatestStore(lake.spark, f"{shared_dir(lake.spark)}/latest-{uuid.uuid4().hex}", snapshots.schema, "subscriber_id", "snapshot_date", buckets=4)
+    last_week = F.col("snapshot_date") > F.lit(lake.p.as_of - timedelta(days=7))
+    store.add(snapshots.filter(~last_week), "before")
+    store.add(snapshots.filter(last_week), "last week")
+    return store.at(lake.p.as_of).rows
+
+
 @query("subscriber_position", "SELECT * REPLACE (CAST(monthly_arpu_usd AS DOUBLE) AS monthly_arpu_usd, CAST(clv_at_risk_usd AS DOUBLE) AS clv_at_risk_usd) FROM position_v")
 def _(lake):
     return lake.position
@@ -230,15 +250,29 @@ def _(lake):
     return metrics.metric(lake.position)
 
 
-@query("metric_cube", """SELECT plan_type, churn_reason, risk_band, home_metro, CAST(SUM(clv_at_risk_usd) AS DOUBLE) AS clv_at_risk, CAST(SUM(open_ticket_count) AS BIGINT) AS open_tickets,
+_CUBE = """SELECT plan_type, churn_reason, risk_band, home_metro, CAST(SUM(clv_at_risk_usd) AS DOUBLE) AS clv_at_risk, CAST(SUM(open_ticket_count) AS BIGINT) AS open_tickets,
   COUNT(*) AS subscriber_count, CAST(SUM(CASE WHEN risk_band = 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS critical_count, CAST(SUM(CASE WHEN risk_band = 'elevated' THEN 1 ELSE 0 END) AS BIGINT) AS elevated_count,
   CAST(SUM(CASE WHEN risk_band IN ('critical', 'elevated') THEN 1 ELSE 0 END) AS BIGINT) AS atrisk_count, CAST(SUM(CAST(churn_risk_score AS DECIMAL(10,6))) AS DOUBLE) AS risk_sum,
   COUNT(churn_risk_score) AS risk_n, CAST(SUM(CAST(churn_signal_score AS DECIMAL(10,6))) AS DOUBLE) AS signal_sum, COUNT(churn_signal_score) AS signal_n
-  FROM position_v GROUP BY plan_type, churn_reason, risk_band, home_metro""")
+  FROM position_v GROUP BY plan_type, churn_reason, risk_band, home_metro"""
+
+
+@query("metric_cube", _CUBE)
 def _(lake):
     return lake.cube
 
 
+@query("metric_cube_refreshed", _CUBE)
+def _(lake):
+    """The cube of a week ago, brought up to date by the subscribers whose position changed since."""
+    before = cut_lineage(lake.position_at(replace(lake.p, as_of=lake.p.as_of - timedelta(days=7))))
+    after = cut_lineage(lake.position)
+    store = CubeStore(lake.spark, f"{shared_dir(lake.spark)}/cube-{uuid.uuid4().hex}", after.schema, buckets=8)
+    store.refresh(before, batch="a week ago")
+    store.refresh(*changed_rows(before, after, "subscriber_id"), batch="today")
+    return store.cube()
+
+
 @query("metric_from_cube", f"SELECT plan_type, churn_reason, {_MEASURES} FROM position_v GROUP BY plan_type, churn_reason")
 def _(lake):
     return metrics.answer(lake.position, lake.cube, ["plan_type", "churn_reason"])

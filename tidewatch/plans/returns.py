@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewatch.operators import distinct
 from tidewatch.operators import returns as R
 from tidewatch.plans.registry import query
+from tidewatch.session import cut_lineage
 
 _VOLUME = """COUNT(*) AS return_count, CAST(SUM(CASE WHEN status = 'pending' THEN 1 ELSE 0 END) AS BIGINT) AS pending_count, CAST(SUM(refund_amount_usd) AS DOUBLE) AS total_refund_usd"""
 _HIDDEN = "COALESCE(final_tier = 'premium', false) AND NOT COALESCE(premium_status_labeled = 'premium', false)"
@@ -80,6 +87,20 @@ def _(lake):
     return R.city_breakdown(lake["silver_returns"])
 
 
+@query("distinct_customers", " UNION ALL ".join(
+    f"SELECT '{level}' AS level, {city} AS city, {country} AS country, COUNT(DISTINCT customer_id) AS customers FROM silver_returns{by}" for level, city, country, by in (
+        ("city", "city", "country", " GROUP BY city, country"), ("country", "CAST(NULL AS VARCHAR)", "country", " GROUP BY country"),
+        ("total", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", ""))))
+def _(lake):
+    """All three levels from one written cube of bitmaps."""
+    cube = cut_lineage(distinct.bitmap_cube(lake["silver_returns"], ["city", "country"], "customer_id"))
+    levels = {"city": ["city", "country"], "country": ["country"], "total": []}
+    return reduce(DataFrame.unionByName, [
+        distinct.distinct_from_cube(cube, dims, "customers").select(
+            F.lit(level).alias("level"), *[(F.col(c) if c in dims else F.lit(None).cast("string")).alias(c) for c in ("city", "country")], "customers")
+        for level, dims in levels.items()])
+
+
 @query("geo_bounds", f"SELECT MIN(lat) AS min_lat, MAX(lat) AS max_lat, MIN(lng) AS min_lng, MAX(lng) AS max_lng, COUNT(*) AS n_cities FROM ({_PENDING_CITY})")
 def _(lake):
     return R.geo_bounds(R.city_breakdown(lake["silver_returns"], status="pending"))
