@@ -70,6 +70,34 @@ def test_a_batch_writes_its_own_keys_only(spark, tmp_path):
     assert h.count() == 100 + 22 and h.filter("is_current").count() == 111
 
 
+def test_a_base_with_every_batch(spark, tmp_path):
+    writer, feed = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=2, compact_every=1, fanout=2), []
+    for n in (0, 1, 2, 2):
+        feed += [(1, n), (2 + n, n)]
+        writer(_changes(spark, (1, n), (2 + n, n)), n)
+    same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed), P))
+
+
+def test_closed_versions_are_merged_by_size(spark, tmp_path):
+    """Eighteen small batches with late rows: few folders to list, the rows of the batch job, also when the newest batch runs again."""
+    writer = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=2, compact_every=2, fanout=3)
+    feed = []
+    for n in range(18):
+        rows = [(n % 3, 100 * n + 50), (n % 5, 100 * n + 60), (7, 40 if n == 9 else 100 * n + 70)]
+        feed += rows
+        writer(_changes(spark, *rows), n)
+        if n in (0, 8, 17):
+            same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed), P))
+    _, parts, to = cdc._segments(spark, f"{tmp_path}/h")
+    assert to == 17 and sorted(p["tier"] for p in parts) == [2]
+    assert batches.finished(spark, f"{tmp_path}/h/versions") == [15, 16, 17] and batches.finished(spark, f"{tmp_path}/h/base") == [15, 17]
+    assert len([f for f in (tmp_path / "h" / "merged").iterdir() if f.is_dir()]) <= 2 * 3
+    writer(_changes(spark, *feed[-3:]), 17)
+    same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed), P))
+    writer(_changes(spark, (1, 5000)), 18)
+    same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed, (1, 5000)), P))
+
+
 def test_unfinished_batch_is_not_read(spark, tmp_path):
     df = spark.range(3)
     batches.put(df, f"{tmp_path}/t", 0)

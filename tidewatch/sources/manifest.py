@@ -29,9 +29,11 @@ class Manifest:
 
     def read(self) -> tuple[int, list[dict]]:
         version = self.version()
-        if not version:
-            return 0, []
-        return version, json.loads(self.spark.read.text(self._name(version), wholetext=True).first()[0])
+        return version, self.read_version(version)
+
+    def read_version(self, version: int) -> list[dict]:
+        """The parts that a version names, none before the first."""
+        return json.loads(self.spark.read.text(self._name(version), wholetext=True).first()[0]) if version else []
 
     def publish(self, version: int, parts: list[dict]) -> None:
         """Make ``parts`` the given version; an error where another writer was first."""

@@ -44,6 +44,16 @@ def get(spark: SparkSession, root: str, schema: str, batches: list[int] | None =
     return spark.read.schema(schema).option("basePath", root).parquet(*dirs).select(*empty.columns) if dirs else empty
 
 
+def remove_up_to(spark: SparkSession, root: str, last: int) -> None:
+    """Remove the batches of a table up to a given one; a batch is unfinished before its rows go."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in children(spark, root):
+        if int(name[6:]) <= last:
+            fs.delete(path(f"{root}/{name}/_SUCCESS"), False)
+            fs.delete(path(f"{root}/{name}"), True)
+
+
 def run_available(stream: DataFrame, apply, checkpoint: str, mode: str = "append") -> None:
     """Process everything that is there, batch by batch, and stop."""
     q = (stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
