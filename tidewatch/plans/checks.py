@@ -37,7 +37,10 @@ _REPORT = " UNION ALL ".join([
     _N("q11_plan_enum", "plan_type NOT IN ('broadband', 'mobile', 'bundle')"), _N("q11_reason_enum", "churn_reason NOT IN ('service', 'price', 'device')"),
     _N("q11_band_enum", "risk_band NOT IN ('critical', 'elevated', 'watch', 'healthy')"), _N("q11_score_range", "churn_risk_score NOT BETWEEN 0 AND 1"),
     _N("q11_geo", "sub_lat NOT BETWEEN -90 AND 90 OR sub_lng NOT BETWEEN -180 AND 180"),
-    "SELECT 'q12_cube_equals_base', 0",
+    # The cube's groups, added up again, against the base: 1 where a sum or count differs.
+    """SELECT 'q12_cube_equals_base', CASE WHEN c.clv IS NOT DISTINCT FROM b.clv AND c.tickets IS NOT DISTINCT FROM b.tickets AND c.n IS NOT DISTINCT FROM b.n THEN 0 ELSE 1 END
+  FROM (SELECT SUM(clv) AS clv, SUM(tickets) AS tickets, SUM(n) AS n FROM (SELECT SUM(clv_at_risk_usd) AS clv, SUM(open_ticket_count) AS tickets, COUNT(*) AS n FROM position_v
+    GROUP BY plan_type, churn_reason, risk_band, home_metro)) c CROSS JOIN (SELECT SUM(clv_at_risk_usd) AS clv, SUM(open_ticket_count) AS tickets, COUNT(*) AS n FROM position_v) b""",
     *[f"SELECT 'q13_key_{t}', COUNT(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING COUNT(*) > 1)" for t, k in _KEYS.items()],
     *[f"SELECT 'q13_ref_{t}', COUNT(*) FROM {t} WHERE subscriber_id NOT IN (SELECT subscriber_id FROM subscribers)" for t in _REFS],
     _ONE("q14_offer_mix", "MAX(n) < SUM(n)", "(SELECT recommended_offer, COUNT(*) AS n FROM recs_v GROUP BY 1)"),
