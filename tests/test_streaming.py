@@ -79,22 +79,22 @@ def test_a_base_with_every_batch(spark, tmp_path):
 
 
 def test_closed_versions_are_merged_by_size(spark, tmp_path):
-    """Eighteen small batches with late rows: few folders to list, the rows of the batch job, also when the newest batch runs again."""
-    writer = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=2, compact_every=2, fanout=3)
+    """Eight small batches with late rows: few folders to list, the rows of the batch job, also when the newest batch runs again."""
+    writer = cdc.HistoryWriter(f"{tmp_path}/h", P, buckets=2, compact_every=2, fanout=2)
     feed = []
-    for n in range(18):
-        rows = [(n % 3, 100 * n + 50), (n % 5, 100 * n + 60), (7, 40 if n == 9 else 100 * n + 70)]
+    for n in range(8):
+        rows = [(n % 3, 100 * n + 50), (n % 5, 100 * n + 60), (7, 40 if n == 5 else 100 * n + 70)]
         feed += rows
         writer(_changes(spark, *rows), n)
-        if n in (0, 8, 17):
+        if n in (0, 7):
             same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed), P))
     _, parts, to = cdc._segments(spark, f"{tmp_path}/h")
-    assert to == 17 and sorted(p["tier"] for p in parts) == [2]
-    assert batches.finished(spark, f"{tmp_path}/h/versions") == [15, 16, 17] and batches.finished(spark, f"{tmp_path}/h/base") == [15, 17]
-    assert len([f for f in (tmp_path / "h" / "merged").iterdir() if f.is_dir()]) <= 2 * 3
-    writer(_changes(spark, *feed[-3:]), 17)
+    assert to == 7 and sorted(p["tier"] for p in parts) == [2]
+    assert batches.finished(spark, f"{tmp_path}/h/versions") == [5, 6, 7] and batches.finished(spark, f"{tmp_path}/h/base") == [5, 7]
+    assert len([f for f in (tmp_path / "h" / "merged").iterdir() if f.is_dir()]) <= 4
+    writer(_changes(spark, *feed[-3:]), 7)
     same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed), P))
-    writer(_changes(spark, (1, 5000)), 18)
+    writer(_changes(spark, (1, 5000)), 8)
     same_rows(cdc.read_history(spark, f"{tmp_path}/h", P), history.scd2(_changes(spark, *feed, (1, 5000)), P))
 
 
