@@ -4,11 +4,13 @@ import random
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidewatch.functions import stemming
 from tidewatch.functions import text as X
 from tidewatch.operators import search as S
+from tidewatch.operators import text_index
 from tidewatch.operators.text_index import TextIndex
 
 SCHEMA = "id int, t string"
@@ -75,6 +77,32 @@ def test_an_empty_batch_and_an_empty_index(spark, tmp_path):
     assert index.topk("outage", 3).rows.collect() == index.topk("the", 3).rows.collect() == []
 
 
+def test_postings_are_not_shuffled_and_tasks_hold_few_words(spark, tmp_path, monkeypatch):
+    """Texts meet by range; an index of many small tasks, some of them for one long text, and a merge give the rows of the scan."""
+    monkeypatch.setattr(text_index, "TASK_WORDS", 400)
+    plans, plain_write = [], DataFrameWriter.parquet
+
+    def write(self, path, *args, **how):
+        if path.endswith("/postings"):
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return plain_write(self, path, *args, **how)
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    docs = spark.createDataFrame([*corpus(300, seed=2), (1000, "outage credit " * 900)], SCHEMA)
+    index = TextIndex(spark, str(tmp_path), range_docs=16, fanout=2)
+    for part in range(3):
+        index.add(docs.filter(F.col("id") % 3 == part), "id", "t")
+    assert len(plans) == 4  # three batches and a merge
+    for plan in plans:
+        assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(range" in plan, plan
+    postings = index._table(index.manifest.read()[1], "postings").select("range", "docs", F.input_file_name().alias("file"), "term", "segment").collect()
+    assert len({r.file for r in postings}) > 8
+    by_range = {(r.segment, r.range): r.file for r in postings}
+    assert all(by_range[r.segment, r.range] == r.file for r in postings)
+    for query in QUERIES:
+        scan = [tuple(r) for r in S.note_search(docs, "id", "t", query, k=30).collect()]
+        assert [tuple(r) for r in index.topk(query, 30, boolean=True).rows.collect()] == scan, query
+
+
 # ---- stems ----
 
 class Porter:

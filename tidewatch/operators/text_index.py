@@ -26,6 +26,10 @@ from tidewatch.sources.manifest import Manifest
 
 #: Scores are rounded to six places; a bound may fall short of a rounded score by less than this.
 SLACK = 2e-6
+#: Words that a task of a writer deals with, about.
+TASK_WORDS = 1 << 20
+#: Bytes of a row group of the postings.
+ROW_GROUP = 4 << 20
 
 
 @dataclass
@@ -57,15 +61,16 @@ class TextIndex:
         if batch is not None and any(batch in s["batches"] for s in segments):
             return
         words = cut_lineage(docs.select(F.col(id_col).alias("id"), X.search_words(F.col(text_col)).alias("w")).withColumn("len", F.size("w")))
-        rows = words.select("id", "len", F.posexplode("w").alias("place", "term"))
         segment = self._new_segment(0, [] if batch is None else [batch])
-        if self.stemmed:
-            rows = self._stemmed(rows, segment, segments)
-        posts = rows.groupBy("id", "len", "term").agg(F.sort_array(F.collect_list("place")).alias("places"))
         lengths = words.groupBy(self._band(F.col("len")).alias("band")).agg(F.count("*").alias("n"), F.sum("len").alias("len")).collect()
         segment["bands"] = {str(r.band): r.n for r in lengths}
         segment["n"], segment["len"] = sum(r.n for r in lengths), sum(r["len"] for r in lengths)
-        self._write(posts.withColumn("tf", F.size("places")), segment)
+        # The texts meet by range, their words in one string; these are taken apart there, and no posting is shuffled.
+        texts = self._dealt(words.filter("len > 0").select("id", "len", F.array_join("w", " ").alias("w")), segment)
+        rows = texts.select("id", "len", "range", F.posexplode(F.split("w", " ")).alias("place", "term"))
+        if self.stemmed:
+            rows = self._stemmed(rows, words, segment, segments)
+        self._write(rows.groupBy("range", "id", "len", "term").agg(F.sort_array(F.collect_list("place")).alias("places")), segment)
         segments = self._tiered([*segments, segment])
         self.manifest.publish(version + 1, segments)
 
@@ -78,29 +83,36 @@ class TextIndex:
         """Lengths of a band differ by less than a fifth; there are a few hundred bands at most."""
         return F.floor(4 * F.log2(length + 1)).cast("int")
 
-    def _stemmed(self, rows: DataFrame, segment: dict, segments: list[dict]) -> DataFrame:
+    def _stemmed(self, rows: DataFrame, words: DataFrame, segment: dict, segments: list[dict]) -> DataFrame:
         """Stem each distinct word once: those of earlier segments are known."""
-        new = rows.select(F.col("term").alias("word")).distinct()
+        new = words.select(F.explode("w").alias("word")).distinct()
         known = self._table(segments, "words")
         if known is not None:
             new = new.join(known, "word", "left_anti")
         path = f"{self.root}/{segment['name']}/words"
         stemming.with_stem(new, "word").write.parquet(path)
         every = self._table([*segments, segment], "words")
-        return rows.join(every, F.col("term") == F.col("word")).select("id", "len", "place", F.col("stem").alias("term"))
+        return rows.join(every, F.col("term") == F.col("word")).select("id", "len", "range", "place", F.col("stem").alias("term"))
 
-    def _write(self, posts: DataFrame, segment: dict) -> None:
-        """Blocks of (id, len, term, places, tf), sorted by term, so that a reader of few terms skips most row groups."""
-        ranges = F.create_map(*[F.lit(x) for band, n in segment["bands"].items() for x in (int(band), -(-n // self.range_docs))]) if segment["bands"] else F.lit(None)
+    def _dealt(self, rows: DataFrame, segment: dict) -> DataFrame:
+        """Rows of documents (id, len, ...) with their range; those of a range are in one task, which has about TASK_WORDS words."""
+        bands = {int(band): n for band, n in segment["bands"].items()}
+        # a range of long documents holds fewer of them
+        docs = {band: max(1, min(self.range_docs, TASK_WORDS >> band // 4)) for band in bands}
         band = self._band(F.col("len"))
-        place = band.cast("bigint") * (1 << 32) + (F.pmod(F.xxhash64("id"), F.element_at(ranges, band)) if segment["bands"] else F.lit(0))
-        doc = F.struct("id", "len", "tf", "places")
-        blocks = cut_lineage(posts.withColumn("range", place).groupBy("term", "range").agg(
-            F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"), F.collect_list(doc).alias("docs")))
+        ranges = F.create_map(*[F.lit(x) for b, n in bands.items() for x in (b, -(-n // docs[b]))]) if bands else None
+        place = band.cast("bigint") * (1 << 32) + F.pmod(F.xxhash64("id"), F.element_at(ranges, band)) if bands else F.lit(0).cast("bigint")
+        return rows.withColumn("range", place).repartition(max(1, -(-(segment["len"] or 0) // TASK_WORDS)), "range")
+
+    def _write(self, posts: DataFrame, segment: dict) -> None:
+        """Blocks of (id, len, term, places), dealt by range; a file is sorted by term, so that a reader of few terms skips most of its row groups and pages."""
+        doc = F.struct("id", "len", F.size("places").alias("tf"), "places")
+        blocks = posts.groupBy("range", "term").agg(
+            F.count("*").alias("n"), F.max(F.size("places")).alias("max_tf"), F.min("len").alias("min_len"), F.collect_list(doc).alias("docs"))
         where = f"{self.root}/{segment['name']}"
-        blocks = blocks.withColumn("segment", F.lit(segment["name"]))
-        blocks.repartitionByRange("term", "range").sortWithinPartitions("term", "range").write.parquet(f"{where}/postings")
-        blocks.groupBy("term").agg(F.sum("n").alias("df")).sort("term").write.parquet(f"{where}/terms")
+        blocks = blocks.select("term", "range", "n", "max_tf", "min_len", "docs", F.lit(segment["name"]).alias("segment"))
+        blocks.sortWithinPartitions("term", "range").write.option("parquet.block.size", ROW_GROUP).parquet(f"{where}/postings")
+        self._table([segment], "postings").groupBy("term").agg(F.sum("n").alias("df")).sort("term").write.parquet(f"{where}/terms")
 
     def _tiered(self, segments: list[dict]) -> list[dict]:
         for tier in range(max((s["tier"] for s in segments), default=0) + 1):
@@ -115,7 +127,7 @@ class TextIndex:
         merged["bands"] = {b: sum(s["bands"].get(b, 0) for s in segments) for s in segments for b in s["bands"]}
         merged["n"], merged["len"] = sum(s["n"] for s in segments), sum(s["len"] for s in segments)
         posts = self._table(segments, "postings").select("term", F.explode("docs").alias("d"))
-        self._write(posts.select("d.id", "d.len", "term", "d.places", "d.tf"), merged)
+        self._write(self._dealt(posts.select("d.id", "d.len", "term", "d.places"), merged), merged)
         if self.stemmed:
             self._table(segments, "words").write.parquet(f"{self.root}/{merged['name']}/words")
         return merged
