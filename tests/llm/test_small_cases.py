@@ -517,3 +517,17 @@ def test_paraphrases_are_found(spark, sf_dir):
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
     recall = sum((100000 + i, i) in found for i, _ in items) / len(items)
     assert recall >= 0.95, recall
+
+
+def test_strides_of_many_texts_are_those_of_each():
+    dice = np.random.default_rng(5)
+    latent = np.vstack([dice.normal(size=(decontaminate.FEATURES, 6)), np.zeros((1, 6))]).astype(np.float32)
+    texts = [dice.integers(1, 40 if i % 2 else 1 << 32, n).astype(np.uint32) for i, n in enumerate([0, 1, 7, 8, 9, 0, 200, 20_003, 16])]
+    found, sizes = decontaminate.strides_of(texts, latent)
+    assert sizes.tolist() == [-(-len(t) // decontaminate.STRIDE) for t in texts] and len(found) == sizes.sum()
+    for text, own in zip(texts, np.split(found, np.cumsum(sizes)[:-1])):
+        assert (decontaminate.strides(text, latent) == own).all()
+        for k, row in enumerate(own[:50]):
+            distinct = dict.fromkeys((text[k * decontaminate.STRIDE: (k + 1) * decontaminate.STRIDE] % decontaminate.FEATURES).tolist())
+            assert row == pytest.approx(sum(latent[w] for w in distinct), abs=1e-4)
+    assert decontaminate.strides_of([texts[0]], latent)[0].shape == (0, 6)

@@ -196,8 +196,10 @@ def latent_map(words: DataFrame) -> np.ndarray:
             weight /= norm[row]
             cells = (place[feature] * len(start) + row[:, None]).ravel()
             image = np.bincount(cells, (sign[feature] * weight[:, None]).ravel(), width * len(start)).reshape(width, -1)  # (A W)'
+            added = np.empty(len(row))
             for d in range(width):
-                total[d] += np.bincount(feature, weight * image[d][row], FEATURES)
+                np.multiply(weight, image[d].take(row, out=added, mode="clip"), out=added)
+                total[d] += np.bincount(feature, added, FEATURES)
         yield _pieces(total, width)
     z = _added(_few_tasks(words).mapInArrow(run, "piece int, source int, data binary"), width * FEATURES).reshape(width, FEATURES).T
     core = test.T @ z
@@ -211,17 +213,32 @@ def latent_map(words: DataFrame) -> np.ndarray:
 
 def strides(words: np.ndarray, words_to_latent: np.ndarray) -> np.ndarray:
     """The latent sum of every STRIDE words, each word once; the map's last row is for what does not count."""
-    n = -(-len(words) // STRIDE)
-    rows = np.full(n * STRIDE, FEATURES, dtype=np.int64)
-    rows[:len(words)] = words % FEATURES
-    rows = rows.reshape(n, STRIDE)
+    return strides_of([words], words_to_latent)[0]
+
+
+def strides_of(texts: list[np.ndarray], words_to_latent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(``strides`` of the texts one after the other, how many each has)."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    sizes = -(-lengths // STRIDE)
+    rows = np.full(sizes.sum() * STRIDE, FEATURES, dtype=np.int32)
+    if len(rows):
+        # a text's first word moves on by what pads the texts before it
+        moved = np.cumsum(sizes * STRIDE - lengths) - (sizes * STRIDE - lengths)
+        rows[np.arange(lengths.sum()) + np.repeat(moved, lengths)] = np.concatenate(texts) % FEATURES
+    rows = np.ascontiguousarray(rows.reshape(-1, STRIDE).T)
     distinct = rows.copy()
     for a in range(1, STRIDE):
-        distinct[(rows[:, :a] == rows[:, a:a + 1]).any(axis=1), a] = FEATURES
-    out = words_to_latent[distinct[:, 0]]
-    for a in range(1, STRIDE):
-        out += words_to_latent[distinct[:, a]]
-    return out
+        again = rows[0] == rows[a]
+        for b in range(1, a):
+            again |= rows[b] == rows[a]
+        distinct[a][again] = FEATURES
+    out = np.empty((len(distinct[0]), words_to_latent.shape[1]), dtype=words_to_latent.dtype)
+    for low in range(0, len(out), 1024):  # a part of the sums that stays in the cache
+        part = out[low: low + 1024]
+        part[:] = words_to_latent.take(distinct[0][low: low + 1024], axis=0)
+        for a in range(1, STRIDE):
+            part += words_to_latent.take(distinct[a][low: low + 1024], axis=0)
+    return out, sizes
 
 
 def _runs(words: np.ndarray, n: int) -> np.ndarray:
@@ -339,18 +356,16 @@ def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray)
             owners.append(t)
             froms.append(low)
             vectors.append(words[low: low + CHUNK_WORDS + OVERLAP])
-    sizes = np.array([-(-len(v) // STRIDE) for v in vectors], dtype=np.int64)
-    if not sizes.sum():
+    if not any(len(v) for v in vectors):
         return {}
+    each, sizes = strides_of(vectors, words_to_latent)
     first = np.cumsum(sizes) - sizes
-    sums = np.zeros((sizes.sum() + 1, words_to_latent.shape[1]), dtype=np.float32)
-    for v, at, n in zip(vectors, first, sizes):
-        if n:
-            sums[at + 1: at + 1 + n] = strides(v, words_to_latent)
+    sums = np.concatenate([np.zeros((1, words_to_latent.shape[1]), dtype=np.float32), each])
     np.cumsum(sums, axis=0, out=sums)
     piece = np.repeat(np.arange(len(sizes)), sizes)
     stop = np.repeat(first + sizes, sizes)
     every = np.arange(len(piece))
+    text_of, starts = np.array(owners), np.array(froms)
     best = verbatim(texts, items)
     listed: dict[int, list[int]] = {}
     for scale, (owner, offset, queries) in items.queries.items():
@@ -368,21 +383,22 @@ def found_in(texts: list[np.ndarray], items: Items, words_to_latent: np.ndarray)
             length = np.sqrt(np.einsum("ij,ij->i", v, v))
             bar = np.where(counts, NEAR * np.maximum(length, 1e-9), np.inf).astype(np.float32)
             rows, hits = np.divmod(np.flatnonzero(v @ queries >= bar[:, None]), queries.shape[1])
-            for s, q in zip(at[rows].tolist(), hits.tolist()):
-                p, i = piece[s], int(owner[q])
-                key = (owners[p], i)
-                item, words = items.words[i], texts[owners[p]]
+            windows = at[rows]
+            pieces = piece[windows]
+            begins = starts[pieces] + (windows - first[pieces]) * STRIDE - offset[hits]
+            for t, i, begin in zip(text_of[pieces].tolist(), owner[hits].tolist(), begins.tolist()):
+                key = (t, i)
+                item = items.words[i]
                 if best.get(key, 0) == len(item):
                     continue
-                begin = froms[p] + (s - int(first[p])) * STRIDE - int(offset[q])
                 slack = max(STRIDE, len(item) // 4)
                 low_end, high_end = max(0, begin - slack), begin + max(scale, len(item)) + slack
-                if owners[p] not in listed:
-                    listed[owners[p]] = words.tolist()
+                if t not in listed:
+                    listed[t] = texts[t].tolist()
                 wanted = items.counts[i]
-                if sum(map(wanted.__getitem__, wanted.keys() & set(listed[owners[p]][low_end:high_end]))) < PARAPHRASE * len(item):
+                if sum(map(wanted.__getitem__, wanted.keys() & set(listed[t][low_end:high_end]))) < PARAPHRASE * len(item):
                     continue
-                span = words[low_end:high_end]
+                span = texts[t][low_end:high_end]
                 same, leaked = judge(item, items.answers[i], span, items.kinds[i])
                 if leaked:
                     best[key] = max(best.get(key, 0), same)
