@@ -6,6 +6,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -531,3 +533,15 @@ def test_strides_of_many_texts_are_those_of_each():
             distinct = dict.fromkeys((text[k * decontaminate.STRIDE: (k + 1) * decontaminate.STRIDE] % decontaminate.FEATURES).tolist())
             assert row == pytest.approx(sum(latent[w] for w in distinct), abs=1e-4)
     assert decontaminate.strides_of([texts[0]], latent)[0].shape == (0, 6)
+
+
+def test_texts_are_split_a_few_megabytes_at_a_time(monkeypatch):
+    texts = [prose(i, 40) * 300 for i in range(150)] + [None, ""]
+    seen, split = [], decontaminate.split_ids
+    monkeypatch.setattr(decontaminate, "split_ids", lambda part: (seen.append(pa.compute.sum(pa.compute.binary_length(part)).as_py()), split(part))[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(map(str, range(len(texts)))), pa.array(texts)], names=["doc_id", "text_key", "text"])
+    found = pa.Table.from_batches(decontaminate._hashed_batches(iter([batch])))
+    assert sum(seen) == sum(len(t or "") for t in texts) > 8 << 20 and max(seen) <= (4 << 20) + len(max(texts[:-2], key=len))
+    assert found["doc_id"].to_pylist() == [*range(len(texts))] and found["text_key"].to_pylist() == [str(i) for i in range(len(texts))]
+    for value, text in zip(found["words"].to_pylist()[::30] + found["words"].to_pylist()[-2:], texts[::30] + texts[-2:]):
+        assert value == decontaminate.word_ids(text).tobytes()

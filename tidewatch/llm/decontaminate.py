@@ -47,8 +47,8 @@ SHORT = 8
 ITEMS_PER_PASS = 2000
 #: Words that are worked on at a time.
 CHUNK_WORDS = 100_000
-#: Bytes of text that are split at a time; a longer text is split alone.
-CHUNK_BYTES = 16 << 20
+#: Bytes of text that are split at a time, which takes some 25 times as much memory; a longer text is split alone.
+CHUNK_BYTES = 4 << 20
 #: A longer text is searched in pieces that overlap by so many words.
 OVERLAP = 2 * SCALES[-1]
 
@@ -88,20 +88,23 @@ def word_ids(text: str | None) -> np.ndarray:
     return split_ids(pa.array([text], pa.string()))[0]
 
 
+def _hashed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text_key, words) of (doc_id, text_key, text), CHUNK_BYTES of text at a time."""
+    for batch in batches:
+        sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(2)), 0).to_numpy())
+        cuts = [0, *(np.flatnonzero(np.diff(sizes // CHUNK_BYTES)) + 1).tolist(), len(batch)]
+        for low, high in itertools.pairwise(cuts):
+            ids, offsets = split_ids(batch.column(2)[low:high])
+            places = pa.py_buffer((4 * offsets).astype(np.int32))
+            words = pa.Array.from_buffers(pa.binary(), high - low, [None, places, pa.py_buffer(np.ascontiguousarray(ids))])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], batch.column(1)[low:high], words], names=["doc_id", "text_key", "words"])
+
+
 def hashed(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, words) of every row: the verdict depends on the text alone, and the key names the text."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(2)), 0).to_numpy())
-            cuts = [0, *(np.flatnonzero(np.diff(sizes // CHUNK_BYTES)) + 1).tolist(), len(batch)]
-            for low, high in itertools.pairwise(cuts):
-                ids, offsets = split_ids(batch.column(2)[low:high])
-                places = pa.py_buffer((4 * offsets).astype(np.int32))
-                words = pa.Array.from_buffers(pa.binary(), high - low, [None, places, pa.py_buffer(np.ascontiguousarray(ids))])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], batch.column(1)[low:high], words], names=["doc_id", "text_key", "words"])
-    return cut_lineage(rows.mapInArrow(run, "doc_id bigint, text_key string, words binary"))
+    return cut_lineage(rows.mapInArrow(_hashed_batches, "doc_id bigint, text_key string, words binary"))
 
 
 def text_key():
