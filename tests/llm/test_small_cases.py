@@ -3,6 +3,7 @@
 import collections
 import itertools
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewatch.llm import chat, components, decontaminate, feistel, licenses, minhash, mixing, rules, secrets, sharding, tokens, urls
+from tidewatch.session import arrow_rows
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -545,3 +547,46 @@ def test_texts_are_split_a_few_megabytes_at_a_time(monkeypatch):
     assert found["doc_id"].to_pylist() == [*range(len(texts))] and found["text_key"].to_pylist() == [str(i) for i in range(len(texts))]
     for value, text in zip(found["words"].to_pylist()[::30] + found["words"].to_pylist()[-2:], texts[::30] + texts[-2:]):
         assert value == decontaminate.word_ids(text).tobytes()
+
+
+def test_strings_are_hashed_a_block_of_bytes_at_a_time(monkeypatch):
+    def hash_of(word):
+        h = sum((b + 1) * pow(decontaminate._BASE, k, 1 << 64) for k, b in enumerate(word.encode())) % (1 << 64)
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        return h ^ h >> 29
+    words = ["", "a", "", "\u00e9\u4e2d", *prose(7, 200).split(), "z" * 64, "z" * 65, "x" * 300, "", "x" * 63]
+    for size in (1, 7, 64, decontaminate.HASH_BYTES):
+        monkeypatch.setattr(decontaminate, "HASH_BYTES", size)
+        assert decontaminate._string_hashes(pa.array(words)).tolist() == [hash_of(w) for w in words]
+        assert decontaminate._string_hashes(pa.array(words)[3:150]).tolist() == [hash_of(w) for w in words[3:150]]
+        assert decontaminate._string_hashes(pa.array([], pa.string())).tolist() == [] and decontaminate._string_hashes(pa.array([""])).tolist() == [0]
+    for many in (["word%08d" % i for i in range(200_000)], ["y" * 2_400_000]):  # one word as long as many
+        many = pa.array(many)
+        tracemalloc.start()
+        try:
+            decontaminate._string_hashes(many)
+            assert tracemalloc.get_traced_memory()[1] < 24e6
+        finally:
+            tracemalloc.stop()
+
+
+def test_texts_go_to_python_in_short_batches(spark, monkeypatch):
+    split, kept = decontaminate._hashed_batches, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def counted(batches):
+        for batch in batches:
+            assert len(batch) <= 1000
+            yield from split(iter([batch]))
+    monkeypatch.setattr(decontaminate, "_hashed_batches", counted)
+    words = decontaminate.hashed(docs(spark, [(i, f"text {i}") for i in range(2500)]).coalesce(1))
+    assert {(r.doc_id, bytes(r.words)) for r in words.collect()} == {(i, decontaminate.word_ids(f"text {i}").tobytes()) for i in range(2500)}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == kept
+    try:
+        for set_to, inside in (("500", "500"), ("0", "1000"), ("20000", "1000")):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", set_to)
+            with pytest.raises(ZeroDivisionError), arrow_rows(spark, 1000):
+                assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == inside
+                raise ZeroDivisionError
+            assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == set_to
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)

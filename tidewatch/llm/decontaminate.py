@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import common
-from tidewatch.session import cut_lineage
+from tidewatch.session import arrow_rows, cut_lineage
 
 FEATURES = 8192
 RANK, OVERSAMPLE = 104, 8
@@ -49,6 +49,10 @@ ITEMS_PER_PASS = 2000
 CHUNK_WORDS = 100_000
 #: Bytes of text that are split at a time, which takes some 25 times as much memory; a longer text is split alone.
 CHUNK_BYTES = 4 << 20
+#: Texts or their words sent to Python at a time while the words are made and the decomposition runs.
+ROWS = 1000
+#: Bytes of words that are hashed at a time, which takes some 50 times as much memory.
+HASH_BYTES = 1 << 16
 #: A longer text is searched in pieces that overlap by so many words.
 OVERLAP = 2 * SCALES[-1]
 
@@ -58,14 +62,28 @@ _BASE = 0x9E3779B97F4A7C15
 
 
 def _string_hashes(words: pa.Array) -> np.ndarray:
-    """64-bit hashes of all strings of an array at once: powers of a base over their bytes, from running sums."""
+    """64-bit hashes of all strings of an array at once: powers of a base over their bytes, from running sums of HASH_BYTES at a time."""
     offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
-    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[offsets[0]: offsets[-1]].astype(np.uint64) + np.uint64(1)
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[offsets[0]: offsets[-1]]
     at = offsets - offsets[0]
-    up, down = np.full(len(data) + 1, np.uint64(_BASE)), np.full(len(data) + 1, np.uint64(pow(_BASE, -1, 1 << 64)))
+    size = min(HASH_BYTES, len(data) + 1)
+    up, down = np.full(size + 1, np.uint64(_BASE)), np.full(size + 1, np.uint64(pow(_BASE, -1, 1 << 64)))
     up[0] = down[0] = 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * np.cumprod(up)[:-1])])
-    out = (sums[at[1:]] - sums[at[:-1]]) * np.cumprod(down)[at[:-1]]
+    np.cumprod(up, out=up)
+    np.cumprod(down, out=down)
+    sums, back = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+    # the sum of all bytes before a block, and the powers at its first byte
+    before, power, inverse = np.zeros(1, np.uint64), up[:1].copy(), down[:1].copy()
+    for low in range(0, len(data) + 1, size):
+        part = data[low: low + size].astype(np.uint64) + np.uint64(1)
+        part *= up[:len(part)]
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part)])
+        first, last = np.searchsorted(at, (low, low + size))
+        inside = at[first:last] - low
+        sums[first:last] = before + power * running[inside]
+        back[first:last] = inverse * down[inside]
+        before, power, inverse = before + power * running[-1:], power * up[-1:], inverse * down[-1:]
+    out = (sums[1:] - sums[:-1]) * back[:-1]
     out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return out ^ (out >> np.uint64(29))
 
@@ -104,7 +122,8 @@ def hashed(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, words) of every row: the verdict depends on the text alone, and the key names the text."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
 
-    return cut_lineage(rows.mapInArrow(_hashed_batches, "doc_id bigint, text_key string, words binary"))
+    with arrow_rows(docs.sparkSession, ROWS):
+        return cut_lineage(rows.mapInArrow(_hashed_batches, "doc_id bigint, text_key string, words binary"))
 
 
 def text_key():
@@ -422,7 +441,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                                                 F.col("text").cast("string").alias("text")).toLocalIterator())
     latent = None
     while block := list(itertools.islice(rows, ITEMS_PER_PASS)):
-        latent = latent_map(words) if latent is None else latent
+        if latent is None:
+            with arrow_rows(spark, ROWS):
+                latent = latent_map(words)
         sent = spark.sparkContext.broadcast((Items(block, latent), latent))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
